@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.project import blank_to_null
-from tallymart.plans import gold, silver
+from tallymart.plans import gold, silver, spec
 from tallymart.queries.registry import Tables
 from tallymart.session import scratch_path
 from tallymart.sources.tables import Layers
@@ -180,21 +180,24 @@ def star(t: Tables) -> Layers:
 
 
 def build_star(t: Tables, layers: Layers) -> Layers:
+    def store(df: DataFrame, layer: str, table: str) -> DataFrame:
+        years = [spec.YEAR] if spec.YEAR in df.columns else []
+        return layers.write(df, layer, table, partition_by=years)
+
+    raw_dwellings = store(raw_dwelling(t), "bronze", "dwelling")
+    raw_members = store(raw_member(t), "bronze", "member")
+    raw_educations = store(raw_education(t), "bronze", "education")
     geo = layers.write(geography(t), "ref", "geography")
-    dwellings = layers.write(silver.dwelling(raw_dwelling(t)), "silver", "dwelling")
-    members = layers.write(silver.member(raw_member(t), geo), "silver", "member")
-    educations = layers.write(silver.education(raw_education(t)), "silver", "education")
-    persons = layers.write(
-        silver.person(members, educations, dwellings), "silver", "person"
-    )
+    dwellings = store(silver.dwelling(raw_dwellings), "silver", "dwelling")
+    members = store(silver.member(raw_members, geo), "silver", "member")
+    educations = store(silver.education(raw_educations), "silver", "education")
+    persons = store(silver.person(members, educations, dwellings), "silver", "person")
     locations = layers.write(gold.dim_location(dwellings), "gold", "dim_location")
     layers.write(gold.dim_time(persons, AS_OF_YEAR), "gold", "dim_time")
-    layers.write(gold.dim_person(persons), "gold", "dim_person")
-    layers.write(gold.dim_dwelling(dwellings), "gold", "dim_dwelling")
-    layers.write(gold.dim_education(educations), "gold", "dim_education")
-    fact = layers.write(
-        gold.fact_survey(persons, dwellings, locations), "gold", "fact_survey"
-    )
+    store(gold.dim_person(persons), "gold", "dim_person")
+    store(gold.dim_dwelling(dwellings), "gold", "dim_dwelling")
+    store(gold.dim_education(educations), "gold", "dim_education")
+    fact = store(gold.fact_survey(persons, dwellings, locations), "gold", "fact_survey")
     layers.write(gold.kpi_scholarships_yearly(fact), "gold", "kpi_scholarships_yearly")
     layers.write(gold.kpi_living_conditions(fact, locations), "gold", "kpi_living_conditions")
     return layers

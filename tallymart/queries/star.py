@@ -9,13 +9,11 @@ from tallymart.operators import quality
 from tallymart.operators.project import rename_present
 from tallymart.plans import analytics, gold, silver, spec
 from tallymart.queries import star_sql as sql
-from tallymart.queries.fixture import (
-    AS_OF_YEAR, geography, raw_dwelling, raw_education, raw_member, star,
-)
+from tallymart.queries.fixture import AS_OF_YEAR, geography, star
 from tallymart.queries.registry import Tables, query
 
 
-# --- clean tables, straight from the given tables ---------------------------
+# --- clean tables, from the stored raw tables --------------------------------
 
 
 @query(sql.over(sql.GEOGRAPHY, sql="SELECT * FROM geography"))
@@ -25,17 +23,19 @@ def silver_geography(t: Tables) -> DataFrame:
 
 @query(sql.over(sql.DWELLING, sql="SELECT * FROM dwelling"))
 def silver_dwelling(t: Tables) -> DataFrame:
-    return silver.dwelling(raw_dwelling(t))
+    return silver.dwelling(star(t).read("bronze", "dwelling"))
 
 
 @query(sql.over(sql.GEOGRAPHY, sql.MEMBER, sql="SELECT * FROM member"))
 def silver_member(t: Tables) -> DataFrame:
-    return silver.member(raw_member(t), geography(t))
+    return silver.member(
+        star(t).read("bronze", "member"), star(t).read("ref", "geography")
+    )
 
 
 @query(sql.over(sql.EDUCATION, sql="SELECT * FROM education"))
 def silver_education(t: Tables) -> DataFrame:
-    return silver.education(raw_education(t))
+    return silver.education(star(t).read("bronze", "education"))
 
 
 # --- star, from the stored clean tables -------------------------------------

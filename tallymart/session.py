@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM runs methods above this size uncompiled; wide cleaning
+    # projections are faster outside one fused stage than inside such a method
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
