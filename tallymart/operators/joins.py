@@ -59,44 +59,37 @@ def lookup_left_hot(
     lookup: DataFrame,
     on: Sequence[str],
     hot_keys: int = 1000,
-    null_buckets: int = 64,
+    buckets: int = 64,
 ) -> DataFrame:
     """``lookup_left`` for frames in which a few keys hold most of the rows.
 
-    The ``hot_keys`` most frequent keys are found by one pre-aggregated count
-    over the key columns. Their lookup rows, at most that many, are broadcast;
-    all other rows go through the shuffled join, where the rows already served
-    are spread by hash so that no task receives a hot key whole. Which keys
-    count as hot changes the work, never the result. It reads the key columns
-    of ``df`` once more than ``lookup_left``.
+    The ``hot_keys`` most frequent keys come from a pre-aggregated count over
+    the key columns, and being at most that many they are broadcast. Their rows
+    are spread over ``buckets`` tasks, and their lookup rows are copied once
+    per bucket; rows without a key are spread too. Which keys count as hot
+    changes the work, never the result. The key columns of ``df`` are read once
+    more than by ``lookup_left``.
     """
     keys = list(on)
-    extra = [c for c in lookup.columns if c not in keys]
-    hot = (
-        df.groupBy(*keys).count()
-        .dropna(subset=keys)
+    hot = F.broadcast(
+        df.dropna(subset=keys)
+        .groupBy(*keys).count()
         .orderBy(F.desc("count"), *keys)
         .limit(hot_keys)
-        .select(*keys)
+        .select(*keys, F.lit(True).alias("_hot"))
     )
-    hot_rows = lookup.join(F.broadcast(hot), keys, "left_semi")
-    served = (
-        lookup_left(hot, hot_rows, keys)
-        .select(*keys, F.struct(F.lit(True).alias("_seen"), *extra).alias("_hot"))
-    )
-    marked = df.join(F.broadcast(served), keys, "left").select(*df.columns, "_hot")
-    cold_key = {f"_cold{i}": F.when(F.col("_hot").isNull(), F.col(k)) for i, k in enumerate(keys)}
-    cold_rows = lookup.select(*keys, F.struct(F.lit(True).alias("_seen"), *extra).alias("_cold"))
-    joined = lookup_left(
-        marked.withColumns(cold_key),
-        cold_rows,
-        dict(zip(cold_key, keys)),
-        null_buckets,
-    )
-    return joined.select(
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    left = df.join(hot, keys, "left").select(
         *df.columns,
-        *[F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in extra],
+        F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0)).alias("_bucket"),
+    )
+    homes = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+    right = lookup.join(hot, keys, "left").select(
+        *lookup.columns,
+        F.explode(F.coalesce(homes, F.array(F.lit(0)))).alias("_bucket"),
     )
+    return lookup_left(left, right, [*keys, "_bucket"])
 
 
 def consolidate(primary: DataFrame, secondary: DataFrame, key: str) -> DataFrame:
