@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import scalar
@@ -34,6 +34,11 @@ def key_audit(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _stack(reports).withColumn("status", _verdict(sound))
 
 
+def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that lack a part of their key: no join will ever match them."""
+    return df.filter(reduce(Column.__or__, [F.col(k).isNull() for k in keys]))
+
+
 @dataclass(frozen=True)
 class Reference:
     """A foreign key of the fact, the dimension it points to, and its rule."""

@@ -59,8 +59,11 @@ class Builder:
         make: Callable[[], DataFrame],
         source: Callable[[], DataFrame] | None = None,
         yearly: bool = True,
+        keys: Sequence[str] = (),
     ) -> None:
-        def work() -> tuple[int, int]:
+        """Store ``make()``; rows without a full key stay, and are remarked on."""
+
+        def work() -> tuple[int, int, str]:
             options = {}
             if yearly:
                 options = {
@@ -69,8 +72,11 @@ class Builder:
                     "rebalance": self.rebalance,
                 }
             self.layers.write(make(), layer, table, **options)
-            rows_out = (self.read if yearly else self.layers.read)(layer, table).count()
-            return (source().count() if source else rows_out), rows_out
+            stored = (self.read if yearly else self.layers.read)(layer, table)
+            rows_out = stored.count()
+            lost = quality.without_key(stored, keys).count() if keys else 0
+            remark = f"{lost} rows without a full key" if lost else ""
+            return (source().count() if source else rows_out), rows_out, remark
 
         self.audit.step(layer, layer, table, work, self.on_error)
 
@@ -90,14 +96,19 @@ def build_silver(b: Builder) -> None:
     def raw(module: str) -> DataFrame:
         return bronze.read_module(b.layers, module, b.years)
 
-    b.build("silver", "dwelling", lambda: silver.dwelling(raw("dwelling")), lambda: raw("dwelling"))
+    b.build(
+        "silver", "dwelling", lambda: silver.dwelling(raw("dwelling")), lambda: raw("dwelling"),
+        keys=spec.HOUSEHOLD_KEY,
+    )
     b.build(
         "silver", "member",
         lambda: silver.member(raw("member"), b.layers.read("ref", "geography")),
         lambda: raw("member"),
+        keys=spec.PERSON_KEY,
     )
     b.build(
-        "silver", "education", lambda: silver.education(raw("education")), lambda: raw("education")
+        "silver", "education", lambda: silver.education(raw("education")),
+        lambda: raw("education"), keys=spec.PERSON_KEY,
     )
     b.build(
         "silver", "person",

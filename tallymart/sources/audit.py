@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.dedupe import keep_first
-from tallymart.sources.tables import Layers
+from tallymart.sources.tables import Layers, write_parquet
 
 RUNS_SCHEMA = (
     "run_id string, step string, layer string, table_name string, "
@@ -68,19 +68,20 @@ class Audit:
 
     def _append(self, rows: list[tuple], schema: str, table: str) -> None:
         frame = self.spark.createDataFrame(rows, schema).coalesce(1)
-        self.layers.write(frame, "audit", table, mode="append")
+        write_parquet(frame, self.layers.path("audit", table), mode="append")
+
+    def _read(self, table: str, schema: str) -> DataFrame:
+        if not self.layers.exists("audit", table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.layers.path("audit", table))
 
     def runs(self) -> DataFrame:
         """The run log."""
-        if not self.layers.exists("audit", "pipeline_runs"):
-            return self.spark.createDataFrame([], RUNS_SCHEMA)
-        return self.layers.read("audit", "pipeline_runs")
+        return self._read("pipeline_runs", RUNS_SCHEMA)
 
     def yearly_loads(self) -> DataFrame:
         """One row per table and year, as last loaded."""
-        if not self.layers.exists("audit", "yearly_load_log"):
-            return self.spark.createDataFrame([], LOADS_SCHEMA)
-        log = self.layers.read("audit", "yearly_load_log")
+        log = self._read("yearly_load_log", LOADS_SCHEMA)
         return keep_first(
             log, ["table_name", "survey_year"], [F.desc("loaded_at")]
         ).orderBy("table_name", "survey_year")
@@ -90,22 +91,23 @@ class Audit:
         step: str,
         layer: str,
         table: str,
-        work: Callable[[], tuple[int, int]],
+        work: Callable[[], tuple],
         on_error: str = "raise",
     ) -> bool:
-        """Run ``work``, which returns (rows in, rows out), and log the outcome.
+        """Run ``work`` and log the outcome.
 
+        ``work`` returns rows in, rows out and, if there is one, a remark.
         ``on_error`` is ``raise``, or ``skip`` to go on with the next table.
         """
         started_at = _now()
         try:
-            rows_in, rows_out = work()
+            rows_in, rows_out, *remark = work()
         except Exception as error:
             self.log(step, layer, table, started_at, 0, 0, "ERROR", str(error))
             if on_error == "raise":
                 raise
             return False
-        self.log(step, layer, table, started_at, rows_in, rows_out, "OK")
+        self.log(step, layer, table, started_at, rows_in, rows_out, "OK", *remark)
         return True
 
     def skipped(self, step: str, layer: str, table: str, message: str) -> None:

@@ -81,9 +81,13 @@ class Layers:
         return self.read(layer, table) if self.exists(layer, table) else None
 
     def write(self, df: DataFrame, layer: str, table: str, **options) -> DataFrame:
-        """Store a frame and return it as stored."""
-        write_parquet(df, self.path(layer, table), **options)
-        return self.read(layer, table)
+        """Store a frame and return it as stored.
+
+        The schema is known, so no file has to be opened for it.
+        """
+        path = self.path(layer, table)
+        write_parquet(df, path, **options)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def register(self, prefix: str) -> DataFrame:
         """Make the stored tables known to SQL as ``prefix_layer.table``.

@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         {
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "100000",
+            "spark.sql.debug.maxToStringFields": "1000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

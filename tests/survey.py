@@ -72,6 +72,8 @@ def generate(root, seed=11, dwellings=40):
                     schooling.append(record)
                     if rng.random() < 0.1:
                         schooling.append(dict(record))
+        if year == 2020:
+            people.append({**people[0], "ORDEN": "x"})
         if year == 2018:
             for row in homes:
                 del row["REGION"]

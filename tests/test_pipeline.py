@@ -75,6 +75,9 @@ def test_run_log(built, rows):
     assert summary.skipped == 3  # 2021 has no files; 2017 is not in the manifest
     assert [r.message for r in audit.runs().filter("status = 'ERROR'").collect()] == []
     assert summary.total == summary.ok + summary.skipped == 3 * 4 + 3 + 5 + 8
+    assert {
+        (r.table_name, r.message) for r in audit.runs().filter("status = 'OK' AND message <> ''").collect()
+    } == {("member", "1 rows without a full key")}
     details = quality.run_details(audit.runs(), "run-1")
     assert details.filter("status = 'OK'").filter("seconds >= 0 AND rows_out > 0").count() == summary.ok
 
