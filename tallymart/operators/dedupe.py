@@ -15,6 +15,7 @@ def keep_first(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column] = (),
+    order_is_total: bool = False,
 ) -> DataFrame:
     """Keep the first row of every key; NULL keys count as equal.
 
@@ -23,13 +24,17 @@ def keep_first(
     was split. Spark turns ``row_number() = 1`` into a per-task limit ahead of
     the shuffle: each task sends at most one row per key, however many copies
     one key has.
+
+    ``order_is_total`` promises that no two rows of a key are equal in
+    ``order``. Other columns are then left out of the order, and those that no
+    later step uses are not even read.
     """
     named = {c for c in order if isinstance(c, str)} | set(keys)
     first = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     rest = [
         F.col(f.name).asc_nulls_last()
         for f in df.schema.fields
-        if f.name not in named and not isinstance(f.dataType, _NO_ORDER)
+        if not (order_is_total or f.name in named or isinstance(f.dataType, _NO_ORDER))
     ]
     turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*first, *rest))
     return df.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")

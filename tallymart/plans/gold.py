@@ -72,7 +72,7 @@ def dim_education(educations: DataFrame) -> DataFrame:
 
 def fact_survey(
     persons: DataFrame,
-    dwellings: DataFrame,
+    dwelling_dim: DataFrame,
     locations: DataFrame,
     hot_dwellings: int = 0,
 ) -> DataFrame:
@@ -81,11 +81,10 @@ def fact_survey(
     The education key is NULL for persons without an education record. Such a
     record always has its support flag set, so the flag on the person tells,
     and the key follows from the person's own key without another join. The
-    location key is NULL for an unknown region.
+    location key is NULL for an unknown region. The state of the dwelling comes
+    from its dimension, which already has one row per dwelling and year.
     """
-    place = one_per_dwelling(dwellings).select(
-        *spec.DWELLING_KEY, "at_risk", "lacks_services"
-    )
+    place = dwelling_dim.select(*spec.DWELLING_KEY, "at_risk", "lacks_services")
     base = persons.select(
         *spec.PERSON_KEY, "studying", "scholarship", "subsidy", "credit", "any_support",
         "scholarship_amount", "subsidy_amount", "credit_amount", "region", "weight",

@@ -135,7 +135,7 @@ def build_gold(b: Builder, as_of_year: int) -> None:
     b.build(
         "gold", "fact_survey",
         lambda: gold.fact_survey(
-            b.read("silver", "person"), b.read("silver", "dwelling"),
+            b.read("silver", "person"), b.read("gold", "dim_dwelling"),
             layers.read("gold", "dim_location"),
         ),
     )

@@ -60,9 +60,9 @@ def one_per_dwelling(dwellings: DataFrame) -> DataFrame:
     """One row per dwelling and year: that of its first household.
 
     Joining persons to the household rows would repeat every person once per
-    household of the dwelling.
+    household of the dwelling. ``dwellings`` holds one row per household.
     """
-    return keep_first(dwellings, spec.DWELLING_KEY, ["household_no"])
+    return keep_first(dwellings, spec.DWELLING_KEY, ["household_no"], order_is_total=True)
 
 
 def member(

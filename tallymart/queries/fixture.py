@@ -195,9 +195,9 @@ def build_star(t: Tables, layers: Layers) -> Layers:
     locations = layers.write(gold.dim_location(dwellings), "gold", "dim_location")
     layers.write(gold.dim_time(persons, AS_OF_YEAR), "gold", "dim_time")
     store(gold.dim_person(persons), "gold", "dim_person")
-    store(gold.dim_dwelling(dwellings), "gold", "dim_dwelling")
+    homes = store(gold.dim_dwelling(dwellings), "gold", "dim_dwelling")
     store(gold.dim_education(educations), "gold", "dim_education")
-    fact = store(gold.fact_survey(persons, dwellings, locations), "gold", "fact_survey")
+    fact = store(gold.fact_survey(persons, homes, locations), "gold", "fact_survey")
     layers.write(gold.kpi_scholarships_yearly(fact), "gold", "kpi_scholarships_yearly")
     layers.write(gold.kpi_living_conditions(fact, locations), "gold", "kpi_living_conditions")
     return layers

@@ -78,7 +78,7 @@ def dim_education(t: Tables) -> DataFrame:
 def fact_build(t: Tables) -> DataFrame:
     s = star(t)
     return gold.fact_survey(
-        s.read("silver", "person"), s.read("silver", "dwelling"), s.read("gold", "dim_location")
+        s.read("silver", "person"), s.read("gold", "dim_dwelling"), s.read("gold", "dim_location")
     )
 
 
@@ -86,7 +86,7 @@ def fact_build(t: Tables) -> DataFrame:
 def fact_build_hot_keys(t: Tables) -> DataFrame:
     s = star(t)
     return gold.fact_survey(
-        s.read("silver", "person"), s.read("silver", "dwelling"),
+        s.read("silver", "person"), s.read("gold", "dim_dwelling"),
         s.read("gold", "dim_location"), hot_dwellings=100,
     )
 

@@ -61,11 +61,11 @@ def test_raw_table_is_read_by_the_spec(star, plan):
 
 def test_fact_needs_no_join_for_the_education_key(star, plan):
     fact = gold.fact_survey(
-        star.read("silver", "person"), star.read("silver", "dwelling"),
+        star.read("silver", "person"), star.read("gold", "dim_dwelling"),
         star.read("gold", "dim_location"),
     )
     text = plan(fact)
-    assert len(re.findall(r"Join ", text)) == 2
+    assert len(re.findall(r"Join ", text)) == 2 and "Window" not in text
     assert "BroadcastHashJoin" in text  # the location list, small on disk
 
 
@@ -80,6 +80,15 @@ def test_dedupe_sends_one_row_per_key_and_task(star, plan):
         assert re.search(r"Exchange[\s\S]*WindowGroupLimit .*Partial", text)
 
 
+def test_place_of_a_person_reads_four_columns_of_the_dwelling(star, plan):
+    persons = silver.person(
+        star.read("silver", "member"), star.read("silver", "education"),
+        star.read("silver", "dwelling"),
+    )
+    reads = [r for r in schemas(plan(persons)) if "urban_class" in r]
+    assert reads == ["dwelling_id:string,household_no:int,urban_class:string,region:string"]
+
+
 def test_regional_indicator_joins_sums_not_rows(star, plan):
     text = plan(gold.kpi_living_conditions(
         star.read("gold", "fact_survey"), star.read("gold", "dim_location")
