@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -183,14 +183,23 @@ def fact_audit(layers: Layers) -> DataFrame:
     )
 
 
-def served_tables(layers: Layers, published_names: bool = True) -> dict[str, DataFrame]:
-    """The gold tables to publish, under the names that reports use."""
+def served_tables(
+    layers: Layers,
+    published_names: bool = True,
+    table_names: Mapping[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """The gold tables to publish, under the names that reports use.
+
+    ``table_names`` overrides the name of single tables, as in
+    ``{"fact_survey": "fac_2024"}``.
+    """
     tables = {}
     for table, (published, own) in spec.PUBLISHED_TABLES.items():
         df = layers.read("gold", table)
         if published_names:
             df = rename_present(df, {**spec.PUBLISHED_NAMES, **own})
-        tables[published if published_names else table] = df
+        name = published if published_names else table
+        tables[(table_names or {}).get(table, name)] = df
     return tables
 
 
@@ -199,6 +208,7 @@ def serve(
     audit: Audit,
     write: Callable[[DataFrame, str], None],
     published_names: bool = True,
+    table_names: Mapping[str, str] | None = None,
 ) -> Published:
     """Publish all gold tables; each outcome is logged, failures do not stop it."""
     started = {"at": datetime.now(timezone.utc)}
@@ -208,14 +218,17 @@ def serve(
         audit.log("serving", "serving", name, started["at"], rows, rows, status, message)
         started["at"] = datetime.now(timezone.utc)
 
-    return publish(served_tables(layers, published_names), write, report)
+    return publish(served_tables(layers, published_names, table_names), write, report)
 
 
 def serving_audit(
-    layers: Layers, remote: Callable[[str], DataFrame], published_names: bool = True
+    layers: Layers,
+    remote: Callable[[str], DataFrame],
+    published_names: bool = True,
+    table_names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Row counts here and there; ``remote`` gives a published table or its scan."""
-    local = served_tables(layers, published_names)
+    local = served_tables(layers, published_names, table_names)
     return quality.reconcile(
         quality.row_counts(local), quality.row_counts({name: remote(name) for name in local})
     )

@@ -246,7 +246,7 @@ PUBLISHED_TABLES = {
     "dim_person": ("dim_persona", {}),
     "dim_dwelling": ("dim_vivienda", {}),
     "dim_education": ("dim_educacion", {}),
-    "fact_survey": ("fac_ecv", PUBLISHED_FACT_NAMES),
+    "fact_survey": ("fac_encuesta", PUBLISHED_FACT_NAMES),
     "kpi_scholarships_yearly": ("kpi_becas_anuales", PUBLISHED_KPI_NAMES),
     "kpi_living_conditions": ("kpi_condiciones_vida_region", PUBLISHED_KPI_NAMES),
 }

@@ -228,9 +228,10 @@ def test_serving_uses_published_names_and_counts(built, spark, tmp_path):
             raise RuntimeError("no room")
         target.write(df, "gold", name)
 
-    done = run.serve(layers, audit, write)
+    names = {"fact_survey": "fac_survey"}
+    done = run.serve(layers, audit, write, table_names=names)
     assert set(done.errors) == {"dim_vivienda"} and len(done.rows) == 7
-    fact = target.read("gold", "fac_ecv")
+    fact = target.read("gold", "fac_survey")
     assert fact.columns[:5] == [
         "directorio", "secuencia_encuesta", "secuencia_p", "orden", "sk_persona",
     ]
@@ -239,7 +240,9 @@ def test_serving_uses_published_names_and_counts(built, spark, tmp_path):
     target.write(spark.range(1), "gold", "dim_vivienda")
     report = {
         r.table_name: r.status
-        for r in run.serving_audit(layers, lambda n: target.read("gold", n)).collect()
+        for r in run.serving_audit(
+            layers, lambda n: target.read("gold", n), table_names=names
+        ).collect()
     }
     assert report.pop("dim_vivienda") == "ALERT" and set(report.values()) == {"OK"}
     logged = audit.runs().filter("run_id = 'run-3'")
