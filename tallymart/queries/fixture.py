@@ -180,13 +180,13 @@ def star(t: Tables) -> Layers:
 
 
 def build_star(t: Tables, layers: Layers) -> Layers:
-    def store(df: DataFrame, layer: str, table: str) -> DataFrame:
-        years = [spec.YEAR] if spec.YEAR in df.columns else []
-        return layers.write(df, layer, table, partition_by=years)
+    def store(df: DataFrame, layer: str, table: str, rebalance: bool = False) -> DataFrame:
+        return layers.write(df, layer, table, partition_by=[spec.YEAR], rebalance=rebalance)
 
-    raw_dwellings = store(raw_dwelling(t), "bronze", "dwelling")
-    raw_members = store(raw_member(t), "bronze", "member")
-    raw_educations = store(raw_education(t), "bronze", "education")
+    # every input split holds all years here, unlike a survey file
+    raw_dwellings = store(raw_dwelling(t), "bronze", "dwelling", rebalance=True)
+    raw_members = store(raw_member(t), "bronze", "member", rebalance=True)
+    raw_educations = store(raw_education(t), "bronze", "education", rebalance=True)
     geo = layers.write(geography(t), "ref", "geography")
     dwellings = store(silver.dwelling(raw_dwellings), "silver", "dwelling")
     members = store(silver.member(raw_members, geo), "silver", "member")

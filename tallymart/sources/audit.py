@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.dedupe import keep_first
-from tallymart.sources.tables import Layers, write_parquet
+from tallymart.sources.tables import Layers, create_schemas, create_table, write_parquet
 
 RUNS_SCHEMA = (
     "run_id string, step string, layer string, table_name string, "
@@ -75,6 +75,13 @@ class Audit:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.layers.path("audit", table))
 
+    def create_tables(self, prefix: str) -> None:
+        """Make both logs known to SQL, empty ones too, with their types."""
+        create_schemas(self.spark, prefix)
+        for table, schema in (("pipeline_runs", RUNS_SCHEMA), ("yearly_load_log", LOADS_SCHEMA)):
+            path = self.layers.path("audit", table)
+            create_table(self.spark, f"{prefix}_audit.{table}", schema, path)
+
     def runs(self) -> DataFrame:
         """The run log."""
         return self._read("pipeline_runs", RUNS_SCHEMA)

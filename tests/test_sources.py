@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tallymart.operators.joins import upsert
 from tallymart.session import scratch_path, shared_folder
 from tallymart.sources import relational, tables
+from tallymart.sources.audit import Audit
 from tallymart.sources.delimited import (
     path_exists, raw_module, read_delimited, resolve, union_years,
 )
@@ -170,6 +171,19 @@ def test_layers_and_catalog(spark, rows, tmp_path):
     assert spark.table("demo_audit.runs").count() == 0
 
 
+def test_run_log_is_a_typed_table_from_the_start(spark, tmp_path):
+    audit = Audit(tables.Layers(spark, str(tmp_path)), "r")
+    audit.create_tables("logs")
+    assert spark.table("logs_audit.pipeline_runs").count() == 0
+    assert len(spark.table("logs_audit.pipeline_runs").columns) == 11
+    assert len(spark.table("logs_audit.yearly_load_log").columns) == 5
+    for rows in (3, 5):
+        audit.loaded("member", 2018, rows)
+    spark.catalog.refreshTable("logs_audit.yearly_load_log")
+    assert spark.table("logs_audit.yearly_load_log").count() == 2
+    assert [r.row_count for r in audit.yearly_loads().collect()] == [5]
+
+
 def test_upsert_through_a_snapshot(spark, rows):
     def frame(data):
         return spark.createDataFrame(data, "k int, v string")
