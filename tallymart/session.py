@@ -23,7 +23,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-_local_folders: dict[str, str] = {}
+# removed when the process ends
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def build_session(
@@ -62,8 +63,10 @@ def shared_folder(spark: SparkSession) -> str:
             "set spark.checkpoint.dir to a folder that all executors share"
         )
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallymart-")
-    return _local_folders[context.applicationId]
+        _local_folders[context.applicationId] = tempfile.TemporaryDirectory(
+            prefix="tallymart-", ignore_cleanup_errors=True
+        )
+    return _local_folders[context.applicationId].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
