@@ -88,7 +88,7 @@ class ByteRuns:
             pieces = self.pieces(*textcore.column_bytes(part.column(TEXT)))
             yield textcore.ids_of(part.column(ID))[pieces.rows], pieces.anchors
 
-    def spread(self, buckets: int):
+    def spread(self, routed: np.ndarray):
         """Texts with their shared anchors to bundles of candidate pieces."""
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,31 +104,30 @@ class ByteRuns:
                     waiting.append((ids, found.keys[shared], found.anchors[shared], sizes, data[at]))
                     size += len(at)
                     if size >= BATCH_BYTES:
-                        yield from self._send(*map(np.concatenate, zip(*waiting)), buckets)
+                        yield from self._send(*map(np.concatenate, zip(*waiting)), routed)
                         waiting, size = [], 0
             if size:
-                yield from self._send(*map(np.concatenate, zip(*waiting)), buckets)
+                yield from self._send(*map(np.concatenate, zip(*waiting)), routed)
 
         return run
 
-    def _send(self, ids, keys, anchors, sizes, data, buckets) -> Iterator[pa.RecordBatch]:
+    def _send(self, ids, keys, anchors, sizes, data, routed) -> Iterator[pa.RecordBatch]:
         chosen, settled = self.distinct(ids, keys, sizes)
         rows = [self._bundle(0, True, *settled)] if len(settled[0]) else []
         if rows:
-            rows[0]["bucket"] = int(keys[0] % np.uint64(buckets))
+            rows[0]["bucket"] = int(routed[keys[0] % np.uint64(len(routed))])
         begins = np.cumsum(sizes) - sizes
-        shares = (anchors[chosen] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        shares = (anchors[chosen] >> np.uint64(32)) * np.uint64(len(routed)) >> np.uint64(32)
         order = np.argsort(shares, kind="stable")
         chosen, shares = chosen[order], shares[order]
         cuts = np.flatnonzero(np.concatenate([[True], shares[1:] != shares[:-1], [True]])) if len(chosen) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = chosen[a:b]
-            rows.append(self._bundle(int(shares[a]), False, ids[own], keys[own]) | {
+            rows.append(self._bundle(int(routed[shares[a]]), False, ids[own], keys[own]) | {
                 "anchors": anchors[own].tobytes(), "sizes": sizes[own].astype(np.uint32).tobytes(),
                 "pieces": data[stretches(begins[own], sizes[own])].tobytes(),
             })
-        for begin in range(0, len(rows), 200):
-            yield pa.RecordBatch.from_pylist(rows[begin:begin + 200], _SCHEMA)
+        yield from repeats.in_batches(rows, _SCHEMA)
 
     @staticmethod
     def _bundle(bucket: int, settled: bool, ids: np.ndarray, keys: np.ndarray) -> dict:
@@ -146,18 +145,25 @@ class ByteRuns:
         spans["key"], spans["count"] = keys[later], sizes[later] - self.size + 1
         return chosen, (ids[later], spans)
 
-    def gather(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(self, routed: np.ndarray):
+        """Bundles of pieces to spans on their way back to their documents."""
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, spans in self.merged(batches):
+                yield from repeats.back(ids, spans, routed)
+
+        return run
+
+    def merged(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         waiting = []
         for batch in batches:
             for row in batch.to_pylist():
-                known = np.frombuffer(row["ids"], np.int64)
-                kind = np.uint16 if len(known) <= 65536 else np.uint32
-                ids = known[np.frombuffer(row["places"], kind)]
+                ids, keys = repeats.unbundled(row, SPANS if row["settled"] else np.uint64)
                 if row["settled"]:
-                    yield repeats.by_id(ids, np.frombuffer(row["keys"], SPANS))
+                    yield ids, keys
                 else:
                     waiting.append((
-                        ids, np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["anchors"], np.uint64),
+                        ids, keys, np.frombuffer(row["anchors"], np.uint64),
                         np.frombuffer(row["sizes"], np.uint32).astype(np.int64), np.frombuffer(row["pieces"], np.uint8),
                     ))
         if not waiting:
@@ -166,7 +172,7 @@ class ByteRuns:
         waiting.clear()
         chosen, settled = self.distinct(ids, keys, sizes)
         if len(settled[0]):
-            yield repeats.by_id(*settled)
+            yield settled
         # by anchor; an anchor with one distinct piece has no partner left
         begins = np.cumsum(sizes) - sizes
         chosen = chosen[np.argsort(anchors[chosen], kind="stable")]
@@ -192,7 +198,7 @@ class ByteRuns:
                 piece = np.searchsorted(bounds, starts, "right") - 1
                 spans = np.zeros(len(starts), SPANS)
                 spans["key"], spans["start"], spans["count"] = keys[own][piece], starts - bounds[piece], ends - starts
-                yield repeats.by_id(ids[own][piece], spans)
+                yield ids[own][piece], spans
 
     def removed(self, part: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         rows, spans = repeats.listed(part.column("__keys"), SPANS)
@@ -246,15 +252,15 @@ def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     method = ByteRuns(size, anchor)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
-    buckets = repeats.reducers(source)
-    anchors = repeats.shared_keys(source, method.anchor_keys, False, buckets)
+    routed = repeats.routes(docs.sparkSession, repeats.reducers(source))
+    anchors = repeats.shared_keys(source, method.anchor_keys, False, routed)
     spans = (
         repeats.with_keys(source, anchors, "inner")
-        .mapInArrow(method.spread(buckets), PIECES)
-        .repartition(buckets, "bucket")
-        .mapInArrow(method.gather, repeats.FOUND)
-        .groupBy(ID).agg(F.collect_list("keys").alias("__keys"))
+        .mapInArrow(method.spread(routed), PIECES)
+        .repartition(len(routed), "bucket")
+        .mapInArrow(method.gather(routed), repeats.BUNDLE)
     )
+    spans = repeats.delivered(spans, len(routed), SPANS)
     kinds = f"{ID} long, __row {runs.rest_type(source)}, __bytes long, __removed long, __spans long, __kept binary"
     return (
         repeats.with_keys(source, spans, "left")

@@ -8,8 +8,12 @@ of all documents hold reaches its reducer once per batch, and what comes back
 for a document goes by its id. Keys travel in bundles, one binary column for
 all keys that a batch sends to one reducer.
 
-Ids are integers. A NULL id counts as larger than all others. Rows that share
-an id never count as copies of each other.
+What comes back is bundled too, by the id's own bucket, so that each document
+gets one row, however many reducers there are.
+
+Ids are integers below 2^62. A row without an id gets one from a hash of its
+text, behind all others. Rows that share an id never count as copies of each
+other.
 """
 
 from __future__ import annotations
@@ -18,11 +22,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.textcore import LAST_ID, mixed
+from tallymart.llm.textcore import LAST_ID, column_bytes, mixed
 
 #: the texts of a frame while operators of this package work on it
 ID, TEXT = "__id", "__text"
@@ -32,7 +35,7 @@ GROUP_KEYS = 2_000_000
 REDUCER_BYTES = 32 << 20
 
 BUNDLE = "bucket int, settled boolean, ids binary, places binary, keys binary"
-FOUND = f"{ID} long, keys binary"
+FOUND = f"{ID} long, __keys binary"
 
 Extract = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 
@@ -40,12 +43,30 @@ Extract = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 def texts(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Id and text under names that no other column has."""
     return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias(ID),
+        F.coalesce(F.col(id_col).cast("long"), behind(text_col)).alias(ID),
         F.col(text_col).cast("string").alias(TEXT),
         *more,
     )
 
 
+def behind(text_col: str) -> Column:
+    """An id behind all given ones, the same for equal texts."""
+    return F.lit(LAST_ID) - F.xxhash64(F.col(text_col).cast("string")).bitwiseAND(F.lit(2**60 - 1))
+
+
+def routes(spark: SparkSession, buckets: int) -> np.ndarray:
+    """For each bucket the number that hash partitioning sends to a partition
+    of its own, so that equal buckets make equal partitions."""
+    found: dict[int, int] = {}
+    begin, size = 0, 16 * buckets
+    while len(found) < buckets:
+        numbers = spark.range(begin, begin + size).select(F.col("id").cast("int").alias("v"))
+        rows = numbers.groupBy(F.pmod(F.hash("v"), F.lit(buckets)).alias("p")).agg(F.min("v").alias("v")).collect()
+        found = {r.p: r.v for r in rows} | found
+        begin += size
+    return np.array([found[p] for p in range(buckets)], np.int32)
+
+
 def reducers(docs: DataFrame) -> int:
     """Partitions for the keys of these texts: in proportion to their bytes."""
     size = docs.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
@@ -81,38 +102,47 @@ def _bundle(bucket: int, settled: bool, ids: np.ndarray, keys: np.ndarray) -> di
     }
 
 
-def unbundled(ids: bytes, places: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
-    known, values = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.uint64)
-    kind = np.uint16 if len(known) <= 65536 else np.uint32
-    return known[np.frombuffer(places, kind)], values
+def unbundled(row: dict, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    known, values = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], kind)
+    return known[np.frombuffer(row["places"], np.uint16 if len(known) <= 65536 else np.uint32)], values
 
 
-def _records(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema)
+def in_batches(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for begin in range(0, len(rows), 200):
+        yield pa.RecordBatch.from_pylist(rows[begin:begin + 200], schema)
 
 
-_BUNDLE_SCHEMA = pa.schema([
+BUNDLE_SCHEMA = pa.schema([
     ("bucket", pa.int32()), ("settled", pa.bool_()), ("ids", pa.binary()), ("places", pa.binary()), ("keys", pa.binary()),
 ])
 
 
-def _send(ids: np.ndarray, keys: np.ndarray, later: bool, buckets: int) -> Iterator[pa.RecordBatch]:
-    sorted_keys, sorted_ids, starts, smallest, held = judged(ids, keys, later)
+def by_bucket(shares: np.ndarray, values: np.ndarray, ids: np.ndarray, keys: np.ndarray, routed: np.ndarray) -> list[dict]:
+    """Bundles of (id, key), one for each bucket; ``shares``: where values part."""
+    order = np.argsort(values, kind="stable")
+    edges = np.concatenate([[0], np.searchsorted(values[order], shares), [len(order)]])
     rows = []
-    # keys are sorted and well mixed, so equal ranges of keys are equal shares
-    unique = sorted_keys[starts]
-    edges = np.searchsorted(unique, (np.arange(1, buckets, dtype=object) * 2**64 // buckets).astype(np.uint64))
-    edges = np.concatenate([[0], edges, [len(unique)]])
     for bucket in np.flatnonzero(np.diff(edges)):
-        part = slice(edges[bucket], edges[bucket + 1])
-        rows.append(_bundle(int(bucket), False, smallest[part], unique[part]))
+        part = order[edges[bucket]:edges[bucket + 1]]
+        rows.append(_bundle(int(routed[bucket]), False, ids[part], keys[part]))
+    return rows
+
+
+def shares_of(buckets: int) -> np.ndarray:
+    """Where the range of 64-bit hashes parts into equal buckets."""
+    return (np.arange(1, buckets, dtype=object) * 2**64 // buckets).astype(np.uint64)
+
+
+def _send(ids: np.ndarray, keys: np.ndarray, later: bool, routed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    sorted_keys, sorted_ids, starts, smallest, held = judged(ids, keys, later)
+    unique = sorted_keys[starts]
+    rows = by_bucket(shares_of(len(routed)), unique, smallest, unique, routed)
     if held.any():
-        rows.append(_bundle(int(sorted_keys[0] % np.uint64(buckets)), True, sorted_ids[held], sorted_keys[held]))
-    for begin in range(0, len(rows), 200):
-        yield _records(rows[begin:begin + 200], _BUNDLE_SCHEMA)
+        rows.append(_bundle(int(routed[sorted_keys[0] % np.uint64(len(routed))]), True, sorted_ids[held], sorted_keys[held]))
+    yield from in_batches(rows, BUNDLE_SCHEMA)
 
 
-def spread(extract: Extract, later: bool, buckets: int):
+def spread(extract: Extract, later: bool, routed: np.ndarray):
     """For ``mapInArrow``: texts to bundles of keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +153,10 @@ def spread(extract: Extract, later: bool, buckets: int):
                     waiting.append((ids, keys))
                     size += len(keys)
                 if size >= GROUP_KEYS:
-                    yield from _send(*map(np.concatenate, zip(*waiting)), later, buckets)
+                    yield from _send(*map(np.concatenate, zip(*waiting)), later, routed)
                     waiting, size = [], 0
         if size:
-            yield from _send(*map(np.concatenate, zip(*waiting)), later, buckets)
+            yield from _send(*map(np.concatenate, zip(*waiting)), later, routed)
 
     return run
 
@@ -141,37 +171,59 @@ def by_id(ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
         pa.binary(), len(starts),
         [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(keys.tobytes())],
     )
-    return pa.RecordBatch.from_arrays([pa.array(ids[starts]), values], [ID, "keys"])
+    return pa.RecordBatch.from_arrays([pa.array(ids[starts]), values], [ID, "__keys"])
+
+
+def back(ids: np.ndarray, keys: np.ndarray, routed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keys on their way to their documents: bundles by a hash of the id."""
+    values = mixed(ids.astype(np.uint64))
+    yield from in_batches(by_bucket(shares_of(len(routed)), values, ids, keys, routed), BUNDLE_SCHEMA)
 
 
-def gather(later: bool):
-    """For ``mapInArrow``: the bundles of a partition to keys per document."""
+def gather(later: bool, routed: np.ndarray):
+    """For ``mapInArrow``: judges the bundles of a partition, sends keys back."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = []
         for batch in batches:
             for row in batch.to_pylist():
-                ids, keys = unbundled(row["ids"], row["places"], row["keys"])
+                ids, keys = unbundled(row)
                 if row["settled"]:
-                    yield by_id(ids, keys)
+                    yield from back(ids, keys, routed)
                 else:
                     waiting.append((ids, keys))
         if waiting:
             ids, keys = map(np.concatenate, zip(*waiting))
             sorted_keys, sorted_ids, _, _, held = judged(ids, keys, later)
-            yield by_id(sorted_ids[held], sorted_keys[held])
+            yield from back(sorted_ids[held], sorted_keys[held], routed)
+
+    return run
+
+
+def sorted_by_id(kind: type = np.uint64):
+    """For ``mapInArrow``: the bundles of a partition to one row for each id."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = [unbundled(row, kind) for batch in batches for row in batch.to_pylist()]
+        if waiting:
+            yield by_id(*map(np.concatenate, zip(*waiting)))
 
     return run
 
 
-def shared_keys(docs: DataFrame, extract: Extract, later: bool, buckets: int) -> DataFrame:
-    """(id, keys array<binary>): the keys of a document that others hold too."""
-    return (
-        docs.mapInArrow(spread(extract, later, buckets), BUNDLE)
+def delivered(bundles: DataFrame, buckets: int, kind: type = np.uint64) -> DataFrame:
+    return bundles.repartition(buckets, "bucket").mapInArrow(sorted_by_id(kind), FOUND)
+
+
+def shared_keys(docs: DataFrame, extract: Extract, later: bool, routed: np.ndarray) -> DataFrame:
+    """(id, __keys binary): the keys of a document that others hold too."""
+    buckets = len(routed)
+    judged_keys = (
+        docs.mapInArrow(spread(extract, later, routed), BUNDLE)
         .repartition(buckets, "bucket")
-        .mapInArrow(gather(later), FOUND)
-        .groupBy(ID).agg(F.collect_list("keys").alias("__keys"))
+        .mapInArrow(gather(later, routed), BUNDLE)
     )
+    return delivered(judged_keys, buckets)
 
 
 def with_keys(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -180,21 +232,10 @@ def with_keys(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def listed(column: pa.Array, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of every key in a column of lists of binary keys."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten()
-    sizes = np.zeros(len(column), np.int64)
-    if len(flat):
-        lengths = pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
-        sums = np.concatenate([[0], np.cumsum(lengths)])
-        counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(counts)
-        sizes = (sums[ends] - sums[ends - counts]) // np.dtype(kind).itemsize
-        keys = np.frombuffer(b"".join(flat.to_pylist()), kind)
-    else:
-        keys = np.zeros(0, kind)
-    return np.repeat(np.arange(len(column)), sizes), keys
+    """(row, key) of every key in a column of binary values that hold keys."""
+    data, bounds = column_bytes(column)
+    keys = np.frombuffer(data.tobytes(), kind)
+    return np.repeat(np.arange(len(column)), np.diff(bounds) // np.dtype(kind).itemsize), keys
 
 
 def held_by_row(rows: np.ndarray, keys: np.ndarray, known_rows: np.ndarray, known_keys: np.ndarray) -> np.ndarray:

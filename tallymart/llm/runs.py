@@ -110,10 +110,10 @@ def without_repeats(docs: DataFrame, runs: Runs, id_col: str, text_col: str) ->
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
-    buckets = repeats.reducers(source)
-    anchors = repeats.shared_keys(source, runs.anchor_keys, False, buckets)
+    routed = repeats.routes(docs.sparkSession, repeats.reducers(source))
+    anchors = repeats.shared_keys(source, runs.anchor_keys, False, routed)
     near = repeats.with_keys(source, anchors, "inner")
-    windows = repeats.shared_keys(near, runs.window_keys, True, buckets)
+    windows = repeats.shared_keys(near, runs.window_keys, True, routed)
     kinds = f"{ID} long, __row {rest_type(source)}, __units long, __removed long, __kept string"
     return (
         repeats.with_keys(source, windows, "left")

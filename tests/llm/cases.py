@@ -3,6 +3,8 @@
 import random
 import re
 
+import xxhash
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keys string, row int, `__row` int"
 
 
@@ -31,6 +33,14 @@ def frame(spark, texts):
     return spark.createDataFrame(rows, SCHEMA).repartition(5)
 
 
+def place(i, text):
+    """The order of documents: rows without an id last, by a hash of the text."""
+    if i is not None:
+        return i
+    hashed = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return 2**63 - 1 - (hashed & (2**60 - 1))
+
+
 def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
@@ -38,18 +48,17 @@ def words_of(text):
 def repeated(texts, units, size):
     """For each row the units in windows that started before: by a smaller id or in the same row."""
     smallest: dict = {}
-    order = lambda i: (i is None, i or 0)
     sequences = [units(t) for _, t in texts]
-    for (i, _), seq in zip(texts, sequences):
+    for (i, t), seq in zip(texts, sequences):
         for p in range(len(seq) - size + 1):
             key = tuple(seq[p:p + size])
-            smallest[key] = min(smallest.get(key, order(i)), order(i))
+            smallest[key] = min(smallest.get(key, place(i, t)), place(i, t))
     out = []
-    for (i, _), seq in zip(texts, sequences):
+    for (i, t), seq in zip(texts, sequences):
         gone, seen = [False] * len(seq), set()
         for p in range(len(seq) - size + 1):
             key = tuple(seq[p:p + size])
-            if smallest[key] < order(i) or key in seen:
+            if smallest[key] < place(i, t) or key in seen:
                 gone[p:p + size] = [True] * size
             seen.add(key)
         out.append((seq, gone))

@@ -5,22 +5,21 @@ import pytest
 
 from tallymart.llm import bwt
 from tallymart.llm.byte_dedup import byte_dedup
-from tests.llm.cases import edge_texts, frame
+from tests.llm.cases import edge_texts, frame, place
 
 
 def expected(texts, size):
-    order = lambda i: 2**63 if i is None else i
     smallest: dict = {}
     for i, t in texts:
         b = (t or "").encode()
         for p in range(len(b) - size + 1):
-            smallest[b[p:p + size]] = min(smallest.get(b[p:p + size], order(i)), order(i))
+            smallest[b[p:p + size]] = min(smallest.get(b[p:p + size], place(i, t)), place(i, t))
     out = []
     for i, t in texts:
         b = (t or "").encode()
         gone = bytearray(len(b))
         for p in range(len(b) - size + 1):
-            if smallest[b[p:p + size]] < order(i):
+            if smallest[b[p:p + size]] < place(i, t):
                 gone[p:p + size] = b"\1" * size
         spans = sum(1 for p in range(len(b)) if gone[p] and not (p and gone[p - 1]))
         out.append((i, len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone) if not g)))
