@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.byte_dedup import byte_dedup
 from tallymart.llm.line_dedup import line_dedup
+from tallymart.llm.simhash import fingerprints, near_duplicates
 from tallymart.llm.store import table
 from tallymart.llm.substring_dedup import substring_dedup
 
@@ -38,9 +39,16 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select(
+        "row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_line_dedup, op5_suffix_array_dedup, op6_substring_dedup)
+    for f in (op2_line_dedup, op5_suffix_array_dedup, op6_substring_dedup, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
