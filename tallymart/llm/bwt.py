@@ -16,7 +16,7 @@ import numpy as np
 
 END = 0xFF  # in no UTF-8 text
 FIRST = 8  # bytes by which the first interleave is right
-SHARD_BYTES = 256 << 10
+SHARD_BYTES = 128 << 10
 
 
 @dataclass

@@ -27,9 +27,9 @@ from tallymart.llm.repeats import ID, TEXT
 
 SPANS = np.dtype([("key", "u8"), ("start", "u4"), ("count", "u4")])
 #: bytes of pieces that are merged at once; equal anchors stay together
-MERGE_BYTES = 4 << 20
+MERGE_BYTES = 1 << 20
 #: bytes of candidate pieces that a task sends as one batch
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 PIECES = "bucket int, settled boolean, ids binary, places binary, keys binary, anchors binary, sizes binary, pieces binary"
 _SCHEMA = pa.schema([

@@ -8,16 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.llm import quality, secrets, toxicity
 from tallymart.llm.byte_dedup import byte_dedup
+from tallymart.llm.decontaminate import benchmark_hits, contamination
 from tallymart.llm.line_dedup import line_dedup
+from tallymart.llm.packing import packed
+from tallymart.llm.sharding import sharded
 from tallymart.llm.simhash import fingerprints, near_duplicates
 from tallymart.llm.store import table
 from tallymart.llm.substring_dedup import substring_dedup
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    model = toxicity.train(docs, labels, ("low_quality", "toxic"))
+    found = toxicity.scored(docs, model)
+    p = F.col("probabilities")
+    return found.select(
+        "row.doc_id", F.round(p[0], 6).alias("p_low_quality"), F.round(p[1], 6).alias("p_toxic"),
+        (p[1] >= model.thresholds[1]).alias("toxic"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -26,6 +43,25 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(benchmark_hits(docs, table(spark, sf_dir, "benchmark")))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    order = [e.rule for e in quality.estimates(docs, quality.MORE)]
+    measured = docs.select("doc_id", quality.measures().alias("m"), "text").select("doc_id", "m.*", "text")
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    judged = measured.withColumn("base_failed", failed)
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(quality.kept(order))
+    return judged.withColumn("kept", kept).drop("text")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = byte_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -39,6 +75,36 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharded(table(spark, sf_dir, "documents").select("doc_id", "text"), 8)
+    return found.select(
+        "row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.secret_spans(docs, secrets.train(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    base = listed(F.filter("spans", lambda s: s["kind"] != "markov"))
+    return found.select(
+        "row.doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return found.select(
@@ -48,7 +114,89 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_line_dedup, op5_suffix_array_dedup, op6_substring_dedup, op10_simhash_near_dedup)
+    for f in (
+        op1_toxicity, op2_line_dedup, op3_benchmark_decontamination, op4_quality_rules, op5_suffix_array_dedup,
+        op6_substring_dedup, op7_sharding, op8_packing, op9_secret_scans, op10_simhash_near_dedup,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_WORD = "'[^\\x20\\x09-\\x0D]+'"
+
+ORACLES: dict[str, str] = {
+    "op3_benchmark_decontamination": """
+        WITH low AS (
+            SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+            UNION ALL
+            SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+        ), w AS (
+            SELECT kind, id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM low
+        ), items AS (
+            SELECT id AS item_id, len(ws) AS n, least(13, len(ws)) AS size, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS p, ws
+            FROM w WHERE kind = 'b' AND len(ws) > 0
+        ), pats AS (
+            SELECT DISTINCT item_id, size, array_to_string(ws[p:p + size - 1], ' ') AS pat FROM items
+        ), docwords AS (
+            SELECT id AS doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM w WHERE kind = 'd'
+        ), hits AS (
+            SELECT DISTINCT d.doc_id, d.p, s.size, pats.item_id
+            FROM docwords d JOIN (SELECT DISTINCT size FROM pats) s ON d.p + s.size - 1 <= len(d.ws)
+            JOIN pats ON pats.size = s.size AND pats.pat = array_to_string(d.ws[d.p:d.p + s.size - 1], ' ')
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+                SELECT doc_id, unnest(range(p, p + size)) AS q FROM (SELECT DISTINCT doc_id, p, size FROM hits)) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+            FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+        )
+        SELECT w.id AS doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+            CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.ws) AS contaminated
+        FROM w LEFT JOIN hit ON hit.doc_id = w.id LEFT JOIN named ON named.doc_id = w.id WHERE w.kind = 'd'
+    """,
+    "op4_quality_rules": f"""
+        WITH w AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents
+        ), g AS (
+            SELECT doc_id, p, array_to_string(ws[p:p + 4], ' ') AS gram
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS p FROM w)
+        ), r AS (
+            SELECT doc_id, count(DISTINCT q) AS n FROM (
+                SELECT doc_id, unnest(range(p, p + 5)) AS q FROM (
+                    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1) GROUP BY doc_id
+        ), m AS (
+            SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+                len(ls) AS n_lines, length(regexp_replace(t, '\\P{{Lu}}', '', 'g')) AS upper_chars,
+                length(regexp_replace(t, '\\P{{Ll}}', '', 'g')) AS lower_chars, length(regexp_replace(t, '[^!]', '', 'g')) AS marks
+            FROM w LEFT JOIN r USING (doc_id)
+        ), b AS (
+            SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT (base_failed OR 10 * n_symbols > n_words OR upper_chars > lower_chars OR 2 * marks > n_words
+                OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+        FROM b
+    """,
+    "op6_substring_dedup": f"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents
+        ), g AS (
+            SELECT doc_id, p, md5(array_to_string(ws[p:p + 19], ' ')) AS h
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM w)
+        ), later AS (
+            SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS k FROM g) WHERE k > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM later
+        ), sums AS (
+            SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+        ), kept AS (
+            SELECT e.doc_id, string_agg(word, ' ' ORDER BY q) AS t
+            FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS q FROM w) e
+            ANTI JOIN gone USING (doc_id, q) GROUP BY e.doc_id
+        )
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+}

@@ -29,8 +29,8 @@ from tallymart.llm.textcore import LAST_ID, column_bytes, mixed
 
 #: the texts of a frame while operators of this package work on it
 ID, TEXT = "__id", "__text"
-#: keys that a task judges at once: about 100 MB with what sorting needs
-GROUP_KEYS = 2_000_000
+#: keys that a task judges at once: about 50 MB with what sorting needs
+GROUP_KEYS = 500_000
 #: bytes of text for each reducer of keys
 REDUCER_BYTES = 32 << 20
 

@@ -216,17 +216,18 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def near_duplicates(marked: DataFrame, max_bits: int = 3) -> DataFrame:
-    """(row, fingerprint, component_id) from the rows of ``fingerprints``.
+    """(row, fingerprint, group, component_id) from the rows of ``fingerprints``.
 
     ``row`` must hold ``doc_id``. The component is the smallest id reachable.
-    Equal fingerprints are one node, so copies make no links.
+    Equal fingerprints are one node, so copies make no links. ``group`` tells
+    groups apart also where no row has an id.
     """
     marked = stored(marked, "fingerprints")
     node = F.coalesce(F.min("row.doc_id").cast("long"), F.lit(LAST_ID) - F.col("fp").bitwiseAND(F.lit(2**60 - 1)))
     distinct = stored(marked.groupBy(F.col("fingerprint").alias("fp")).agg(node.alias("node")), "nodes")
     roots = components.roots(stored(links(distinct, max_bits), "links"))
     named = distinct.join(roots, "node", "left").select(
-        F.col("fp").alias("fingerprint"), F.coalesce("root", "node").alias("component_id")
+        F.col("fp").alias("fingerprint"), F.coalesce("root", "node").alias("group")
     )
-    own = F.when(F.col("component_id") <= LAST_ID - 2**60, F.col("component_id"))
-    return marked.join(named, "fingerprint").select("row", "fingerprint", own.alias("component_id"))
+    own = F.when(F.col("group") < LAST_ID - 2**60, F.col("group"))
+    return marked.join(named, "fingerprint").select("row", "fingerprint", "group", own.alias("component_id"))

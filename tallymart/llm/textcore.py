@@ -63,7 +63,7 @@ def ids_of(column: pa.Array) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), LAST_ID).to_numpy(zero_copy_only=False)
 
 
-def slices(batch: pa.RecordBatch, text: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, size: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``size`` bytes of text; one row at least."""
     _, bounds = column_bytes(batch.column(text))
     row = 0
