@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm import components, textcore
-from tallymart.llm.repeats import ID, TEXT
+from tallymart.llm.repeats import TEXT
 from tallymart.llm.store import stored
-from tallymart.llm.textcore import LAST_ID
 
 SEED = 42
 #: fixed values: the low bit of each two-bit segment
@@ -223,11 +222,13 @@ def near_duplicates(marked: DataFrame, max_bits: int = 3) -> DataFrame:
     groups apart also where no row has an id.
     """
     marked = stored(marked, "fingerprints")
-    node = F.coalesce(F.min("row.doc_id").cast("long"), F.lit(LAST_ID) - F.col("fp").bitwiseAND(F.lit(2**60 - 1)))
-    distinct = stored(marked.groupBy(F.col("fingerprint").alias("fp")).agg(node.alias("node")), "nodes")
-    roots = components.roots(stored(links(distinct, max_bits), "links"))
-    named = distinct.join(roots, "node", "left").select(
-        F.col("fp").alias("fingerprint"), F.coalesce("root", "node").alias("group")
+    least = F.min("row.doc_id").cast("long").alias("least")
+    distinct = stored(marked.groupBy(F.col("fingerprint").alias("fp")).agg(least), "nodes")
+    nodes = distinct.select("fp", F.col("fp").alias("node"))
+    roots = components.roots(stored(links(nodes, max_bits), "links"))
+    member = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("fingerprint"), F.coalesce("root", "fp").alias("group"), "least"
     )
-    own = F.when(F.col("group") < LAST_ID - 2**60, F.col("group"))
-    return marked.join(named, "fingerprint").select("row", "fingerprint", "group", own.alias("component_id"))
+    names = member.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = member.drop("least").join(names, "group")
+    return marked.join(named, "fingerprint").select("row", "fingerprint", "group", "component_id")
