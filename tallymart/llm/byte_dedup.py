@@ -81,7 +81,8 @@ class ByteRuns:
         starts, ends = np.flatnonzero(new), np.flatnonzero(last) + 1
         rows = np.searchsorted(bounds, starts, "right") - 1
         keys = prefixes.between(starts, ends + self.size - 1)
-        return Pieces(starts, ends - starts, minima[starts], keys, rows)
+        # smallest hashes crowd at the low end; mixed again they part evenly
+        return Pieces(starts, ends - starts, textcore.mixed(minima[starts]), keys, rows)
 
     def anchor_keys(self, batch: pa.RecordBatch):
         for part in textcore.slices(batch, TEXT):
