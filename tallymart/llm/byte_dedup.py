@@ -1,12 +1,14 @@
 """Byte strings that an earlier document holds too, by merged shard transforms.
 
 Every window of ``size`` bytes belongs to the smallest hash of its ``anchor``
-byte strings. Consecutive windows with the same one form a piece. Only pieces
-whose smallest hash several documents share can hold a shared window, so only
-these travel; equal pieces of a batch travel once, for the smallest id. The
-pieces of one reducer are cut into shards, each shard gets its Burrows-Wheeler
-transform, and the transforms are merged by refining their interleave until it
-is right for ``size`` bytes. The blocks that are left are the shared windows.
+byte strings, its anchor. Consecutive windows with the same one form a piece.
+First only hashes travel: equal pieces of a batch once, for the smallest id.
+A piece that a smaller id holds as it is goes whole. Windows can still be shared
+by different pieces with one anchor, so the first holders of such pieces are
+asked for their bytes. The pieces of one reducer are cut into shards, each shard
+gets its Burrows-Wheeler transform, and the transforms are merged by refining
+their interleave until it is right for ``size`` bytes. The blocks that are left
+are the shared windows.
 
 Defined results: NULL text is empty, a NULL id comes last, rows that share an
 id never count against each other, other columns are passed on in ``row``.
@@ -26,6 +28,8 @@ from tallymart.llm import bwt, repeats, runs, textcore
 from tallymart.llm.repeats import ID, TEXT
 
 SPANS = np.dtype([("key", "u8"), ("start", "u4"), ("count", "u4")])
+#: in a span's count: all windows of the piece
+WHOLE = 2**32 - 1
 #: bytes of pieces that are merged at once; equal anchors stay together
 MERGE_BYTES = 1 << 20
 #: bytes of candidate pieces that a task sends as one batch
@@ -84,13 +88,57 @@ class ByteRuns:
         # smallest hashes crowd at the low end; mixed again they part evenly
         return Pieces(starts, ends - starts, textcore.mixed(minima[starts]), keys, rows)
 
-    def anchor_keys(self, batch: pa.RecordBatch):
-        for part in textcore.slices(batch, TEXT):
-            pieces = self.pieces(*textcore.column_bytes(part.column(TEXT)))
-            yield textcore.ids_of(part.column(ID))[pieces.rows], pieces.anchors
+    def hashes(self, routed: np.ndarray):
+        """Texts to bundles of piece hashes and anchors."""
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            waiting, size = [], 0
+            for batch in batches:
+                for part in textcore.slices(batch, TEXT):
+                    found = self.pieces(*textcore.column_bytes(part.column(TEXT)))
+                    ids = textcore.ids_of(part.column(ID))[found.rows]
+                    waiting.append((ids, found.keys, found.anchors, found.counts + self.size - 1))
+                    size += len(ids)
+                    if size >= repeats.GROUP_KEYS:
+                        yield from self._send(*map(np.concatenate, zip(*waiting)), None, routed)
+                        waiting, size = [], 0
+            if size:
+                yield from self._send(*map(np.concatenate, zip(*waiting)), None, routed)
+
+        return run
+
+    def compare(self, routed: np.ndarray):
+        """Bundles of hashes to whole pieces that go, and to requests, which
+        are spans without windows, on their way to their documents.
+
+        Anchors come without their upper half; what that joins by chance is
+        compared in vain."""
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            waiting = []
+            for batch in batches:
+                for row in batch.to_pylist():
+                    ids, keys = repeats.unbundled(row, SPANS if row["settled"] else np.uint64)
+                    if row["settled"]:
+                        yield from repeats.back(ids, keys, routed)
+                    else:
+                        anchors = np.frombuffer(row["anchors"], np.uint32)
+                        waiting.append((ids, keys, anchors))
+            if not waiting:
+                return
+            ids, keys, anchors = map(np.concatenate, zip(*waiting))
+            waiting.clear()
+            chosen, settled = self.distinct(ids, keys)
+            yield from repeats.back(*settled, routed)
+            chosen = with_partner(chosen, anchors)
+            spans = np.zeros(len(chosen), SPANS)
+            spans["key"] = keys[chosen]
+            yield from repeats.back(ids[chosen], spans, routed)
+
+        return run
 
     def spread(self, routed: np.ndarray):
-        """Texts with their shared anchors to bundles of candidate pieces."""
+        """Texts with their requests to bundles of the pieces asked for."""
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting, size = [], 0
@@ -98,7 +146,9 @@ class ByteRuns:
                 for part in textcore.slices(batch, TEXT):
                     data, bounds = textcore.column_bytes(part.column(TEXT))
                     found = self.pieces(data, bounds)
-                    shared = repeats.held_by_row(found.rows, found.anchors, *repeats.listed(part.column("__keys")))
+                    rows, spans = repeats.listed(part.column("__keys"), SPANS)
+                    asked = spans["count"] == 0
+                    shared = repeats.held_by_row(found.rows, found.keys, rows[asked], spans["key"][asked])
                     ids = textcore.ids_of(part.column(ID))[found.rows[shared]]
                     sizes = found.counts[shared] + self.size - 1
                     at = stretches(found.starts[shared], sizes)
@@ -113,7 +163,7 @@ class ByteRuns:
         return run
 
     def _send(self, ids, keys, anchors, sizes, data, routed) -> Iterator[pa.RecordBatch]:
-        chosen, settled = self.distinct(ids, keys, sizes)
+        chosen, settled = self.distinct(ids, keys)
         rows = [self._bundle(0, True, *settled)] if len(settled[0]) else []
         if rows:
             rows[0]["bucket"] = int(routed[keys[0] % np.uint64(len(routed))])
@@ -124,10 +174,15 @@ class ByteRuns:
         cuts = np.flatnonzero(np.concatenate([[True], shares[1:] != shares[:-1], [True]])) if len(chosen) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = chosen[a:b]
-            rows.append(self._bundle(int(routed[shares[a]]), False, ids[own], keys[own]) | {
-                "anchors": anchors[own].tobytes(), "sizes": sizes[own].astype(np.uint32).tobytes(),
-                "pieces": data[stretches(begins[own], sizes[own])].tobytes(),
-            })
+            sent = self._bundle(int(routed[shares[a]]), False, ids[own], keys[own])
+            if data is None:
+                sent |= {"anchors": anchors[own].astype(np.uint32).tobytes()}
+            else:
+                sent |= {
+                    "anchors": anchors[own].tobytes(), "sizes": sizes[own].astype(np.uint32).tobytes(),
+                    "pieces": data[stretches(begins[own], sizes[own])].tobytes(),
+                }
+            rows.append(sent)
         yield from repeats.in_batches(rows, _SCHEMA)
 
     @staticmethod
@@ -135,7 +190,7 @@ class ByteRuns:
         empty = {"anchors": b"", "sizes": b"", "pieces": b""}
         return repeats._bundle(bucket, settled, ids, keys) | empty
 
-    def distinct(self, ids, keys, sizes):
+    def distinct(self, ids, keys):
         """Places of the piece with the smallest id for each hash; (ids, spans) of the later ones."""
         order = np.lexsort((ids, keys))
         first = np.concatenate([[True], keys[order][1:] != keys[order][:-1]]) if len(order) else np.zeros(0, bool)
@@ -143,7 +198,7 @@ class ByteRuns:
         smallest = ids[chosen][np.cumsum(first) - 1]
         later = order[ids[order] > smallest]
         spans = np.zeros(len(later), SPANS)
-        spans["key"], spans["count"] = keys[later], sizes[later] - self.size + 1
+        spans["key"], spans["count"] = keys[later], WHOLE
         return chosen, (ids[later], spans)
 
     def gather(self, routed: np.ndarray):
@@ -171,14 +226,11 @@ class ByteRuns:
             return
         ids, keys, anchors, sizes, data = map(np.concatenate, zip(*waiting))
         waiting.clear()
-        chosen, settled = self.distinct(ids, keys, sizes)
+        chosen, settled = self.distinct(ids, keys)
         if len(settled[0]):
             yield settled
-        # by anchor; an anchor with one distinct piece has no partner left
         begins = np.cumsum(sizes) - sizes
-        chosen = chosen[np.argsort(anchors[chosen], kind="stable")]
-        same = anchors[chosen][1:] == anchors[chosen][:-1]
-        chosen = chosen[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        chosen = with_partner(chosen, anchors)
         if not len(chosen):
             return
         group = np.concatenate([[True], anchors[chosen][1:] != anchors[chosen][:-1]])
@@ -202,7 +254,9 @@ class ByteRuns:
                 yield ids[own][piece], spans
 
     def removed(self, part: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        rows, spans = repeats.listed(part.column("__keys"), SPANS)
+        both = [repeats.listed(part.column(c), SPANS) for c in ("__keys", "__more")]
+        rows, spans = map(np.concatenate, zip(*both))
+        rows, spans = rows[spans["count"] > 0], spans[spans["count"] > 0]
         steps = np.zeros(len(data) + 1, np.int32)
         if len(spans):
             found = self.pieces(data, bounds)
@@ -211,9 +265,11 @@ class ByteRuns:
             wanted = repeats.paired(rows, spans["key"])
             low, high = np.searchsorted(here[order], wanted, "left"), np.searchsorted(here[order], wanted, "right")
             span = np.repeat(np.arange(len(spans)), high - low)
-            begin = found.starts[order[stretches(low, high - low)]] + spans["start"][span]
+            piece = order[stretches(low, high - low)]
+            count = np.where(spans["count"][span] == WHOLE, found.counts[piece], spans["count"][span].astype(np.int64))
+            begin = found.starts[piece] + spans["start"][span]
             np.add.at(steps, begin, 1)
-            np.add.at(steps, begin + spans["count"][span] + (self.size - 1), -1)
+            np.add.at(steps, begin + count + (self.size - 1), -1)
         return np.cumsum(steps[:-1]) > 0
 
     def clean(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,6 +292,15 @@ class ByteRuns:
                 })
 
 
+def with_partner(chosen: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Distinct pieces by anchor, without those alone with theirs."""
+    chosen = chosen[np.argsort(anchors[chosen], kind="stable")]
+    same = anchors[chosen][1:] == anchors[chosen][:-1]
+    if not len(chosen):
+        return chosen
+    return chosen[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+
+
 def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All positions of all stretches, one stretch after the other."""
     ends = np.cumsum(sizes)
@@ -254,9 +319,14 @@ def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
     routed = repeats.routes(docs.sparkSession, repeats.reducers(source))
-    anchors = repeats.shared_keys(source, method.anchor_keys, False, routed)
+    whole = (
+        source.mapInArrow(method.hashes(routed), PIECES)
+        .repartition(len(routed), "bucket")
+        .mapInArrow(method.compare(routed), repeats.BUNDLE)
+    )
+    whole = repeats.delivered(whole, len(routed), SPANS)
     spans = (
-        repeats.with_keys(source, anchors, "inner")
+        repeats.with_keys(source, whole, "inner")
         .mapInArrow(method.spread(routed), PIECES)
         .repartition(len(routed), "bucket")
         .mapInArrow(method.gather(routed), repeats.BUNDLE)
@@ -264,7 +334,7 @@ def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = repeats.delivered(spans, len(routed), SPANS)
     kinds = f"{ID} long, __row {runs.rest_type(source)}, __bytes long, __removed long, __spans long, __kept binary"
     return (
-        repeats.with_keys(source, spans, "left")
+        source.join(whole, ID, "left").join(spans.withColumnRenamed("__keys", "__more"), ID, "left")
         .mapInArrow(method.clean, kinds)
         .select(
             F.col("__row").alias("row"), F.col("__bytes").alias("n_bytes"), F.col("__removed").alias("n_removed"),
