@@ -81,9 +81,13 @@ def flag_measure(flag: ColumnLike) -> Column:
 def lenient_int(text: ColumnLike) -> Column:
     """Text to int: blanks around it are ignored, a fraction is cut off.
 
-    Going through a decimal keeps '7.9' as 7; a direct ``try_cast`` gives NULL.
+    Only digits with an optional sign and fraction count ('1e3' does not). The
+    text is cut at the point, so '7.9999999' is 7.
     """
-    return _col(text).try_cast("decimal(20,6)").try_cast("int")
+    cell = F.trim(_col(text).cast("string"))
+    number = cell.rlike("^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$")
+    whole = F.regexp_replace(F.substring_index(cell, ".", 1), "^[+-]?$", "0")
+    return F.when(number, whole.try_cast("int"))
 
 
 def _dotted(text: ColumnLike) -> Column:
@@ -143,13 +147,16 @@ def decade(year: ColumnLike) -> Column:
 def surrogate_key(columns: Sequence[ColumnLike], wide: bool = False) -> Column:
     """A key computed from the natural key, the same in every run.
 
-    The key text joins the parts with '||' and writes 'NULL' for a missing
-    part. The narrow form is the first 60 bits of its SHA-256 as a bigint. At
+    Fixed format: the key text joins the parts with '||' and writes 'NULL' for
+    a missing part; the key is the first 60 bits of its SHA-256 as a bigint. At
     10^9 keys about 0.4 collisions are to be expected, so nothing in this
-    package removes rows by it; ``wide`` gives the full digest as hex instead.
+    package removes rows by it. ``wide`` gives a full digest as hex instead, of
+    parts with their lengths, so that different keys have different texts.
     """
+    if wide:
+        texts = [_col(c).cast("string") for c in columns]
+        sized = [F.nvl(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+        return F.sha2(F.concat_ws("|", *sized), 256)
     parts = [F.nvl(_col(c).cast("string"), F.lit("NULL")) for c in columns]
     digest = F.sha2(F.concat_ws("||", *parts), 256)
-    if wide:
-        return digest
     return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +19,10 @@ def keep_first(
     order: Sequence[str | Column] = (),
     order_is_total: bool = False,
 ) -> DataFrame:
-    """Keep the first row of every key; NULL keys count as equal.
+    """Keep the first row of every key.
+
+    Rows that lack a part of the key are not known to be equal: all of them
+    stay, each in a group of its own.
 
     Rows are ordered by ``order`` and then by all other columns, NULLs last,
     so ties are exact copies and the choice does not depend on how the data
@@ -36,10 +41,7 @@ def keep_first(
         for f in df.schema.fields
         if not (order_is_total or f.name in named or isinstance(f.dataType, _NO_ORDER))
     ]
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(*first, *rest))
-    return df.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
-
-
-def copies_removed(df: DataFrame) -> DataFrame:
-    """Exact copies only: a plain ``distinct``, combined before the shuffle."""
-    return df.distinct()
+    lacking = reduce(or_, [F.col(k).isNull() for k in keys])
+    marked = df.withColumn("_own", F.when(lacking, F.monotonically_increasing_id()))
+    turn = F.row_number().over(Window.partitionBy(*keys, "_own").orderBy(*first, *rest))
+    return marked.withColumn("_turn", turn).filter("_turn = 1").drop("_turn", "_own")

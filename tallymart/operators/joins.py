@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,7 +108,10 @@ def consolidate(primary: DataFrame, secondary: DataFrame, key: str) -> DataFrame
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` with the rows of ``source`` in place of, or beside, its own.
 
-    ``source`` must hold one row per key. The result has to go to a new path:
-    the target is still being read while it is written.
+    ``source`` must hold one row per key; a NULL part of a key equals NULL, so
+    the same rows can be put in again. The result has to go to a new path: the
+    target is still being read while it is written.
     """
-    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
+    new = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return target.join(new, same, "left_anti").unionByName(source)

@@ -48,8 +48,8 @@ def scholarship_share_by_year(dim_education: DataFrame) -> DataFrame:
 
 def coverage_by_level(fact: DataFrame, dim_education: DataFrame, k: int | None = None) -> DataFrame:
     """Scholarship coverage of students per education level."""
-    joined = fact.select("education_sk", "students", "scholars").join(
-        dim_education.filter("studying").select("education_sk", "level"), "education_sk"
+    joined = fact.select("education_sk", spec.YEAR, "students", "scholars").join(
+        dim_education.filter("studying").select("education_sk", spec.YEAR, "level"), ["education_sk", spec.YEAR]
     )
     sums = joined.groupBy("level").agg(
         F.count("*").alias("total"),
@@ -68,8 +68,8 @@ def migrants_by_region(fact: DataFrame, dim_person: DataFrame, locations: DataFr
     Fact and person meet once; the counts per location key meet the names.
     """
     counts = (
-        fact.filter("location_sk IS NOT NULL").select("person_sk", "location_sk")
-        .join(dim_person.select("person_sk", "migrant", "born_abroad"), "person_sk")
+        fact.filter("location_sk IS NOT NULL").select("person_sk", spec.YEAR, "location_sk")
+        .join(dim_person.select("person_sk", spec.YEAR, "migrant", "born_abroad"), ["person_sk", spec.YEAR])
         .groupBy("location_sk")
         .agg(
             F.count("*").alias("persons"),
@@ -107,12 +107,12 @@ def support_report(kpi: DataFrame) -> DataFrame:
     ).orderBy(spec.YEAR)
 
 
-def living_conditions_report(kpi: DataFrame, k: int = 20) -> DataFrame:
-    """Regions per year, highest risk first; the first k rows."""
+def living_conditions_report(kpi: DataFrame) -> DataFrame:
+    """Regions per year, highest risk first."""
     return kpi.select(
         spec.YEAR, "region", "persons", "persons_at_risk", "at_risk_pct",
         "persons_unserved", "unserved_pct",
-    ).orderBy(spec.YEAR, F.desc("at_risk_pct"), "region").limit(k)
+    ).orderBy(spec.YEAR, F.desc("at_risk_pct"), "region")
 
 
 def top_risk_regions(kpi: DataFrame, year: int, k: int = 5) -> DataFrame:

@@ -30,14 +30,13 @@ FILE_STEMS = {
     "dwelling": "Datos_de_la_vivienda_Actualizada",
     "education": "Educación",
 }
-FILE_YEARS = range(2018, 2026)
 DEPARTMENT_SHEET = "Departamentos"
 TOWN_SHEET = "Municipios (3)"
 TOWN_TABLE = "municipios"
 
 
-def manifest(years: Sequence[int] = FILE_YEARS) -> dict[str, dict[int, str]]:
-    """File name per module and year."""
+def manifest(years: Sequence[int]) -> dict[str, dict[int, str]]:
+    """File name per module and year; names follow from stem and year."""
     return {m: {y: f"{stem}{y}.csv" for y in years} for m, stem in FILE_STEMS.items()}
 
 
@@ -81,7 +80,7 @@ def ingest_survey(
     A year that is loaded again replaces itself. A missing file is logged as
     skipped; a file that fails is logged and, by default, the next one goes on.
     """
-    for file in resolve(layers.spark, root, files or manifest(), list(years)):
+    for file in resolve(layers.spark, root, files or manifest(years), list(years)):
         if not file.present:
             audit.skipped("bronze", "bronze", file.module, f"no file {file.path}")
             continue

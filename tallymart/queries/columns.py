@@ -189,7 +189,8 @@ SELECT l_orderkey, l_linenumber,
        CAST('0x' || substr(sha256(CAST(l_orderkey AS VARCHAR) || '||'
             || CAST(l_linenumber AS VARCHAR) || '||'
             || coalesce(nullif(l_returnflag, 'N'), 'NULL')), 1, 15) AS BIGINT) AS line_sk,
-       sha256(CAST(l_orderkey AS VARCHAR) || '||' || CAST(l_linenumber AS VARCHAR)) AS wide_sk
+       sha256(length(CAST(l_orderkey AS VARCHAR)) || ':' || CAST(l_orderkey AS VARCHAR) || '|'
+            || coalesce(length(nullif(l_returnflag, 'N')) || ':' || nullif(l_returnflag, 'N'), '-')) AS wide_sk
 FROM lineitem
 """)
 def surrogate_key(t: Tables) -> DataFrame:
@@ -198,7 +199,7 @@ def surrogate_key(t: Tables) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         scalar.surrogate_key(["l_orderkey", "l_linenumber", flag]).alias("line_sk"),
-        scalar.surrogate_key(["l_orderkey", "l_linenumber"], wide=True).alias("wide_sk"),
+        scalar.surrogate_key(["l_orderkey", flag], wide=True).alias("wide_sk"),
     )
 
 

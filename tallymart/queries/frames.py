@@ -162,3 +162,15 @@ def dedupe_by_key(t: Tables) -> DataFrame:
 @query("SELECT DISTINCT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL", name="distinct_values")
 def distinct_suppliers(t: Tables) -> DataFrame:
     return distinct_values(t.lineitem, "l_suppkey")
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, nullif(o_custkey, o_custkey % 3 * o_custkey) AS custkey, o_orderpriority FROM orders)
+SELECT o_orderkey, custkey FROM o WHERE custkey IS NULL
+UNION ALL
+SELECT min(o_orderkey), custkey FROM o WHERE custkey IS NOT NULL GROUP BY custkey
+""")
+def rows_without_key(t: Tables) -> DataFrame:
+    key = F.nullif(F.col("o_custkey"), F.col("o_custkey") % 3 * F.col("o_custkey"))
+    orders = t.orders.select("o_orderkey", key.alias("custkey"))
+    return keep_first(orders, ["custkey"], ["o_orderkey"])

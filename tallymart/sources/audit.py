@@ -56,7 +56,7 @@ class Audit:
         """Append one row to the run log."""
         ended_at = _now()
         row = (
-            self.run_id, step, layer, table, rows_in, rows_out, status, message[:500],
+            self.run_id, step, layer, table, rows_in, rows_out, status, message,
             started_at, ended_at, (ended_at - started_at).total_seconds(),
         )
         self._append([row], RUNS_SCHEMA, "pipeline_runs")

@@ -16,7 +16,7 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ";") -> Data
     """A delimited file with a header, all columns as text, nothing inferred.
 
     A record never spans lines, so Spark splits large files between tasks. All
-    files under ``path`` must share one header.
+    files under ``path`` must share one header; one that differs raises.
     """
     return spark.read.csv(
         path,
@@ -24,7 +24,7 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ";") -> Data
         header=True,
         encoding="UTF-8",
         inferSchema=False,
-        enforceSchema=True,
+        enforceSchema=False,
         mode="PERMISSIVE",
         multiLine=False,
     )

@@ -128,6 +128,6 @@ def publish(
             done.rows[name] = df.count()
             report(name, done.rows[name], None)
         except Exception as error:
-            done.errors[name] = str(error)[:500]
+            done.errors[name] = str(error)
             report(name, 0, error)
     return done

@@ -104,3 +104,11 @@ def test_upsert_replaces_and_adds(spark, rows):
     once = upsert(target, source, ["t", "y"])
     assert rows(once) == [("t", 1, 10), ("t", 2, 21), ("u", 1, 5)]
     assert rows(upsert(once, source, ["t", "y"])) == rows(once)
+
+
+def test_upsert_with_null_keys_adds_nothing_twice(spark, rows):
+    target = spark.createDataFrame([(None, 1, "a"), (2, 1, "b")], "t int, y int, v string")
+    source = spark.createDataFrame([(None, 1, "c"), (None, None, "d")], "t int, y int, v string")
+    once = upsert(target, source, ["t", "y"])
+    assert rows(once) == [(2, 1, "b"), (None, 1, "c"), (None, None, "d")]
+    assert rows(upsert(once, source, ["t", "y"])) == rows(once)

@@ -72,9 +72,9 @@ def test_raw_rows_and_control_table(built):
 def test_run_log(built, rows):
     *_, audit = built
     summary = quality.run_summary(audit.runs(), "run-1").head()
-    assert summary.skipped == 3  # 2021 has no files; 2017 is not in the manifest
+    assert summary.skipped == 6  # 2021 and 2017 have no files
     assert [r.message for r in audit.runs().filter("status = 'ERROR'").collect()] == []
-    assert summary.total == summary.ok + summary.skipped == 3 * 4 + 3 + 5 + 8
+    assert summary.total == summary.ok + summary.skipped == 3 * 4 + 6 + 5 + 8
     assert {
         (r.table_name, r.message) for r in audit.runs().filter("status = 'OK' AND message <> ''").collect()
     } == {("member", "1 rows without a full key")}

@@ -36,7 +36,7 @@ def test_yes_no_and_three_valued_flags(spark):
 
 @pytest.mark.parametrize("text, whole", [
     ("7", 7), ("7.9", 7), ("-7.9", -7), (" 3 ", 3), ("abc", None), ("", None), (None, None),
-    ("99999999999", None), ("1,5", None), ("007", 7),
+    ("99999999999", None), ("1,5", None), ("007", 7), ("1e3", None), ("7.9999999", 7), (".5", 0), ("-.5", 0), ("+4.", 4), (".", None),
 ])
 def test_lenient_int(spark, text, whole):
     assert values(spark, [text], scalar.lenient_int("c")) == [whole]
@@ -106,9 +106,11 @@ def test_surrogate_key_is_the_documented_recipe(spark):
     for r in got:
         text = f"{'NULL' if r.a is None else r.a}||{r.b}"
         digest = hashlib.sha256(text.encode()).hexdigest()
-        assert (r.k, r.w) == (int(digest[:15], 16), digest)
+        wide = "-" if r.a is None else f"{len(r.a)}:{r.a}"
+        assert (r.k, r.w) == (int(digest[:15], 16), hashlib.sha256(f"{wide}|1:{r.b}".encode()).hexdigest())
     assert got[0].k != got[1].k
     assert got[2].k == got[3].k  # the text NULL and a NULL share a key: known limit
+    assert got[2].w != got[3].w
 
 
 @pytest.mark.parametrize("name, plain", [
