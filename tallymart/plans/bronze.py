@@ -89,7 +89,8 @@ def ingest_survey(
             raw = raw_module(layers.spark, file, audit.run_id)
             _require(raw, MODULES[file.module])
             layers.write(
-                raw, "bronze", file.module, partition_by=[spec.YEAR], only_partitions=True
+                raw, "bronze", file.module, partition_by=[spec.YEAR], only_partitions=True,
+                replaces=[file.year],
             )
             rows = read_module(layers, file.module, [file.year]).count()
             audit.loaded(file.module, file.year, rows)

@@ -37,7 +37,7 @@ class Builder:
         layers: Layers,
         audit: Audit,
         years: Sequence[int] | None = None,
-        rebalance: bool = False,
+        rebalance: bool = True,
         on_error: str = "raise",
     ):
         self.layers = layers
@@ -70,9 +70,11 @@ class Builder:
                     "partition_by": [spec.YEAR],
                     "only_partitions": self.years is not None,
                     "rebalance": self.rebalance,
+                    "replaces": self.years or (),
                 }
-            self.layers.write(make(), layer, table, **options)
-            stored = (self.read if yearly else self.layers.read)(layer, table)
+            stored = self.layers.write(make(), layer, table, **options)
+            if yearly and self.years:
+                stored = stored.filter(F.col(spec.YEAR).isin(self.years))
             rows_out = stored.count()
             lost = quality.without_key(stored, keys).count() if keys else 0
             remark = f"{lost} rows without a full key" if lost else ""
@@ -157,9 +159,12 @@ def build_all(
     audit: Audit,
     as_of_year: int,
     years: Sequence[int] | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> None:
-    """Everything after the raw tables."""
+    """Everything after the raw tables.
+
+    Without ``rebalance`` each task of the last shuffle writes a file per year.
+    """
     b = Builder(layers, audit, years, rebalance)
     build_silver(b)
     build_gold(b, as_of_year)

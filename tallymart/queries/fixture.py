@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.project import blank_to_null
-from tallymart.plans import gold, silver, spec
+from tallymart.plans import run, silver, spec
 from tallymart.queries.registry import Tables
 from tallymart.session import scratch_path
+from tallymart.sources.audit import Audit
 from tallymart.sources.tables import Layers
 
 AS_OF_YEAR = 2000
@@ -143,7 +144,7 @@ def raw_education(t: Tables) -> DataFrame:
     return blank_to_null(raw)
 
 
-def geography(t: Tables) -> DataFrame:
+def raw_geography(t: Tables) -> dict[str, DataFrame]:
     departments = t.region.select(
         _text("r_regionkey", "codigo_deapartamento"),
         F.col("r_name").alias("nombre_departamento"),
@@ -161,7 +162,13 @@ def geography(t: Tables) -> DataFrame:
         F.col("s_name").alias("nombremunicipio"),
         _text("s_suppkey", "municipio_id"),
     )
-    return silver.geography(departments, sheet_towns, database_towns)
+    return {
+        "departments": departments, "sheet_towns": sheet_towns, "database_towns": database_towns,
+    }
+
+
+def geography(t: Tables) -> DataFrame:
+    return silver.geography(**raw_geography(t))
 
 
 _built: dict[tuple[str, str], Layers] = {}
@@ -180,24 +187,11 @@ def star(t: Tables) -> Layers:
 
 
 def build_star(t: Tables, layers: Layers) -> Layers:
-    def store(df: DataFrame, layer: str, table: str, rebalance: bool = False) -> DataFrame:
-        return layers.write(df, layer, table, partition_by=[spec.YEAR], rebalance=rebalance)
-
-    # every input split holds all years here, unlike a survey file
-    raw_dwellings = store(raw_dwelling(t), "bronze", "dwelling", rebalance=True)
-    raw_members = store(raw_member(t), "bronze", "member", rebalance=True)
-    raw_educations = store(raw_education(t), "bronze", "education", rebalance=True)
-    geo = layers.write(geography(t), "ref", "geography")
-    dwellings = store(silver.dwelling(raw_dwellings), "silver", "dwelling")
-    members = store(silver.member(raw_members, geo), "silver", "member")
-    educations = store(silver.education(raw_educations), "silver", "education")
-    persons = store(silver.person(members, educations, dwellings), "silver", "person")
-    locations = layers.write(gold.dim_location(dwellings), "gold", "dim_location")
-    layers.write(gold.dim_time(persons, AS_OF_YEAR), "gold", "dim_time")
-    store(gold.dim_person(persons), "gold", "dim_person")
-    homes = store(gold.dim_dwelling(dwellings), "gold", "dim_dwelling")
-    store(gold.dim_education(educations), "gold", "dim_education")
-    fact = store(gold.fact_survey(persons, homes, locations), "gold", "fact_survey")
-    layers.write(gold.kpi_scholarships_yearly(fact), "gold", "kpi_scholarships_yearly")
-    layers.write(gold.kpi_living_conditions(fact, locations), "gold", "kpi_living_conditions")
+    """Raw tables, then the run that users start."""
+    for module, raw in (("dwelling", raw_dwelling(t)), ("member", raw_member(t)), ("education", raw_education(t))):
+        # every input split holds all years here, unlike a survey file
+        layers.write(raw, "bronze", module, partition_by=[spec.YEAR], rebalance=True)
+    for table, raw in raw_geography(t).items():
+        layers.write(raw, "bronze", table)
+    run.build_all(layers, Audit(layers), AS_OF_YEAR)
     return layers

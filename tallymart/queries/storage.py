@@ -143,3 +143,16 @@ def reload_partition(t: Tables) -> DataFrame:
     for _ in range(2):  # loading a year again must not add to it
         write_parquet(changed, path, partition_by=["y"], only_partitions=True)
     return read_parquet(t.spark, path)
+
+
+@query("""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+       CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS y
+FROM orders WHERE year(o_orderdate) <> 1997
+""")
+def reload_emptied_year(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "emptied")
+    write_parquet(_orders(t), path, partition_by=["y"])
+    emptied = _orders(t).filter("y = 1997 AND o_orderkey IS NULL")
+    write_parquet(emptied, path, partition_by=["y"], only_partitions=True, replaces=[1997])
+    return read_parquet(t.spark, path)

@@ -11,6 +11,8 @@ from tallymart.session import scratch_path
 from tallymart.sources.delimited import path_exists
 
 LAYERS = ("bronze", "silver", "gold", "ref", "audit")
+#: folder in which a file stream lists what it has written
+STREAM_LOG = "_spark_metadata"
 
 
 def write_parquet(
@@ -20,13 +22,24 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     only_partitions: bool = False,
     rebalance: bool = False,
+    replaces: Sequence[int] = (),
 ) -> None:
     """Write a folder of Parquet files.
 
     ``only_partitions`` replaces just the partitions that occur in ``df``, so
-    reloading a year twice gives the same table. ``rebalance`` adds a shuffle
-    that evens out file sizes, with large partitions cut in several files.
+    reloading a year twice gives the same table. ``replaces`` names values of
+    the single partition column that end up with the rows of ``df`` also if it
+    has none for them. ``rebalance`` adds a shuffle that evens out file sizes,
+    with large partitions cut in several files. A folder that a stream writes
+    takes no other rows, as readers trust the stream's own list of files.
     """
+    spark = df.sparkSession
+    if (mode == "append" or only_partitions) and file_names(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream")
+    if replaces and (not only_partitions or len(partition_by) != 1):
+        raise ValueError("replaces needs only_partitions and one partition column")
+    folders = [f"{path}/{partition_by[0]}={v}" for v in replaces]
+    before = {f: file_names(spark, f) for f in folders}
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode)
@@ -35,6 +48,26 @@ def write_parquet(
     if only_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    # files carry the id of the job that wrote them: the same names mean old rows
+    for folder, names in before.items():
+        if names and file_names(spark, folder) == names:
+            delete_folder(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    system, folder = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -92,25 +125,32 @@ class Layers:
     def register(self, prefix: str) -> DataFrame:
         """Make the stored tables known to SQL as ``prefix_layer.table``.
 
-        Returns the listing. Dropping a registered table keeps its files.
+        A table shows the columns of all its files. Returns the listing.
+        Dropping a registered table keeps its files.
         """
         create_schemas(self.spark, prefix)
         for layer in LAYERS:
             for table in self._stored(layer):
                 name = f"{prefix}_{layer}.{table}"
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-                self.spark.catalog.createTable(name, self.path(layer, table), "parquet")
+                self.spark.catalog.createTable(
+                    name, self.path(layer, table), "parquet", mergeSchema="true"
+                )
                 columns = self.spark.table(name).columns
                 if any(c.isPartition for c in self.spark.catalog.listColumns(name)) and columns:
                     self.spark.catalog.recoverPartitions(name)
         return list_tables(self.spark, prefix)
 
     def _stored(self, layer: str) -> list[str]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}")
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(folder):
-            return []
-        return sorted(s.getPath().getName() for s in system.listStatus(folder))
+        return file_names(self.spark, f"{self.root}/{layer}")
+
+    def reset(self, layer: str, prefix: str | None = None) -> None:
+        """Delete the tables of a layer with their rows; with ``prefix`` also
+        their entries in the catalog. The next load starts from none."""
+        for table in self._stored(layer):
+            if prefix:
+                drop_tables(self.spark, [f"{prefix}_{layer}.{table}"])
+            delete_folder(self.spark, self.path(layer, table))
 
 
 def create_schemas(spark: SparkSession, prefix: str, location: str | None = None) -> None:
@@ -146,7 +186,7 @@ def save_table(
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
-    """Forget tables; the next load starts from none."""
+    """Forget tables; files outside the warehouse stay (see ``Layers.reset``)."""
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 

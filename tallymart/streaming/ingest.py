@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallymart.operators.project import blank_to_null, with_lineage
 from tallymart.sources.delimited import read_delimited
+from tallymart.sources.tables import STREAM_LOG, file_names
 
 
 def ingest_new_files(
@@ -26,8 +27,13 @@ def ingest_new_files(
     """Append the files of one module and year that were not loaded before.
 
     All files must share one header; a file with another one stops the load.
-    Reads what is there and ends.
+    Reads what is there and ends. ``target`` belongs to this load: a folder
+    that holds rows of a batch load is refused, as the stream's list of files
+    would hide them. Stack both with ``union_years``.
     """
+    held = file_names(spark, target)
+    if held and STREAM_LOG not in held:
+        raise ValueError(f"{target} holds rows of a batch load")
     header = read_delimited(spark, folder, delimiter).schema
     lines = spark.readStream.schema(header).csv(
         folder, sep=delimiter, header=True, encoding="UTF-8", enforceSchema=False

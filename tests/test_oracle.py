@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from tallymart.queries import oracles, queries
 from tools.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+SQL = oracles()
+QUERIES = queries()
 
 
 @pytest.fixture(scope="module")

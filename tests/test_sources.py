@@ -135,6 +135,37 @@ def test_partition_reload_is_idempotent(spark, rows, tmp_path):
     assert rows(tables.read_parquet(spark, path)) == [(1, 2018), (8, 2019), (9, 2019)]
 
 
+def test_a_named_year_without_rows_is_emptied(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 2018), (2, 2019), (3, 2020)], "id int, y int")
+    tables.write_parquet(df, path, partition_by=["y"])
+    again = spark.createDataFrame([(9, 2019)], "id int, y int")
+    tables.write_parquet(again, path, partition_by=["y"], only_partitions=True, replaces=[2018, 2019, 2025])
+    assert rows(tables.read_parquet(spark, path)) == [(3, 2020), (9, 2019)]
+    with pytest.raises(ValueError):
+        tables.write_parquet(again, path, partition_by=["y"], replaces=[2019])
+
+
+def test_registered_table_shows_the_columns_of_all_years(spark, rows, tmp_path):
+    layers = tables.Layers(spark, str(tmp_path))
+    early = spark.createDataFrame([(1, 2018)], "a int, y int")
+    late = spark.createDataFrame([(2, 3, 2019)], "a int, b int, y int")
+    for df in (early, late):
+        layers.write(df, "silver", "years", partition_by=["y"], only_partitions=True)
+    layers.register("wide")
+    assert rows(spark.sql("SELECT a, b, y FROM wide_silver.years")) == [(1, None, 2018), (2, 3, 2019)]
+
+
+def test_reset_removes_rows_and_entries(spark, rows, tmp_path):
+    layers = tables.Layers(spark, str(tmp_path))
+    layers.write(spark.range(2), "silver", "u")
+    layers.write(spark.range(2), "gold", "v")
+    layers.register("gone")
+    layers.reset("silver", "gone")
+    assert not layers.exists("silver", "u") and layers.exists("gold", "v")
+    assert rows(tables.list_tables(spark, "gone")) == [("gone_gold", "v")]
+
+
 def test_rebalance_cuts_a_large_partition(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
