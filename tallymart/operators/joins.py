@@ -28,13 +28,15 @@ def lookup_left(
     lookup: DataFrame,
     on: Mapping[str, str] | Sequence[str],
     null_buckets: int = 0,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """All rows of ``df`` with the other columns of ``lookup``, NULL if absent.
 
     ``on`` lists shared key names or maps left names to right names; only the
     left spelling stays. ``lookup`` must hold one row per key, otherwise rows
     multiply. Rows with a NULL key match nothing, yet a shuffle would send all
-    of them to one task: ``null_buckets`` spreads them over that many.
+    of them to one task: ``null_buckets`` spreads them over that many, by a
+    hash of ``spread_by``, such as the row's own key, or else of all columns.
     """
     pairs = _pairs(on)
     right_keys = {r: f"_key{i}" for i, r in enumerate(pairs.values())}
@@ -43,7 +45,7 @@ def lookup_left(
     match = [df[l] == right[right_keys[r]] for l, r in pairs.items()]
     if null_buckets:
         no_key = reduce(Column.__or__, [F.col(l).isNull() for l in pairs])
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(null_buckets))
+        spread = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(null_buckets))
         left = df.withColumn("_bucket", F.when(no_key, spread).otherwise(F.lit(0)))
         # always 0, but not a literal, which would drop out of the shuffle key
         right = right.withColumn(

@@ -54,6 +54,18 @@ def conform(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return df.select(*[f.column(df) for f in fields])
 
 
+def unreadable(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """One row: per money field, how many texts are there that are no amount.
+
+    They count as 0.00, as missing ones do, so only the raw table can tell.
+    """
+    found = {f.name: naming.find_column(df, f.raw) for f in fields if f.kind == "money"}
+    return df.agg(*[
+        F.count_if(F.col(f"`{c}`").isNotNull() & scalar.comma_money(F.col(f"`{c}`")).isNull()).alias(name)
+        for name, c in found.items() if c
+    ])
+
+
 def backfill(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``; absent ones are typed NULLs, others are cast."""
     columns = []

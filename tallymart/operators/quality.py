@@ -8,11 +8,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions import scalar
 
 
-def _stack(frames: Sequence[DataFrame]) -> DataFrame:
+def stack(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all frames, columns matched by name."""
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -31,7 +33,7 @@ def key_audit(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
         for name, (df, key) in tables.items()
     ]
     sound = (F.col("total") == F.col("distinct_keys")) & (F.col("null_keys") == 0)
-    return _stack(reports).withColumn("status", _verdict(sound))
+    return stack(reports).withColumn("status", _verdict(sound))
 
 
 def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,39 +54,49 @@ class Reference:
 def referential_audit(fact: DataFrame, references: Sequence[Reference]) -> DataFrame:
     """Per foreign key: rows without a match, NULL rows and their share.
 
-    The fact is counted per key value first; only those counts meet the
-    dimension, so a key that half of the fact shares costs one row per task.
+    One pass over the fact counts the uses of every value of every key; only
+    those counts meet the dimensions, so a key that half of the fact shares
+    costs one row per task.
     """
-    reports = []
-    for ref in references:
-        uses = fact.groupBy(F.col(ref.fk).alias("key")).agg(F.count("*").alias("uses"))
-        known = ref.dim.select(F.col(ref.key).alias("known")).distinct()
-        lost = F.col("key").isNotNull() & F.col("known").isNull()
-        reports.append(
-            uses.join(known, uses["key"] == known["known"], "left")
-            .agg(
-                F.coalesce(F.sum("uses"), F.lit(0)).alias("total"),
-                F.coalesce(F.sum(F.when(lost, F.col("uses"))), F.lit(0)).alias("orphans"),
-                F.coalesce(
-                    F.sum(F.when(F.col("key").isNull(), F.col("uses"))), F.lit(0)
-                ).alias("null_rows"),
-            )
-            .select(
-                F.lit(ref.fk).alias("fk"),
-                "total",
-                "orphans",
-                "null_rows",
-                scalar.share_pct("null_rows", "total").alias("null_pct"),
-                _verdict(F.col("orphans") == 0).alias("match_status"),
-                _verdict(F.lit(ref.nullable) | (F.col("null_rows") == 0)).alias("null_status"),
-            )
-        )
-    return _stack(reports)
+    keys = [r.fk for r in references]
+    whole = all(
+        isinstance(df.schema[c].dataType, T.IntegralType)
+        for r in references for df, c in ((fact, r.fk), (r.dim, r.key))
+    )
+    kind = "bigint" if whole else "string"
+    uses = (
+        fact.select(*[F.col(k).cast(kind).alias(k) for k in keys])
+        .unpivot([], keys, "fk", "key")
+        .groupBy("fk", "key").agg(F.count("*").alias("uses"))
+    )
+    known = stack([
+        r.dim.select(F.lit(r.fk).alias("fk"), F.col(r.key).cast(kind).alias("key"))
+        for r in references
+    ]).distinct().withColumn("known", F.lit(True))
+    found = uses.join(known, ["fk", "key"], "left")
+    no_key = F.col("key").isNull()
+    sums = found.groupBy("fk").agg(
+        F.sum("uses").alias("total"),
+        F.sum(F.when(~no_key & F.col("known").isNull(), F.col("uses"))).alias("orphans"),
+        F.sum(F.when(no_key, F.col("uses"))).alias("null_rows"),
+    )
+    rules = fact.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(r.fk).alias("fk"), F.lit(r.nullable).alias("nullable")) for r in references
+    ])))
+    return rules.join(sums, "fk", "left").na.fill(0, ["total", "orphans", "null_rows"]).select(
+        "fk",
+        "total",
+        "orphans",
+        "null_rows",
+        scalar.share_pct("null_rows", "total").alias("null_pct"),
+        _verdict(F.col("orphans") == 0).alias("match_status"),
+        _verdict(F.col("nullable") | (F.col("null_rows") == 0)).alias("null_status"),
+    )
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """table_name, row_count. Parquet answers from its footers."""
-    return _stack([
+    return stack([
         df.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
         )

@@ -14,7 +14,7 @@ from tallymart.operators.project import (
 )
 from tallymart.plans import spec
 from tallymart.sources.audit import Audit
-from tallymart.sources.delimited import raw_module, resolve
+from tallymart.sources.delimited import MALFORMED, raw_module, resolve
 from tallymart.sources.tables import Layers
 from tallymart.sources.workbook import read_sheet
 
@@ -79,22 +79,24 @@ def ingest_survey(
 
     A year that is loaded again replaces itself. A missing file is logged as
     skipped; a file that fails is logged and, by default, the next one goes on.
+    Rows with more or fewer cells than the header stay, with their whole line
+    in ``malformed_line``, and the log tells how many there are.
     """
     for file in resolve(layers.spark, root, files or manifest(years), list(years)):
         if not file.present:
             audit.skipped("bronze", "bronze", file.module, f"no file {file.path}")
             continue
 
-        def load(file=file) -> tuple[int, int]:
+        def load(file=file) -> tuple[int, int, str]:
             raw = raw_module(layers.spark, file, audit.run_id)
             _require(raw, MODULES[file.module])
-            layers.write(
+            stored = layers.write(
                 raw, "bronze", file.module, partition_by=[spec.YEAR], only_partitions=True,
                 replaces=[file.year],
-            )
-            rows = read_module(layers, file.module, [file.year]).count()
+            ).filter(F.col(spec.YEAR) == file.year)
+            rows, malformed = stored.agg(F.count("*"), F.count(MALFORMED)).head()
             audit.loaded(file.module, file.year, rows)
-            return rows, rows
+            return rows, rows, f"{malformed} malformed rows" if malformed else ""
 
         audit.step("bronze", "bronze", file.module, load, on_error)
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tallymart.operators import quality
-from tallymart.operators.project import rename_present
+from tallymart.operators.aggregate import frequency, frequency_profile
+from tallymart.operators.project import Field, rename_present, unreadable
 from tallymart.plans import bronze, gold, silver, spec
 from tallymart.sources.audit import Audit
 from tallymart.sources.relational import Published, publish
@@ -60,8 +63,10 @@ class Builder:
         source: Callable[[], DataFrame] | None = None,
         yearly: bool = True,
         keys: Sequence[str] = (),
+        fields: Sequence[Field] = (),
     ) -> None:
-        """Store ``make()``; rows without a full key stay, and are remarked on."""
+        """Store ``make()``. Rows without a full key stay and are remarked on,
+        so are amounts of ``source()`` that became 0.00 as none could be read."""
 
         def work() -> tuple[int, int, str]:
             options = {}
@@ -77,40 +82,58 @@ class Builder:
                 stored = stored.filter(F.col(spec.YEAR).isin(self.years))
             rows_out = stored.count()
             lost = quality.without_key(stored, keys).count() if keys else 0
-            remark = f"{lost} rows without a full key" if lost else ""
-            return (source().count() if source else rows_out), rows_out, remark
+            remarks = [f"{lost} rows without a full key"] if lost else []
+            if source and any(f.kind == "money" for f in fields):
+                amounts = unreadable(source(), fields).head().asDict()
+                remarks += [f"{n} unreadable in {c}" for c, n in amounts.items() if n]
+            rows_in = source().count() if source else rows_out
+            return rows_in, rows_out, "; ".join(remarks)
 
         self.audit.step(layer, layer, table, work, self.on_error)
 
+    def together(self, *steps: Callable[[], None]) -> None:
+        """Run steps that do not need each other at once; the first error is
+        raised when all have ended."""
+        inherit = inheritable_thread_target(self.layers.spark)
+        with ThreadPoolExecutor(len(steps)) as pool:
+            running = [pool.submit(inherit(step)) for step in steps]
+        for done in running:
+            done.result()
+
 
 def build_silver(b: Builder) -> None:
     """Geography and the four clean survey tables."""
-    b.build(
-        "ref", "geography",
-        lambda: silver.geography(
-            b.layers.read("bronze", "departments"),
-            b.layers.read("bronze", "sheet_towns"),
-            b.layers.read_optional("bronze", "database_towns"),
-        ),
-        yearly=False,
-    )
 
     def raw(module: str) -> DataFrame:
         return bronze.read_module(b.layers, module, b.years)
 
-    b.build(
-        "silver", "dwelling", lambda: silver.dwelling(raw("dwelling")), lambda: raw("dwelling"),
-        keys=spec.HOUSEHOLD_KEY,
-    )
-    b.build(
-        "silver", "member",
-        lambda: silver.member(raw("member"), b.layers.read("ref", "geography")),
-        lambda: raw("member"),
-        keys=spec.PERSON_KEY,
-    )
-    b.build(
-        "silver", "education", lambda: silver.education(raw("education")),
-        lambda: raw("education"), keys=spec.PERSON_KEY,
+    def geography_and_member() -> None:
+        b.build(
+            "ref", "geography",
+            lambda: silver.geography(
+                b.layers.read("bronze", "departments"),
+                b.layers.read("bronze", "sheet_towns"),
+                b.layers.read_optional("bronze", "database_towns"),
+            ),
+            yearly=False,
+        )
+        b.build(
+            "silver", "member",
+            lambda: silver.member(raw("member"), b.layers.read("ref", "geography")),
+            lambda: raw("member"),
+            keys=spec.PERSON_KEY,
+        )
+
+    b.together(
+        geography_and_member,
+        lambda: b.build(
+            "silver", "dwelling", lambda: silver.dwelling(raw("dwelling")),
+            lambda: raw("dwelling"), keys=spec.HOUSEHOLD_KEY,
+        ),
+        lambda: b.build(
+            "silver", "education", lambda: silver.education(raw("education")),
+            lambda: raw("education"), keys=spec.PERSON_KEY, fields=spec.EDUCATION,
+        ),
     )
     b.build(
         "silver", "person",
@@ -123,17 +146,23 @@ def build_silver(b: Builder) -> None:
 def build_gold(b: Builder, as_of_year: int) -> None:
     """Dimensions, fact and indicators."""
     layers = b.layers
-    b.build(
-        "gold", "dim_time",
-        lambda: gold.dim_time(layers.read("silver", "person"), as_of_year), yearly=False,
-    )
-    b.build(
-        "gold", "dim_location",
-        lambda: gold.dim_location(layers.read("silver", "dwelling")), yearly=False,
+    b.together(
+        lambda: b.build(
+            "gold", "dim_time",
+            lambda: gold.dim_time(layers.read("silver", "person"), as_of_year), yearly=False,
+        ),
+        lambda: b.build(
+            "gold", "dim_location",
+            lambda: gold.dim_location(layers.read("silver", "dwelling")), yearly=False,
+        ),
+        lambda: b.build("gold", "dim_person", lambda: gold.dim_person(b.read("silver", "person"))),
+        lambda: b.build(
+            "gold", "dim_dwelling", lambda: gold.dim_dwelling(b.read("silver", "dwelling"))
+        ),
+        lambda: b.build(
+            "gold", "dim_education", lambda: gold.dim_education(b.read("silver", "education"))
+        ),
     )
-    b.build("gold", "dim_person", lambda: gold.dim_person(b.read("silver", "person")))
-    b.build("gold", "dim_dwelling", lambda: gold.dim_dwelling(b.read("silver", "dwelling")))
-    b.build("gold", "dim_education", lambda: gold.dim_education(b.read("silver", "education")))
     b.build(
         "gold", "fact_survey",
         lambda: gold.fact_survey(
@@ -141,16 +170,18 @@ def build_gold(b: Builder, as_of_year: int) -> None:
             layers.read("gold", "dim_location"),
         ),
     )
-    b.build(
-        "gold", "kpi_scholarships_yearly",
-        lambda: gold.kpi_scholarships_yearly(layers.read("gold", "fact_survey")), yearly=False,
-    )
-    b.build(
-        "gold", "kpi_living_conditions",
-        lambda: gold.kpi_living_conditions(
-            layers.read("gold", "fact_survey"), layers.read("gold", "dim_location")
+    b.together(
+        lambda: b.build(
+            "gold", "kpi_scholarships_yearly",
+            lambda: gold.kpi_scholarships_yearly(layers.read("gold", "fact_survey")), yearly=False,
+        ),
+        lambda: b.build(
+            "gold", "kpi_living_conditions",
+            lambda: gold.kpi_living_conditions(
+                layers.read("gold", "fact_survey"), layers.read("gold", "dim_location")
+            ),
+            yearly=False,
         ),
-        yearly=False,
     )
 
 
@@ -188,6 +219,34 @@ def fact_audit(layers: Layers) -> DataFrame:
     )
 
 
+#: clean tables and the columns whose values are worth a look after a run
+PROFILED = {
+    ("ref", "geography"): ["source", "dept_name"],
+    ("silver", "dwelling"): ["dwelling_type", "region", "at_risk"],
+    ("silver", "member"): ["birthplace", "migrant", "birth_dept"],
+    ("silver", "education"): ["level", "scholarship", "subsidy", "credit"],
+}
+SURVEY_DIMENSIONS = ("dim_person", "dim_dwelling", "dim_education")
+
+
+def silver_profile(layers: Layers) -> DataFrame:
+    """table_name, column, value, n: frequencies, one scan for each table."""
+    return quality.stack([
+        frequency_profile(layers.read(layer, table), columns)
+        .select(F.lit(table).alias("table_name"), "column", "value", "n")
+        for (layer, table), columns in PROFILED.items()
+    ])
+
+
+def dimension_rows_per_year(layers: Layers) -> DataFrame:
+    """table_name, survey_year, n of the dimensions that grow with the survey."""
+    return quality.stack([
+        frequency(layers.read("gold", table), spec.YEAR)
+        .select(F.lit(table).alias("table_name"), spec.YEAR, "n")
+        for table in SURVEY_DIMENSIONS
+    ])
+
+
 def served_tables(
     layers: Layers,
     published_names: bool = True,

@@ -87,9 +87,9 @@ def member(
         F.col("dept_name").alias("birth_dept"),
     )
     members = keep_first(typed, spec.PERSON_KEY)
-    return lookup_left(members, town, ["birth_town_code"], null_buckets=64).select(
-        *spec.MEMBER_COLUMNS
-    )
+    return lookup_left(
+        members, town, ["birth_town_code"], null_buckets=64, spread_by=spec.PERSON_KEY
+    ).select(*spec.MEMBER_COLUMNS)
 
 
 def education(raw: DataFrame) -> DataFrame:

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.project import blank_to_null
-from tallymart.plans import run, silver, spec
+from tallymart.plans import bronze, run, silver, spec
 from tallymart.queries.registry import Tables
 from tallymart.session import scratch_path
 from tallymart.sources.audit import Audit
@@ -81,7 +80,7 @@ def raw_dwelling(t: Tables) -> DataFrame:
         _text("' 1'", "P1891S4"),
         _comma("o_totalprice", "FEX_C"),
     )
-    return blank_to_null(raw)
+    return raw
 
 
 def raw_member(t: Tables) -> DataFrame:
@@ -105,7 +104,7 @@ def raw_member(t: Tables) -> DataFrame:
         _text("concat(o_custkey, '-', left(o_orderpriority, 1))", "LLAVEHOG"),
         _comma("o_totalprice", "FEX_C"),
     )
-    return blank_to_null(raw)
+    return raw
 
 
 def raw_education(t: Tables) -> DataFrame:
@@ -141,7 +140,7 @@ def raw_education(t: Tables) -> DataFrame:
         ).alias("P8614S1"),
         _comma("l_quantity", "FEX_C"),
     )
-    return blank_to_null(raw)
+    return raw
 
 
 def raw_geography(t: Tables) -> dict[str, DataFrame]:
@@ -186,12 +185,43 @@ def star(t: Tables) -> Layers:
     return _built[key]
 
 
+#: peculiar years: one without regions, one with columns in another order, one loaded twice
+NO_REGION_YEAR, OTHER_ORDER_YEAR, TWICE_YEAR = 1995, 1996, 1997
+
+
+def write_survey(t: Tables, root: str) -> list[int]:
+    """The survey as delimited text, a folder per year; returns the years."""
+    modules = {
+        "dwelling": raw_dwelling(t), "member": raw_member(t), "education": raw_education(t),
+    }
+    years = [r[0] for r in t.orders.select(F.year("o_orderdate")).distinct().collect()]
+    names = bronze.manifest(years)
+    for module, raw in modules.items():
+        # once for all years; the years are then read one by one
+        staged = scratch_path(t.spark, module)
+        raw.write.partitionBy(spec.YEAR).parquet(staged)
+        stored = t.spark.read.schema(raw.schema).parquet(staged)
+        for year in years:
+            rows = stored.filter(F.col(spec.YEAR) == year).drop(spec.YEAR)
+            if year == NO_REGION_YEAR:
+                rows = rows.drop("REGION")
+            if year == OTHER_ORDER_YEAR:
+                rows = rows.select(*reversed(rows.columns))
+            rows.write.csv(
+                f"{root}/{year}/{names[module][year]}", sep=";", header=True,
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            )
+    return sorted(years)
+
+
 def build_star(t: Tables, layers: Layers) -> Layers:
-    """Raw tables, then the run that users start."""
-    for module, raw in (("dwelling", raw_dwelling(t)), ("member", raw_member(t)), ("education", raw_education(t))):
-        # every input split holds all years here, unlike a survey file
-        layers.write(raw, "bronze", module, partition_by=[spec.YEAR], rebalance=True)
+    """Text files, then the load and the run that users start."""
+    root = scratch_path(t.spark, "survey")
+    years = write_survey(t, root)
+    audit = Audit(layers)
+    bronze.ingest_survey(layers, audit, root, years, on_error="raise")
+    bronze.ingest_survey(layers, audit, root, [TWICE_YEAR], on_error="raise")
     for table, raw in raw_geography(t).items():
         layers.write(raw, "bronze", table)
-    run.build_all(layers, Audit(layers), AS_OF_YEAR)
+    run.build_all(layers, audit, AS_OF_YEAR)
     return layers

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import quality
 from tallymart.operators.project import rename_present
-from tallymart.plans import analytics, gold, silver, spec
+from tallymart.plans import analytics, bronze, gold, run, silver, spec
 from tallymart.queries import star_sql as sql
 from tallymart.queries.fixture import AS_OF_YEAR, geography, star
 from tallymart.queries.registry import Tables, query
+from tallymart.session import scratch_path
+from tallymart.sources.audit import Audit
 
 
 # --- clean tables, from the stored raw tables --------------------------------
@@ -23,19 +25,19 @@ def silver_geography(t: Tables) -> DataFrame:
 
 @query(sql.over(sql.DWELLING, sql="SELECT * FROM dwelling"))
 def silver_dwelling(t: Tables) -> DataFrame:
-    return silver.dwelling(star(t).read("bronze", "dwelling"))
+    return silver.dwelling(bronze.read_module(star(t), "dwelling"))
 
 
 @query(sql.over(sql.GEOGRAPHY, sql.MEMBER, sql="SELECT * FROM member"))
 def silver_member(t: Tables) -> DataFrame:
     return silver.member(
-        star(t).read("bronze", "member"), star(t).read("ref", "geography")
+        bronze.read_module(star(t), "member"), star(t).read("ref", "geography")
     )
 
 
 @query(sql.over(sql.EDUCATION, sql="SELECT * FROM education"))
 def silver_education(t: Tables) -> DataFrame:
-    return silver.education(star(t).read("bronze", "education"))
+    return silver.education(bronze.read_module(star(t), "education"))
 
 
 # --- star, from the stored clean tables -------------------------------------
@@ -363,3 +365,68 @@ def run_summary(t: Tables) -> DataFrame:
     )
     runs = t.events.select(F.col("user_id").cast("string").alias("run_id"), status.alias("status"))
     return quality.run_summary(runs)
+
+
+# --- the run itself, from text files to the stored star ----------------------
+
+
+@query(sql.over(sql="SELECT * FROM fact"))
+def pipeline_fact(t: Tables) -> DataFrame:
+    return star(t).read("gold", "fact_survey")
+
+
+@query(sql.over(sql="SELECT * FROM kpi_scholarships_yearly"))
+def pipeline_kpi_yearly(t: Tables) -> DataFrame:
+    return star(t).read("gold", "kpi_scholarships_yearly")
+
+
+@query("""
+SELECT table_name, survey_year, count(*) AS row_count FROM (
+  SELECT 'dwelling' AS table_name, CAST(year(o_orderdate) AS INTEGER) AS survey_year
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  UNION ALL
+  SELECT 'member', CAST(year(o_orderdate) AS INTEGER) FROM orders
+  UNION ALL
+  SELECT 'education', CAST(year(o_orderdate) AS INTEGER)
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+GROUP BY table_name, survey_year
+""")
+def pipeline_run_log(t: Tables) -> DataFrame:
+    return Audit(star(t)).yearly_loads().select("table_name", "survey_year", "row_count")
+
+
+# --- profiles of the clean tables and dimensions -----------------------------
+
+
+def _profile(layer: str, table: str, column: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS \"column\", "
+        f"CAST({column} AS VARCHAR) AS value, count(*) AS n FROM {table} GROUP BY {column}"
+    )
+
+
+@query(sql.over(sql=" UNION ALL ".join(
+    _profile(layer, table, c) for (layer, table), columns in run.PROFILED.items() for c in columns
+)))
+def silver_profile(t: Tables) -> DataFrame:
+    return run.silver_profile(star(t))
+
+
+@query(sql.over(sql=" UNION ALL ".join(
+    f"SELECT '{d}' AS table_name, survey_year, count(*) AS n FROM {d} GROUP BY survey_year"
+    for d in run.SURVEY_DIMENSIONS
+)))
+def dimension_rows_per_year(t: Tables) -> DataFrame:
+    return run.dimension_rows_per_year(star(t))
+
+
+@query(sql.over(sql=" UNION ALL ".join(
+    f"SELECT '{published}' AS table_name, count(*) AS source_rows, count(*) AS target_rows, "
+    f"'OK' AS status FROM {'fact' if table == 'fact_survey' else table}"
+    for table, (published, _) in spec.PUBLISHED_TABLES.items()
+)))
+def serving_counts(t: Tables) -> DataFrame:
+    s = star(t)
+    out = scratch_path(t.spark, "published")
+    run.serve(s, Audit(s), lambda df, name: df.write.parquet(f"{out}/{name}"))
+    return run.serving_audit(s, lambda name: t.spark.read.parquet(f"{out}/{name}"))

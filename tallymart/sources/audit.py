@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -41,6 +42,7 @@ class Audit:
         self.layers = layers
         self.spark: SparkSession = layers.spark
         self.run_id = run_id or new_run_id()
+        self._turn = threading.Lock()
 
     def log(
         self,
@@ -68,7 +70,8 @@ class Audit:
 
     def _append(self, rows: list[tuple], schema: str, table: str) -> None:
         frame = self.spark.createDataFrame(rows, schema).coalesce(1)
-        write_parquet(frame, self.layers.path("audit", table), mode="append")
+        with self._turn:  # two appends at once would share a staging folder
+            write_parquet(frame, self.layers.path("audit", table), mode="append")
 
     def _read(self, table: str, schema: str) -> DataFrame:
         if not self.layers.exists("audit", table):

@@ -6,20 +6,27 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tallymart.operators.project import blank_to_null, with_lineage
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = ";") -> DataFrame:
+#: whole line of a row with more or fewer cells than the header
+MALFORMED = "malformed_line"
+
+
+def read_delimited(
+    spark: SparkSession, path: str, delimiter: str = ";", malformed: bool = False
+) -> DataFrame:
     """A delimited file with a header, all columns as text, nothing inferred.
 
     A record never spans lines, so Spark splits large files between tasks. All
-    files under ``path`` must share one header; one that differs raises.
+    files under ``path`` must share one header; one that differs raises. A row
+    with too few cells has NULLs, one with too many loses the rest; with
+    ``malformed`` such rows have their whole line in ``malformed_line``.
     """
-    return spark.read.csv(
-        path,
+    reader = spark.read.options(
         sep=delimiter,
         header=True,
         encoding="UTF-8",
@@ -28,20 +35,21 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ";") -> Data
         mode="PERMISSIVE",
         multiLine=False,
     )
+    plain = reader.csv(path)
+    if not malformed:
+        return plain
+    schema = T.StructType([*plain.schema.fields, T.StructField(MALFORMED, T.StringType())])
+    return reader.option("columnNameOfCorruptRecord", MALFORMED).schema(schema).csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path (or glob) holds anything, without starting a job.
+    """Whether the path (or glob) is there; nothing below it is listed.
 
     Only a missing path gives FALSE; no access or an unknown file system raise.
     """
-    try:
-        spark.read.text(path).schema
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.globStatus(wanted))
 
 
 @dataclass(frozen=True)
@@ -73,7 +81,7 @@ def resolve(
 def raw_module(spark: SparkSession, file: SurveyFile, run_id: str) -> DataFrame:
     """One file as a raw table: text, blanks as NULL, lineage columns."""
     return with_lineage(
-        blank_to_null(read_delimited(spark, file.path)),
+        blank_to_null(read_delimited(spark, file.path, malformed=True)),
         origin="blob_csv",
         year=file.year,
         run_id=run_id,
