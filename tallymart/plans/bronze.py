@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from tallymart.operators.project import (
     Field, blank_to_null, normalize_names, stringify, with_lineage,
 )
 from tallymart.plans import spec
+from tallymart.session import together
 from tallymart.sources.audit import Audit
-from tallymart.sources.delimited import MALFORMED, raw_module, resolve
+from tallymart.sources.delimited import MALFORMED, SurveyFile, raw_module, resolve
 from tallymart.sources.tables import Layers
 from tallymart.sources.workbook import read_sheet
 
@@ -75,30 +77,37 @@ def ingest_survey(
     files: Mapping[str, Mapping[int, str]] | None = None,
     on_error: str = "skip",
 ) -> None:
-    """Load every module and year into its raw table, a year at a time.
+    """Load every module and year into its raw table: the modules at once, each
+    a year at a time.
 
     A year that is loaded again replaces itself. A missing file is logged as
     skipped; a file that fails is logged and, by default, the next one goes on.
     Rows with more or fewer cells than the header stay, with their whole line
     in ``malformed_line``, and the log tells how many there are.
     """
-    for file in resolve(layers.spark, root, files or manifest(years), list(years)):
-        if not file.present:
-            audit.skipped("bronze", "bronze", file.module, f"no file {file.path}")
-            continue
-
-        def load(file=file) -> tuple[int, int, str]:
-            raw = raw_module(layers.spark, file, audit.run_id)
-            _require(raw, MODULES[file.module])
-            stored = layers.write(
-                raw, "bronze", file.module, partition_by=[spec.YEAR], only_partitions=True,
-                replaces=[file.year],
-            ).filter(F.col(spec.YEAR) == file.year)
-            rows, malformed = stored.agg(F.count("*"), F.count(MALFORMED)).head()
-            audit.loaded(file.module, file.year, rows)
-            return rows, rows, f"{malformed} malformed rows" if malformed else ""
-
-        audit.step("bronze", "bronze", file.module, load, on_error)
+    found = resolve(layers.spark, root, files or manifest(years), list(years))
+
+    def load(file: SurveyFile) -> tuple[int, int, str]:
+        raw = raw_module(layers.spark, file, audit.run_id)
+        _require(raw, MODULES[file.module])
+        stored = layers.write(
+            raw, "bronze", file.module, partition_by=[spec.YEAR], only_partitions=True,
+            replaces=[file.year],
+        ).filter(F.col(spec.YEAR) == file.year)
+        rows, malformed = stored.agg(F.count("*"), F.count(MALFORMED)).head()
+        audit.loaded(file.module, file.year, rows)
+        return rows, rows, f"{malformed} malformed rows" if malformed else ""
+
+    def load_module(module: str) -> None:
+        for file in found:
+            if file.module != module:
+                continue
+            if file.present:
+                audit.step("bronze", "bronze", module, partial(load, file), on_error)
+            else:
+                audit.skipped("bronze", "bronze", module, f"no file {file.path}")
+
+    together(layers.spark, [partial(load_module, m) for m in dict.fromkeys(f.module for f in found)])
 
 
 def _store_reference(

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from tallymart.operators import quality
 from tallymart.operators.aggregate import frequency, frequency_profile
 from tallymart.operators.project import Field, rename_present, unreadable
 from tallymart.plans import bronze, gold, silver, spec
+from tallymart.session import together
 from tallymart.sources.audit import Audit
 from tallymart.sources.relational import Published, publish
 from tallymart.sources.tables import Layers
@@ -91,15 +90,6 @@ class Builder:
 
         self.audit.step(layer, layer, table, work, self.on_error)
 
-    def together(self, *steps: Callable[[], None]) -> None:
-        """Run steps that do not need each other at once; the first error is
-        raised when all have ended."""
-        inherit = inheritable_thread_target(self.layers.spark)
-        with ThreadPoolExecutor(len(steps)) as pool:
-            running = [pool.submit(inherit(step)) for step in steps]
-        for done in running:
-            done.result()
-
 
 def build_silver(b: Builder) -> None:
     """Geography and the four clean survey tables."""
@@ -124,7 +114,7 @@ def build_silver(b: Builder) -> None:
             keys=spec.PERSON_KEY,
         )
 
-    b.together(
+    together(b.layers.spark, [
         geography_and_member,
         lambda: b.build(
             "silver", "dwelling", lambda: silver.dwelling(raw("dwelling")),
@@ -134,7 +124,7 @@ def build_silver(b: Builder) -> None:
             "silver", "education", lambda: silver.education(raw("education")),
             lambda: raw("education"), keys=spec.PERSON_KEY, fields=spec.EDUCATION,
         ),
-    )
+    ])
     b.build(
         "silver", "person",
         lambda: silver.person(
@@ -146,7 +136,7 @@ def build_silver(b: Builder) -> None:
 def build_gold(b: Builder, as_of_year: int) -> None:
     """Dimensions, fact and indicators."""
     layers = b.layers
-    b.together(
+    together(layers.spark, [
         lambda: b.build(
             "gold", "dim_time",
             lambda: gold.dim_time(layers.read("silver", "person"), as_of_year), yearly=False,
@@ -162,7 +152,7 @@ def build_gold(b: Builder, as_of_year: int) -> None:
         lambda: b.build(
             "gold", "dim_education", lambda: gold.dim_education(b.read("silver", "education"))
         ),
-    )
+    ])
     b.build(
         "gold", "fact_survey",
         lambda: gold.fact_survey(
@@ -170,7 +160,7 @@ def build_gold(b: Builder, as_of_year: int) -> None:
             layers.read("gold", "dim_location"),
         ),
     )
-    b.together(
+    together(layers.spark, [
         lambda: b.build(
             "gold", "kpi_scholarships_yearly",
             lambda: gold.kpi_scholarships_yearly(layers.read("gold", "fact_survey")), yearly=False,
@@ -182,7 +172,7 @@ def build_gold(b: Builder, as_of_year: int) -> None:
             ),
             yearly=False,
         ),
-    )
+    ])
 
 
 def build_all(

@@ -9,12 +9,14 @@ codes, blanks and garbage.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.plans import bronze, run, silver, spec
 from tallymart.queries.registry import Tables
-from tallymart.session import scratch_path
+from tallymart.session import scratch_path, together
 from tallymart.sources.audit import Audit
 from tallymart.sources.tables import Layers
 
@@ -196,21 +198,26 @@ def write_survey(t: Tables, root: str) -> list[int]:
     }
     years = [r[0] for r in t.orders.select(F.year("o_orderdate")).distinct().collect()]
     names = bronze.manifest(years)
-    for module, raw in modules.items():
-        # once for all years; the years are then read one by one
-        staged = scratch_path(t.spark, module)
-        raw.write.partitionBy(spec.YEAR).parquet(staged)
-        stored = t.spark.read.schema(raw.schema).parquet(staged)
-        for year in years:
-            rows = stored.filter(F.col(spec.YEAR) == year).drop(spec.YEAR)
-            if year == NO_REGION_YEAR:
-                rows = rows.drop("REGION")
-            if year == OTHER_ORDER_YEAR:
-                rows = rows.select(*reversed(rows.columns))
-            rows.write.csv(
-                f"{root}/{year}/{names[module][year]}", sep=";", header=True,
-                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-            )
+    # stored once for all years; the years are then read one by one
+    staged = {module: scratch_path(t.spark, module) for module in modules}
+
+    def stage(module: str) -> None:
+        modules[module].write.partitionBy(spec.YEAR).parquet(staged[module])
+
+    def write(module: str, year: int) -> None:
+        stored = t.spark.read.schema(modules[module].schema).parquet(staged[module])
+        rows = stored.filter(F.col(spec.YEAR) == year).drop(spec.YEAR)
+        if year == NO_REGION_YEAR:
+            rows = rows.drop("REGION")
+        if year == OTHER_ORDER_YEAR:
+            rows = rows.select(*reversed(rows.columns))
+        rows.write.csv(
+            f"{root}/{year}/{names[module][year]}", sep=";", header=True,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+
+    together(t.spark, [partial(stage, m) for m in modules])
+    together(t.spark, [partial(write, m, y) for m in modules for y in years])
     return sorted(years)
 
 

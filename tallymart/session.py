@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 # Runtime re-planning does the sizing: joins turn into broadcasts only after
 # Spark has measured the side, oversized partitions of a join or of a table
@@ -46,6 +49,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def together(spark: SparkSession, steps: Sequence[Callable[[], None]], at_once: int = 8) -> None:
+    """Submit the jobs of independent steps from a few driver threads, so that
+    small ones do not wait for each other; the first error is raised when all
+    have ended."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inherit(step)) for step in steps]
+    for done in running:
+        done.result()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

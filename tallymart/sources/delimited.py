@@ -22,8 +22,8 @@ def read_delimited(
     """A delimited file with a header, all columns as text, nothing inferred.
 
     A record never spans lines, so Spark splits large files between tasks. All
-    files under ``path`` must share one header; one that differs raises. A row
-    with too few cells has NULLs, one with too many loses the rest; with
+    files under ``path`` must share one header; one that differs raises, so does
+    one with empty or repeated names. A row with too few cells has NULLs, one with too many loses the rest; with
     ``malformed`` such rows have their whole line in ``malformed_line``.
     """
     reader = spark.read.options(

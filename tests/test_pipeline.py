@@ -70,14 +70,21 @@ def test_raw_rows_and_control_table(built):
 
 
 def test_run_log(built, rows):
-    *_, audit = built
+    _, data, _, audit = built
+    no_amount = sum(
+        row["P8610S1"] in ("n/a", "999999999999999,00")
+        for years in data["education"].values() for row in years
+    )
     summary = quality.run_summary(audit.runs(), "run-1").head()
     assert summary.skipped == 6  # 2021 and 2017 have no files
     assert [r.message for r in audit.runs().filter("status = 'ERROR'").collect()] == []
     assert summary.total == summary.ok + summary.skipped == 3 * 4 + 6 + 5 + 8
     assert {
         (r.table_name, r.message) for r in audit.runs().filter("status = 'OK' AND message <> ''").collect()
-    } == {("member", "1 rows without a full key")}
+    } == {
+        ("member", "1 rows without a full key"),
+        ("education", f"{no_amount} unreadable in scholarship_amount"),
+    }
     details = quality.run_details(audit.runs(), "run-1")
     assert details.filter("status = 'OK'").filter("seconds >= 0 AND rows_out > 0").count() == summary.ok
 
@@ -273,3 +280,31 @@ def test_dwelling_with_many_households_does_not_multiply(spark, rows):
     kept = silver.one_per_dwelling(homes)
     assert rows(kept) == [("d", 1, 2018, "r1")]
     assert members.join(kept, spec.DWELLING_KEY, "left").count() == 3
+
+
+def test_malformed_rows_are_counted_and_shown(spark, tmp_path):
+    folder = tmp_path / "raw" / "2018"
+    folder.mkdir(parents=True)
+    names = list(dict.fromkeys(f.raw for f in bronze.MODULES["member"] if f.raw != "survey_year"))
+    whole = ";".join("1" for _ in names)
+    lines = [";".join(names), whole, whole + ";more", whole[:-2]]
+    name = bronze.manifest([2018])["member"][2018]
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    layers = Layers(spark, str(tmp_path / "lake"))
+    audit = Audit(layers)
+    bronze.ingest_survey(layers, audit, str(tmp_path / "raw"), [2018])
+    loaded = audit.runs().filter("status = 'OK'").select("rows_out", "message").collect()
+    assert [tuple(r) for r in loaded] == [(3, "2 malformed rows")]
+    shown = layers.read("bronze", "member").filter("malformed_line IS NOT NULL")
+    assert {r[0] for r in shown.select("malformed_line").collect()} == set(lines[2:])
+
+
+def test_references_of_an_empty_fact(spark):
+    fact = spark.createDataFrame([], "a bigint, b int")
+    dim = spark.createDataFrame([(1,)], "k bigint")
+    found = quality.referential_audit(
+        fact, [quality.Reference("a", dim, "k", False), quality.Reference("b", dim, "k", True)]
+    )
+    assert sorted((r.fk, r.total, r.orphans, r.null_rows, r.match_status) for r in found.collect()) == [
+        ("a", 0, 0, 0, "OK"), ("b", 0, 0, 0, "OK"),
+    ]
