@@ -3,7 +3,8 @@
 Of each ``min_lines`` consecutive lines the one with the smallest hash is a
 fingerprint, so two equal runs of that length choose the same one. Fingerprints
 that several documents hold are joined, the match is extended from there to
-both sides, and the later run goes.
+both sides, and the later run goes. Runs of fewer lines that together have
+``min_words`` words count too; these are compared as they are.
 
 Defined results: lines without a word take no part in runs; such a line goes if
 the line with words before it goes. A run is later if it starts in a document
@@ -14,13 +15,15 @@ columns are passed on in ``row`` under their own names.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallymart.llm import textcore
 from tallymart.llm.runs import Runs, sums_by_row, without_repeats
-from tallymart.llm.textcore import Units
+from tallymart.llm.textcore import Prefixes, Units
 
 
 def content_lines(data: np.ndarray, bounds: np.ndarray) -> tuple[Units, np.ndarray]:
@@ -50,6 +53,24 @@ def winnow(size: int):
     return anchors
 
 
+@dataclass(frozen=True)
+class LineRuns(Runs):
+    words: int
+
+    def alone(self, data: np.ndarray, bounds: np.ndarray, units: Units, hashes: np.ndarray):
+        """Runs of fewer lines, long enough by their words."""
+        begins = textcore.words(data, bounds).starts
+        sums = np.concatenate([[0], np.cumsum(np.searchsorted(begins, units.ends) - np.searchsorted(begins, units.starts))])
+        prefixes = Prefixes(hashes)
+        found = [super().alone(data, bounds, units, hashes)]
+        for size in range(1, self.size):
+            starts = textcore.window_starts(units, size)
+            starts = starts[sums[starts + size] - sums[starts] >= self.words]
+            keys = textcore.mixed(prefixes.between(starts, starts + size) + np.uint64(size))
+            found.append((starts, np.full(len(starts), size), keys))
+        return tuple(map(np.concatenate, zip(*found)))
+
+
 def render(data: np.ndarray, bounds: np.ndarray, units: Units, removed: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     every, full = content_lines(data, bounds)
     last = np.cumsum(full) - 1  # the line with words at or before each line
@@ -59,7 +80,12 @@ def render(data: np.ndarray, bounds: np.ndarray, units: Units, removed: np.ndarr
     return sums_by_row(removed, units), textcore.joined(data, bounds, every, ~gone, b"\n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 3) -> DataFrame:
-    """(row, n_units, n_removed, kept_text): lines with words, those removed, the rest."""
-    runs = Runs(min_lines, min_lines - 1, lines_with_words, winnow(min_lines), render)
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 3, min_words: int = 50
+) -> DataFrame:
+    """(row, n_units, n_removed, kept_text): lines with words, those removed, the rest.
+
+    A run counts from ``min_lines`` lines or ``min_words`` words.
+    """
+    runs = LineRuns(min_lines, min_lines - 1, lines_with_words, winnow(min_lines), render, min_words)
     return without_repeats(docs, runs, id_col, text_col)

@@ -53,21 +53,34 @@ class Runs:
         starts = textcore.window_starts(units, self.size)
         return starts[marked[starts]]
 
+    def alone(self, data: np.ndarray, bounds: np.ndarray, units: Units, hashes: np.ndarray):
+        """(starts, sizes, keys) of shorter windows that count as well, each its own anchor."""
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64)
+
     def anchor_keys(self, batch: pa.RecordBatch):
         for part in textcore.slices(batch, TEXT):
-            _, _, units, hashes = self.read(part)
+            data, bounds, units, hashes = self.read(part)
             positions, keys = self.anchors(hashes, units)
-            yield textcore.ids_of(part.column(ID))[units.rows[positions]], keys
+            starts, _, own = self.alone(data, bounds, units, hashes)
+            places = np.concatenate([positions, starts])
+            yield textcore.ids_of(part.column(ID))[units.rows[places]], np.concatenate([keys, own])
 
     def window_keys(self, batch: pa.RecordBatch):
         for part in textcore.slices(batch, TEXT):
-            _, _, units, hashes = self.read(part)
+            data, bounds, units, hashes = self.read(part)
             positions, keys = self.anchors(hashes, units)
-            shared = repeats.held_by_row(units.rows[positions], keys, *repeats.listed(part.column("__keys")))
+            known = repeats.listed(part.column("__keys"))
+            shared = repeats.held_by_row(units.rows[positions], keys, *known)
             starts = self.near(units, positions[shared])
-            yield textcore.ids_of(part.column(ID))[units.rows[starts]], self.windows(hashes, starts)
-
-    def removed(self, part: pa.RecordBatch, units: Units, hashes: np.ndarray) -> np.ndarray:
+            single, _, own = self.alone(data, bounds, units, hashes)
+            again = repeats.held_by_row(units.rows[single], own, *known)
+            places = np.concatenate([starts, single[again]])
+            yield textcore.ids_of(part.column(ID))[units.rows[places]], np.concatenate([self.windows(hashes, starts), own[again]])
+
+    def removed(
+        self, part: pa.RecordBatch, data: np.ndarray, bounds: np.ndarray, units: Units, hashes: np.ndarray
+    ) -> np.ndarray:
         """Units in windows that an earlier document, or an earlier place of the same one, holds too."""
         rows = units.rows
         known = repeats.listed(part.column("__keys"))
@@ -82,13 +95,21 @@ class Runs:
         again = repeats.paired(rows[inner], self.windows(hashes, inner))
         first = np.zeros(len(inner), bool)
         first[np.unique(again, return_index=True)[1]] = True
-        return textcore.covered(np.concatenate([starts, inner[~first]]), self.size, len(units))
+        gone = textcore.covered(np.concatenate([starts, inner[~first]]), self.size, len(units))
+
+        starts, sizes, own = self.alone(data, bounds, units, hashes)
+        later = np.ones(len(starts), bool)
+        later[np.unique(repeats.paired(rows[starts], own), return_index=True)[1]] = False
+        later |= repeats.held_by_row(rows[starts], own, *known)
+        for size in np.unique(sizes[later]).tolist():
+            gone |= textcore.covered(starts[later & (sizes == size)], size, len(units))
+        return gone
 
     def clean(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textcore.slices(batch, TEXT):
                 data, bounds, units, hashes = self.read(part)
-                removed = self.removed(part, units, hashes)
+                removed = self.removed(part, data, bounds, units, hashes)
                 gone, kept = self.render(data, bounds, units, removed)
                 columns = {n: part.column(n) for n in part.schema.names if n not in (TEXT, "__keys")}
                 columns |= {

@@ -94,6 +94,21 @@ def test_line_dedup(spark, seed, size):
     assert collected(line_dedup(frame(spark, texts), min_lines=size)) == expected_lines(texts, size)
 
 
+def test_runs_of_many_words(spark):
+    """One line, or two lines together, of at least ``min_words`` words."""
+    long = " ".join(f"w{i}" for i in range(50))
+    half, other = " ".join(f"h{i}" for i in range(20)), " ".join(f"o{i}" for i in range(30))
+    texts = [
+        (1, f"a\n{long}\nb"), (2, f"c\n\n{long}\nd"), (3, long), (4, f"x\n{half}\n{other}\ny"), (5, f"{half}\n\n{other}"),
+        (6, f"{half}\nz\n{other}"), (7, f"e\n{long} more\nf\n{long} more"), (8, long.replace("w49", "")), (None, long),
+    ]
+    gone = {1: 0, 2: 1, 3: 1, 4: 0, 5: 2, 6: 0, 7: 1, 8: 0, None: 1}
+    kept = dict(texts) | {2: "c\n\nd", 3: "", 5: "", 7: f"e\n{long} more\nf", None: ""}
+    got = collected(line_dedup(frame(spark, texts)))
+    assert {(i, n, t) for i, _, n, t in got} == {(i, gone[i], kept[i]) for i in kept}
+    assert all(n == 0 for _, _, n, _ in collected(line_dedup(frame(spark, texts), min_words=10_000)))
+
+
 def test_empty_tables(spark):
     assert line_dedup(frame(spark, [])).count() == 0
     assert substring_dedup(frame(spark, [])).count() == 0
