@@ -46,6 +46,8 @@ PIECES = (
 _LETTER, _NUMBER, _BLANK = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", "\\t-\\r \\x85\\xa0"
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+")
 _OTHER = re.compile("[^\\x00-\\xff]")
+# blanks beyond Latin-1 as well; not \x1c to \x1f, which str.split() parts at
+_BLANKS = re.compile(f"[{_BLANK}\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 _SPECIAL = re.compile(r"<\|")
 
 
@@ -96,7 +98,7 @@ class Encoder:
         if not _OTHER.search(text):
             return b"".join(map(self.part, _PARTS.findall(text.lower()))) + self.end
         out = []
-        for chunk in text.split():
+        for chunk in _BLANKS.split(text):
             if _OTHER.search(chunk):
                 out.append(self.chunk(chunk))
             else:

@@ -28,6 +28,15 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encode(text), "<u4").tolist() == ids, text
 
 
+def test_control_characters_are_no_blanks():
+    encode = Encoder(PATH, 2)
+    blanks = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (chr(c).isspace() or c < 0x21 or 0x2000 <= c < 0x2070)]
+    texts = ["日本\x1cab", "日本 \x1f 語", "\x1d日本 x\x1e"] + [f"日本{c}ab {c} 語{c}" for c in blanks]
+    for text in texts:
+        ids = encode.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids, text
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_pack(seed):
     rng = random.Random(seed)
