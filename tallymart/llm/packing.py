@@ -221,8 +221,9 @@ def _packed(path: str, end_id: int, tiers: tuple[int, ...], group_tokens: int, s
     return run
 
 
-def _rests(window: int):
-    """Whole rests of groups into full-size windows, the largest first."""
+def _rests(window: int, step_tokens: int):
+    """Whole rests of groups into full-size windows, the largest first, and
+    these to steps like all others."""
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         sums = pdf.groupby("rest", sort=True)["length"].sum().sort_values(ascending=False, kind="stable")
@@ -236,8 +237,10 @@ def _rests(window: int):
             room[at] -= size
         base = (1 << 62) | (int(key[0]) << 18)
         pdf["offset"] += pdf["rest"].map(begin)
-        pdf["sequence_id"] = base + pdf["rest"].map(place)
-        pdf["step_id"] = base
+        dealt = steps([int(window - r) for r in room], step_tokens)
+        windows = pdf["rest"].map(place)
+        pdf["sequence_id"] = base + windows
+        pdf["step_id"] = base + windows.map(dict(enumerate(dealt)))
         return pdf
 
     return run
@@ -256,5 +259,5 @@ def packed(
     pieces = stored(source.mapInArrow(_packed(tokenizer, end_id, tiers, group_tokens, step_tokens), PIECES), "pieces")
     rests = pieces.where("rest is not null")
     together = max(1, -(-rests.select("rest").distinct().count() // RESTS_TOGETHER))
-    again = rests.groupBy(F.pmod(F.xxhash64("rest"), F.lit(together)).alias("set")).applyInPandas(_rests(tiers[0]), PIECES)
+    again = rests.groupBy(F.pmod(F.xxhash64("rest"), F.lit(together)).alias("set")).applyInPandas(_rests(tiers[0], step_tokens), PIECES)
     return pieces.where("rest is null").unionByName(again).drop("rest")

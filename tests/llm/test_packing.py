@@ -94,5 +94,15 @@ def test_packed(spark, group_tokens):
     assert set(pieces) == set(wanted)
 
 
+def test_rests_are_dealt_to_steps(spark):
+    texts = [(i, "word " * 300) for i in range(200)]
+    rows = packed(frame(spark, texts), PATH, group_tokens=1, step_tokens=8192).collect()
+    load = defaultdict(int)
+    for r in rows:
+        load[r.step_id] += r.length
+    assert sum(load.values()) == 200 * 301 and len(load) == 7
+    assert max(load.values()) - min(load.values()) <= 4096
+
+
 def test_empty_table(spark):
     assert packed(frame(spark, []), PATH).count() == 0
