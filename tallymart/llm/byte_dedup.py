@@ -8,7 +8,8 @@ by different pieces with one anchor, so the first holders of such pieces are
 asked for their bytes. The pieces of one reducer are cut into shards, each shard
 gets its Burrows-Wheeler transform, and the transforms are merged by refining
 their interleave until it is right for ``size`` bytes. The blocks that are left
-are the shared windows.
+are the shared windows. Where too many pieces have one anchor, hashes of their
+windows are sent instead, each to its own reducer.
 
 Defined results: NULL text is empty, a NULL id comes last, rows that share an
 id never count against each other, other columns are passed on in ``row``.
@@ -35,6 +36,9 @@ MERGE_BYTES = 1 << 20
 #: bytes of candidate pieces that a task sends as one batch
 BATCH_BYTES = 4 << 20
 
+#: distinct pieces around one anchor beyond which their windows are compared one by one
+HOT_PIECES = 4096
+
 PIECES = "bucket int, settled boolean, ids binary, places binary, keys binary, anchors binary, sizes binary, pieces binary"
 _SCHEMA = pa.schema([
     ("bucket", pa.int32()), ("settled", pa.bool_()), ("ids", pa.binary()), ("places", pa.binary()), ("keys", pa.binary()),
@@ -66,6 +70,7 @@ class Pieces:
 class ByteRuns:
     size: int
     anchor: int
+    hot: int = HOT_PIECES
 
     def pieces(self, data: np.ndarray, bounds: np.ndarray) -> Pieces:
         none = np.zeros(0, np.int64)
@@ -133,21 +138,39 @@ class ByteRuns:
             chosen = with_partner(chosen, anchors)
             spans = np.zeros(len(chosen), SPANS)
             spans["key"] = keys[chosen]
+            _, anchor, counts = np.unique(anchors[chosen], return_inverse=True, return_counts=True)
+            spans["start"] = counts[anchor] > self.hot
             yield from repeats.back(ids[chosen], spans, routed)
 
         return run
 
     def spread(self, routed: np.ndarray):
-        """Texts with their requests to bundles of the pieces asked for."""
+        """Texts with their requests to bundles of the pieces asked for; of
+        pieces around a hot anchor, which ``start`` of a request tells, of
+        their windows' hashes."""
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            waiting, size = [], 0
+            waiting, size, hot, hot_size = [], 0, [], 0
             for batch in batches:
                 for part in textcore.slices(batch, TEXT):
                     data, bounds = textcore.column_bytes(part.column(TEXT))
                     found = self.pieces(data, bounds)
                     rows, spans = repeats.listed(part.column("__keys"), SPANS)
-                    asked = spans["count"] == 0
+                    asked = (spans["count"] == 0) & (spans["start"] == 1)
+                    if asked.any():
+                        crowded = repeats.held_by_row(found.rows, found.keys, rows[asked], spans["key"][asked])
+                        counts = found.counts[crowded]
+                        at = stretches(found.starts[crowded], counts)
+                        hot.append((
+                            np.repeat(textcore.ids_of(part.column(ID))[found.rows[crowded]], counts),
+                            np.repeat(found.keys[crowded], counts), stretches(np.zeros_like(counts), counts),
+                            textcore.Prefixes(textcore._BYTE_VALUES[data]).between(at, at + self.size),
+                        ))
+                        hot_size += len(at)
+                        if hot_size >= repeats.GROUP_KEYS:
+                            yield from self._send_windows(*map(np.concatenate, zip(*hot)), routed)
+                            hot, hot_size = [], 0
+                    asked = (spans["count"] == 0) & (spans["start"] == 0)
                     shared = repeats.held_by_row(found.rows, found.keys, rows[asked], spans["key"][asked])
                     ids = textcore.ids_of(part.column(ID))[found.rows[shared]]
                     sizes = found.counts[shared] + self.size - 1
@@ -159,9 +182,29 @@ class ByteRuns:
                         waiting, size = [], 0
             if size:
                 yield from self._send(*map(np.concatenate, zip(*waiting)), routed)
+            if hot_size:
+                yield from self._send_windows(*map(np.concatenate, zip(*hot)), routed)
 
         return run
 
+    def _send_windows(self, ids, keys, starts, windows, routed) -> Iterator[pa.RecordBatch]:
+        """Windows of pieces by their own hashes; those that a smaller id of
+        the batch holds are settled."""
+        later = later_windows(ids, windows)
+        rows = []
+        if later.any():
+            rows.append(self._bundle(int(routed[windows[0] % np.uint64(len(routed))]), True, *single(ids, keys, starts, later)))
+        shares = (windows >> np.uint64(32)) * np.uint64(len(routed)) >> np.uint64(32)
+        left = np.flatnonzero(~later)
+        left = left[np.argsort(shares[left], kind="stable")]
+        cuts = np.flatnonzero(np.concatenate([[True], shares[left][1:] != shares[left][:-1], [True]]))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = left[a:b]
+            rows.append(self._bundle(int(routed[shares[own[0]]]), False, ids[own], keys[own]) | {
+                "anchors": windows[own].tobytes(), "sizes": starts[own].astype(np.uint32).tobytes(),
+            })
+        yield from repeats.in_batches(rows, _SCHEMA)
+
     def _send(self, ids, keys, anchors, sizes, data, routed) -> Iterator[pa.RecordBatch]:
         chosen, settled = self.distinct(ids, keys)
         rows = [self._bundle(0, True, *settled)] if len(settled[0]) else []
@@ -211,17 +254,25 @@ class ByteRuns:
         return run
 
     def merged(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        waiting = []
+        waiting, hot = [], []
         for batch in batches:
             for row in batch.to_pylist():
                 ids, keys = repeats.unbundled(row, SPANS if row["settled"] else np.uint64)
                 if row["settled"]:
                     yield ids, keys
+                elif not row["pieces"]:
+                    hot.append((ids, keys, np.frombuffer(row["sizes"], np.uint32), np.frombuffer(row["anchors"], np.uint64)))
                 else:
                     waiting.append((
                         ids, keys, np.frombuffer(row["anchors"], np.uint64),
                         np.frombuffer(row["sizes"], np.uint32).astype(np.int64), np.frombuffer(row["pieces"], np.uint8),
                     ))
+        if hot:
+            ids, keys, starts, windows = map(np.concatenate, zip(*hot))
+            hot.clear()
+            later = later_windows(ids, windows)
+            if later.any():
+                yield single(ids, keys, starts, later)
         if not waiting:
             return
         ids, keys, anchors, sizes, data = map(np.concatenate, zip(*waiting))
@@ -292,6 +343,22 @@ class ByteRuns:
                 })
 
 
+def later_windows(ids: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Which windows a smaller id holds too."""
+    order = np.lexsort((ids, windows))
+    _, first, window = np.unique(windows[order], return_index=True, return_inverse=True)
+    later = np.zeros(len(ids), bool)
+    later[order] = ids[order] > ids[order][first][window]
+    return later
+
+
+def single(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of one window each."""
+    spans = np.zeros(int(chosen.sum()), SPANS)
+    spans["key"], spans["start"], spans["count"] = keys[chosen], starts[chosen], 1
+    return ids[chosen], spans
+
+
 def with_partner(chosen: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     """Distinct pieces by anchor, without those alone with theirs."""
     chosen = chosen[np.argsort(anchors[chosen], kind="stable")]
@@ -307,15 +374,18 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20) -> DataFrame:
+def byte_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20, hot: int = HOT_PIECES
+) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept): ``kept`` are the remaining bytes.
 
     ``size`` is even; ``anchor`` is shorter. A longer anchor is rarer by chance
-    and gives more pieces.
+    and gives more pieces. More than ``hot`` pieces around one anchor are compared
+    by the hashes of their windows.
     """
     if size % 2 or not 8 <= anchor <= size - 1:
         raise ValueError("size must be even, the anchor from 8 bytes to less than the size")
-    method = ByteRuns(size, anchor)
+    method = ByteRuns(size, anchor, hot)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
     routed = repeats.routes(docs.sparkSession, repeats.reducers(source))

@@ -1,10 +1,12 @@
 """Shared byte strings against brute force; merged transforms against sorting."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallymart.llm import bwt
-from tallymart.llm.byte_dedup import byte_dedup
+from tallymart.llm import bwt, repeats
+from tallymart.llm.byte_dedup import SPANS, ByteRuns, byte_dedup
+from tallymart.llm.repeats import ID, TEXT
 from tests.llm.cases import edge_texts, frame, place
 
 
@@ -33,6 +35,45 @@ def test_byte_dedup(spark, seed, size, anchor):
     assert got == expected(texts, size)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_anchor_hot(spark, seed):
+    texts = edge_texts(seed) + [(400, "ab" * 90), (401, "ba" * 70), (402, "x" * 200), (403, "x" * 120)]
+    got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in byte_dedup(frame(spark, texts), hot=1).collect()), key=repr)
+    assert got == expected(texts, 50)
+
+
+def test_hot_anchor(spark):
+    """A phrase in a third of the documents between other neighbours: no piece
+    of it is gathered whole, and what is shared around it still goes."""
+    rng = np.random.default_rng(3)
+
+    def noise(n):
+        return bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+
+    phrase, ends = "in witness whereof the parties", [noise(25) for _ in range(6)]
+    texts = [(i, noise(60) + (rng.choice(ends) + phrase + rng.choice(ends) if i % 3 == 0 else "") + noise(60)) for i in range(300)]
+    size, anchor = 50, 20
+
+    def gathered(hot):
+        method = ByteRuns(size, anchor, hot)
+        source = pa.RecordBatch.from_pydict({ID: [i for i, _ in texts], TEXT: [t for _, t in texts]})
+        routed = np.arange(1, dtype=np.int32)
+        whole = list(method.compare(routed)(method.hashes(routed)([source])))
+        found = [repeats.unbundled(row, SPANS) for b in whole for row in b.to_pylist()]
+        keys = {i: b"" for i, _ in texts}
+        for ids, spans in found:
+            for i, span in zip(ids.tolist(), spans):
+                keys[i] += span.tobytes()
+        asked = source.append_column("__keys", pa.array([keys[i] for i, _ in texts], pa.binary()))
+        sent = list(method.spread(routed)([asked]))
+        return max((len(row["pieces"]) for b in sent for row in b.to_pylist()), default=0)
+
+    before, after = gathered(10**6), gathered(4)
+    got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in byte_dedup(frame(spark, texts), hot=4).collect()), key=repr)
+    assert after < before / 2
+    assert got == expected(texts, size) and any(r[2] for r in got)
+
+
 def test_empty_table(spark):
     assert byte_dedup(frame(spark, [])).count() == 0
 
