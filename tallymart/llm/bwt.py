@@ -21,7 +21,7 @@ SHARD_BYTES = 128 << 10
 
 @dataclass
 class Shard:
-    order: np.ndarray  # rotations, sorted by their first 64 bytes at least
+    order: np.ndarray  # rotations, sorted by as many bytes as merging goes to, at least
     front: np.ndarray  # the two bytes in front of each, in that order
     heads: np.ndarray  # their first 8 bytes as numbers, in that order
 
@@ -47,8 +47,9 @@ def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, ranks
 
 
-def shard(text: np.ndarray, bounds: np.ndarray) -> Shard:
-    """The transform of closed strings; ``bounds`` are theirs in ``text``."""
+def shard(text: np.ndarray, bounds: np.ndarray, depth: int = 64) -> Shard:
+    """The transform of closed strings, sorted by ``depth`` bytes at least;
+    ``bounds`` are theirs in ``text``."""
     size = len(text)
     sizes = np.diff(bounds)
     begin, length = np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
@@ -64,7 +65,7 @@ def shard(text: np.ndarray, bounds: np.ndarray) -> Shard:
         heads = (heads << np.uint64(8 * width)) | heads[step]
         step, width = step[step], 2 * width
     order, ranks = _ranks(heads)
-    while width < 64 and ranks[order[-1]] < size - 1:
+    while width < depth and ranks[order[-1]] < size - 1:
         order, ranks = _ranks((ranks << np.uint64(32)) | ranks[step])
         step, width = step[step], 2 * width
     back = shifted(-1)
@@ -111,7 +112,7 @@ def shared_windows(pieces: np.ndarray, bounds: np.ndarray, ids: np.ndarray, size
     shards, bases = [], []
     for a, b in zip(cuts[:-1], cuts[1:]):
         base = closed_bounds[a]
-        shards.append(shard(text[base:closed_bounds[b]], closed_bounds[a:b + 1] - base))
+        shards.append(shard(text[base:closed_bounds[b]], closed_bounds[a:b + 1] - base, max(64, size)))
         bases.append(base)
     if not shards:
         return np.zeros(0, bool)

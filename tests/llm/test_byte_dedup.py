@@ -114,3 +114,18 @@ def test_shared_windows_over_many_shards(monkeypatch):
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
     assert bwt.shared_windows(data, bounds, ids, size).tolist() == wanted
     assert bwt.shared_windows(data[:0], bounds[:1], ids[:0], size).tolist() == []
+
+
+def test_shared_windows_above_64_bytes(monkeypatch):
+    monkeypatch.setattr(bwt, "SHARD_BYTES", 2000)
+    rng = np.random.default_rng(6)
+    base = b"a" * 90
+    strings = [base + bytes(rng.choice([97, 98], 60).astype(np.uint8)) for _ in range(60)]
+    ids = rng.integers(0, 40, len(strings))
+    size, smallest = 100, {}
+    for i, s in zip(ids, strings):
+        for p in range(len(s) - size + 1):
+            smallest[s[p:p + size]] = min(smallest.get(s[p:p + size], 99), i)
+    wanted = [smallest.get(s[p:p + size], i) < i for i, s in zip(ids, strings) for p in range(len(s))]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
+    assert bwt.shared_windows(np.frombuffer(b"".join(strings), np.uint8), bounds, ids, size).tolist() == wanted
