@@ -19,8 +19,9 @@ from tallymart.llm.line_dedup import line_dedup
 from tallymart.llm.packing import packed
 from tallymart.llm.sharding import sharded
 from tallymart.llm.simhash import fingerprints, near_duplicates
-from tallymart.llm.store import table
+from tallymart.llm.store import stored, table
 from tallymart.llm.substring_dedup import substring_dedup
+from tallymart.llm.vector_codes import vector_codes
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,14 +113,66 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    hexes = F.transform("code", lambda x: F.lower(F.lpad(F.hex(x.cast("long")), 2, "0")))
+    found = stored(codes.found.select("row.*", F.array_join(hexes, "").alias("code"), "error"), "codes")
+    sums = found.groupBy(F.col("label").alias("own")).agg(F.sum("error").alias("label_error"))
+    digest = F.sha2(F.lit(codes.listing()).cast("binary"), 256)
+    return found.join(sums, F.col("label").eqNullSafe(F.col("own")), "left").select(
+        "vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_line_dedup, op3_benchmark_decontamination, op4_quality_rules, op5_suffix_array_dedup,
         op6_substring_dedup, op7_sharding, op8_packing, op9_secret_scans, op10_simhash_near_dedup,
+        op13_vector_code_compression,
     )
 }
 
+def _codebook_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Plain rounds of assigning and averaging, one pair of queries for each."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+            SELECT * FROM (
+                SELECT p.k, p.part, p.v, e.entry, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - e.c[i]) * (p.v[i] - e.c[i]))) AS far
+                FROM p JOIN e{r} e USING (part))
+            QUALIFY row_number() OVER (PARTITION BY k, part ORDER BY far, entry) = 1
+        )""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+            SELECT part, entry, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+            FROM (SELECT part, entry, v, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY part, entry, i
+        ), m{r} AS (
+            SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY part, entry
+        ), e{r + 1} AS (
+            SELECT e.part, e.entry, coalesce(m.c, e.c) AS c FROM e{r} e LEFT JOIN m{r} m USING (part, entry)
+        )""")
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS k, vec_id, label,
+                list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS (
+            SELECT k, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS v
+            FROM (SELECT k, v, unnest(range({parts})) AS part FROM kept)
+        ), e0 AS (
+            SELECT part, k - 1 AS entry, v AS c FROM p WHERE k <= {entries}
+        ), {", ".join(steps)}, c AS (
+            SELECT k, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY k
+        ), d AS (
+            SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e{rounds}
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM kept JOIN c USING (k) CROSS JOIN d
+    """
+
+
 _WORD = "'[^\\x20\\x09-\\x0D]+'"
 
 ORACLES: dict[str, str] = {
@@ -199,4 +252,5 @@ ORACLES: dict[str, str] = {
         SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op13_vector_code_compression": _codebook_sql(),
 }
