@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import quality, secrets, toxicity
+from tallymart.llm import quality, secrets, spelling, toxicity
 from tallymart.llm.byte_dedup import byte_dedup
 from tallymart.llm.decontaminate import benchmark_hits, contamination
 from tallymart.llm.line_dedup import line_dedup
@@ -113,6 +113,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(docs, alter_one_in=199), factor=5)
+
+
 def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     hexes = F.transform("code", lambda x: F.lower(F.lpad(F.hex(x.cast("long")), 2, "0")))
@@ -129,7 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_line_dedup, op3_benchmark_decontamination, op4_quality_rules, op5_suffix_array_dedup,
         op6_substring_dedup, op7_sharding, op8_packing, op9_secret_scans, op10_simhash_near_dedup,
-        op13_vector_code_compression,
+        op11_spelling_variants, op13_vector_code_compression,
     )
 }
 

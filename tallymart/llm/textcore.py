@@ -94,11 +94,15 @@ class Units:
 
 def words(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray = WORD_BYTES) -> Units:
     """Longest runs of member bytes; a run ends with its row."""
-    held = inside[data]
+    return stretches(inside[data], bounds)
+
+
+def stretches(held: np.ndarray, bounds: np.ndarray) -> Units:
+    """Longest runs of held bytes; a run ends with its row."""
     first, last = held.copy(), held.copy()
     first[1:] &= ~held[:-1]
     last[:-1] &= ~held[1:]
-    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    edges = bounds[(bounds > 0) & (bounds < len(held))]
     first[edges] = held[edges]
     last[edges - 1] = held[edges - 1]
     starts = np.flatnonzero(first)
