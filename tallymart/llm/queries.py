@@ -6,13 +6,14 @@ what the operator returns.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm import quality, secrets, spelling, toxicity
+from tallymart.llm import context_tree, quality, secrets, spelling, toxicity
 from tallymart.llm.byte_dedup import byte_dedup
 from tallymart.llm.decontaminate import benchmark_hits, contamination
 from tallymart.llm.line_dedup import line_dedup
@@ -118,6 +119,18 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(docs, alter_one_in=199), factor=5)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    held_out = (F.crc32(id_text) % 7 == 2).alias("held_out")
+    found = context_tree.scored(docs.select("doc_id", "text", held_out), ~held_out)
+    bits = -F.col("score") / (F.col("n_bytes") + 1) / math.log10(2)
+    return found.select(
+        "row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        bits.alias("bits_per_byte"),
+    )
+
+
 def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     hexes = F.transform("code", lambda x: F.lower(F.lpad(F.hex(x.cast("long")), 2, "0")))
@@ -134,7 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_line_dedup, op3_benchmark_decontamination, op4_quality_rules, op5_suffix_array_dedup,
         op6_substring_dedup, op7_sharding, op8_packing, op9_secret_scans, op10_simhash_near_dedup,
-        op11_spelling_variants, op13_vector_code_compression,
+        op11_spelling_variants, op12_lm_scoring, op13_vector_code_compression,
     )
 }
 
