@@ -89,7 +89,7 @@ class ByteRuns:
         last[:-1] &= new[1:] | ~whole[1:]
         starts, ends = np.flatnonzero(new), np.flatnonzero(last) + 1
         rows = np.searchsorted(bounds, starts, "right") - 1
-        keys = prefixes.between(starts, ends + self.size - 1)
+        keys = textcore.span_hashes(data, starts, ends + self.size - 1)
         # smallest hashes crowd at the low end; mixed again they part evenly
         return Pieces(starts, ends - starts, textcore.mixed(minima[starts]), keys, rows)
 

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # separators of words: the blank and the five control characters 09 to 0D
 BLANKS = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
@@ -21,6 +22,9 @@ LAST_ID = 2**63 - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _BYTE_VALUES = np.random.default_rng(20).integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
+#: longer spans are hashed one by one
+LONG_SPAN = 64
+_LANES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _powers = {True: np.ones(1, np.uint64), False: np.ones(1, np.uint64)}
 
 
@@ -144,7 +148,11 @@ def _power_table(size: int, inverse: bool) -> np.ndarray:
 
 
 class Prefixes:
-    """Hash of any stretch of a sequence of 64-bit values in constant time."""
+    """Hash of any stretch of a sequence of 64-bit values in constant time.
+
+    For stretches of up to some hundred values, such as windows: of longer ones
+    some orders of two values cancel each other, see ``span_hashes``.
+    """
 
     def __init__(self, values: np.ndarray):
         self.sums = np.zeros(len(values) + 1, np.uint64)
@@ -156,9 +164,29 @@ class Prefixes:
         return mixed(found)
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span, whatever its length.
+
+    Eight bytes at a time are mixed in, so there is no sum that an order of
+    letters could cancel; a long span takes its XXH64.
+    """
+    sizes = ends - starts
+    found = mixed(sizes.astype(np.uint64) + np.uint64(_BASE))
+    lanes = np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    some = np.flatnonzero(sizes <= LONG_SPAN)
+    for at in range(0, LONG_SPAN, 8):
+        some = some[sizes[some] > at]
+        lane = lanes[starts[some] + at] & _LANES[np.minimum(sizes[some] - at, 8)]
+        found[some] = mixed(found[some] ^ lane)
+    view = memoryview(np.ascontiguousarray(data))
+    for k in np.flatnonzero(sizes > LONG_SPAN).tolist():
+        found[k] = xxhash.xxh64_intdigest(view[starts[k]:ends[k]])
+    return found
+
+
 def unit_hashes(data: np.ndarray, units: Units) -> np.ndarray:
     """64-bit hash of the bytes of each word or line."""
-    return Prefixes(_BYTE_VALUES[data]).between(units.starts, units.ends)
+    return span_hashes(data, units.starts, units.ends)
 
 
 def window_starts(units: Units, size: int) -> np.ndarray:

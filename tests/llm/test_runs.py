@@ -109,6 +109,32 @@ def test_runs_of_many_words(spark):
     assert all(n == 0 for _, _, n, _ in collected(line_dedup(frame(spark, texts), min_words=10_000)))
 
 
+def thue_morse(size, one, other):
+    return [one if bin(i).count("1") % 2 else other for i in range(size)]
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_lines_and_words_of_two_letters_in_turn_are_told_apart(spark, size):
+    """Sequences whose sums modulo powers of two agree, whatever the base."""
+    lines = [" ".join(thue_morse(size, *pair)) for pair in ("ab", "ba")]
+    kept = {i: t for i, _, _, t in collected(line_dedup(frame(spark, list(enumerate(lines)))))}
+    assert kept == dict(enumerate(lines))
+    words = ["".join(thue_morse(size, *pair)) for pair in ("ab", "ba")]
+    texts = [(i, " ".join([w] * 3 + [f"w{k}" for k in range(30)])) for i, w in enumerate(words)]
+    assert collected(substring_dedup(frame(spark, texts))) == expected_words(texts, 20)
+
+
+def test_long_texts(spark):
+    """Beyond the slice in which a task takes texts."""
+    rng = random.Random(8)
+    words = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(120_000)]
+    long = " ".join(words)
+    texts = [(1, long), (2, " ".join(words[500:90_000] + ["end"])), (3, " ".join(words[:30]) + " " + long[::-1])]
+    assert collected(substring_dedup(frame(spark, texts))) == expected_words(texts, 20)
+    lines = [(i, t.replace(" ", "\n")) for i, t in texts]
+    assert collected(line_dedup(frame(spark, lines))) == expected_lines(lines, 3)
+
+
 def test_empty_tables(spark):
     assert line_dedup(frame(spark, [])).count() == 0
     assert substring_dedup(frame(spark, [])).count() == 0
