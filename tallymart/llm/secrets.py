@@ -2,13 +2,15 @@
 
 Two character Markov models, one of random strings and one of ordinary words
 and identifiers, give each long run of token characters the logarithm of their
-likelihood ratio. Both are counted on labelled samples: values that the fixed
-patterns find (and seeded random strings, so that every character occurs) are
-random, all other runs of the sampled documents are ordinary.
+likelihood ratio. Both are counted on what the fixed patterns label, over all
+documents: values that they find (and seeded random strings, so that every
+character occurs) are random, all other runs are ordinary.
 
 Defined results: NULL text is empty. Spans are code points, end exclusive. A
 run that overlaps a fixed pattern's span adds nothing. Documents that repeat
-are scanned each; other columns are passed on in ``row``.
+are counted and scanned each; a text of any length is scanned in time in
+proportion to it; an empty table has an empty result, and its models know the
+random strings alone. Other columns are passed on in ``row``, under any names.
 """
 
 from __future__ import annotations
@@ -74,8 +76,8 @@ def transitions(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple
     return _CODE[data[at]] * len(ALPHABET) + _CODE[data[at + 1]], np.repeat(np.arange(len(starts)), sizes)
 
 
-def spans_in(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, dict[int, tuple[str, list]]]:
-    """Bytes that base spans cover, and for rows with any (text, spans)."""
+def spans_in(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, dict[int, list]]:
+    """Bytes that base spans cover, and the spans of rows with any."""
     covered = np.zeros(len(data), bool)
     found = {}
     raw = data.tobytes()
@@ -83,10 +85,11 @@ def spans_in(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, dict[int
         text = raw[bounds[row]:bounds[row + 1]].decode("utf-8", "replace")
         spans = base_spans(text)
         if spans:
-            found[row] = (text, spans)
+            found[row] = spans
+            own = data[bounds[row]:bounds[row + 1]]
+            places = np.append(np.flatnonzero((own & 0xC0) != 0x80), len(own)) + bounds[row]  # of code points
             for start, end, _ in spans:
-                begin = int(bounds[row]) + len(text[:start].encode())
-                covered[begin:begin + len(text[start:end].encode())] = True
+                covered[places[start]:places[end]] = True
     return covered, found
 
 
@@ -137,16 +140,13 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_rows: int = 20_000) -> Model:
-    """Counts pairs over a bounded sample of documents, chosen by a hash of the text.
+def train(docs: DataFrame, text_col: str = "text") -> Model:
+    """Counts pairs of characters over all documents.
 
-    About ``sample_rows`` documents are labelled by the fixed patterns; what
-    reaches the driver is one count for each label and pair of characters.
+    What reaches the driver is one count for each label and pair of characters.
     """
-    texts = docs.select(F.col(text_col).cast("string").alias(TEXT)).where(F.col(TEXT).isNotNull())
-    share = max(1, -(-texts.count() // sample_rows))
-    sample = texts.where(F.pmod(F.xxhash64(TEXT), F.lit(share)) == 0)
-    rows = sample.mapInArrow(_counts, "random boolean, pair int, n long").groupBy("random", "pair").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias(TEXT)).where(F.col(TEXT).isNotNull())
+    rows = texts.mapInArrow(_counts, "random boolean, pair int, n long").groupBy("random", "pair").agg(F.sum("n").alias("n"))
     counts = {(r.random, r.pair): r.n for r in rows.collect()}
     strings = random_strings()
     begins = np.arange(len(strings)) * strings.shape[1]
@@ -175,12 +175,12 @@ def scan(model: Model, min_length: int, threshold: float):
         sums = np.concatenate([[0], np.cumsum(covered)])
         odd &= sums[ends] == sums[starts]
         out: list[list[tuple]] = [[] for _ in range(len(bounds) - 1)]
-        for row, (_, base) in found.items():
+        for row, base in found.items():
             out[row] += base
-        raw = data.tobytes()
-        for a, b, row in zip(starts[odd].tolist(), ends[odd].tolist(), rows[odd].tolist()):
-            begin = len(raw[bounds[row]:a].decode("utf-8", "replace"))
-            out[row].append((begin, begin + b - a, "markov"))
+        tops = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+        begins = tops[starts[odd]] - tops[bounds[rows[odd]]]
+        for begin, size, row in zip(begins.tolist(), (ends - starts)[odd].tolist(), rows[odd].tolist()):
+            out[row].append((begin, begin + size, "markov"))
         return [
             [{"kind": k, "start": a, "end": b} for a, b, k in sorted(x, key=lambda s: (s[0], KINDS.index(s[2])))] for x in out
         ]

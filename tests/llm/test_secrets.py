@@ -2,8 +2,10 @@
 
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 
 from tallymart.llm import secrets
 from tests.llm.cases import edge_texts, frame
@@ -56,7 +58,7 @@ def test_base_spans(spark):
 
 def test_models_tell_random_strings_from_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    model = secrets.train(docs, sample_rows=500)
+    model = secrets.train(docs)
     rng = np.random.default_rng(77)
     letters = np.frombuffer(secrets.ALPHABET[:62], np.uint8)
     random_text = rng.choice(letters, (500, 24)).ravel()
@@ -69,6 +71,34 @@ def test_models_tell_random_strings_from_words(spark):
     assert len(words) > 100 and (model.scores(data, starts, ends) > 12).mean() < 0.005
 
 
+def test_counts_are_those_of_all_documents(spark, monkeypatch):
+    """Each copy of a text on a third of all rows counts, as does every other row."""
+    texts = [(i, "password=Xq7zXq7z one" if i % 3 == 0 else f"word{'abc'[i % 2]} two") for i in range(300)]
+    seen = {}
+    monkeypatch.setattr(secrets, "Model", seen.update)
+    secrets.train(frame(spark, texts))
+    strings = secrets.random_strings()
+    width, code = len(secrets.ALPHABET), secrets.ALPHABET.index
+    pair = lambda t: code(t[0]) * width + code(t[1])
+    random_pairs = sum(bytes(s[k:k + 2]) == b"Xq" for s in strings for k in range(len(s) - 1))
+    assert seen[True, pair(b"Xq")] == 200 + random_pairs
+    assert seen[False, pair(b"on")] == 100 and seen[False, pair(b"rd")] == 200 and seen[False, pair(b"da")] == 100
+
+
+def test_time_is_in_proportion_to_the_text():
+    """Spans all over one long text of several alphabets: far from a square."""
+    model = secrets.Model({})
+    model.ratio = np.ones_like(model.ratio)
+    find = secrets.scan(model, 16, 12.0)
+    part = "é token=abcdef123 語 abcdefghijklmnopqrst "
+    text = part * 100_000
+    batch = pa.RecordBatch.from_pydict({"__text": pa.array([text])})
+    began = time.perf_counter()
+    spans = next(find([batch])).column("__spans")[0].as_py()
+    assert time.perf_counter() - began < 30
+    assert len(spans) == 200_000 and all(text[s["start"]:s["end"]] in ("token=abcdef123", "abcdefghijklmnopqrst") for s in spans[::997])
+
+
 def test_empty_table(spark):
     df = frame(spark, [])
     assert secrets.secret_spans(df, secrets.train(df)).count() == 0
