@@ -55,6 +55,23 @@ def test_no_python_in_the_plan(spark, plan):
     assert not re.search("Python|Pandas|Arrow", plan(df))
 
 
+def test_the_sample_is_bounded_and_taken_in_parallel(spark, plan):
+    """A text on a third of all rows is sampled like the rest; no task reads the whole table."""
+    texts = spark.range(30_000).repartition(7).select(
+        F.when(F.col("id") % 3 == 0, F.lit("the same text")).otherwise(F.col("id").cast("string")).alias("text"))
+    drawn = quality.sampled(texts, 1000 / 30_000)
+    same, rows = drawn.agg(F.count_if(F.col("text") == "the same text"), F.count("*")).first()
+    assert 800 < rows < 1200 and 0.25 < same / rows < 0.42
+    assert drawn.rdd.getNumPartitions() > 1 and "Coalesce" not in plan(drawn.repartition(1))
+
+
+def test_long_and_empty_texts(spark):
+    long = "many words in one line " * 100_000
+    df = frame(spark, [(1, long), (2, ""), (3, None), (3, None)])
+    got = {r.doc_id: r.m for r in df.select("doc_id", quality.measures().alias("m")).collect()}
+    assert got[1].n_words == 500_000 == got[1].n_repeat_words and got[2].n_words == got[3].n_words == 0
+
+
 def test_labelled_junk_goes_and_good_text_stays(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
