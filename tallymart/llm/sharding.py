@@ -5,11 +5,13 @@ groups that hold more than a small share of anything are units of their own and
 all others share a fixed number of cells by hash, so the driver places a
 bounded number of units, whatever the table holds. Units go to the shard where
 the dot product of their vector with the residual capacity is highest, the
-largest first. A group larger than half a shard is split by its rows.
+largest first. A group larger than half a shard is split by its rows, which are
+numbered when they are stored.
 
 Defined results: NULL text has no bytes, no tokens and counts as one group;
-NULL or repeated ids are rows like others; other columns are passed on in
-``row``.
+NULL or repeated ids are rows like others; a text may be of any length; an empty
+table has an empty result. Other columns are passed on in ``row``, under any
+names.
 """
 
 from __future__ import annotations
@@ -71,7 +73,9 @@ def sharded(
     The driver sees at most 3 x ``cells`` groups, 5 x ``cells`` x shards units.
     """
     spark = docs.sparkSession
-    rows = stored(attributes(docs, id_col, text_col), "shard-rows")
+    # a stored number tells rows apart, whatever their ids are
+    numbered = attributes(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
+    rows = stored(numbered, "shard-rows")
     groups = stored(rows.groupBy("grp").agg(*[F.sum(c).alias(c) for c in SUMS]), "shard-groups")
     totals = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS]).first()
     heavy = F.greatest(*[F.col(c) / F.lit(max(totals[c], 1)) for c in SUMS])
@@ -80,7 +84,7 @@ def sharded(
     pieces = F.when(F.col("share") * shards * 2 > 1, F.ceil(F.col("share") * shards * 2)).otherwise(1)
     large = large.select("grp", pieces.cast("long").alias("pieces"))
     cell = F.pmod("grp", F.lit(cells))
-    piece = F.pmod(F.xxhash64("id", F.lit(7)), F.col("pieces"))
+    piece = F.pmod(F.xxhash64("place", F.lit(7)), F.col("pieces"))
     units = rows.join(F.broadcast(large), "grp", "left").withColumns({
         "unit": F.when(F.col("pieces").isNull(), cell).otherwise(F.col("grp")),
         "piece": F.when(F.col("pieces").isNull(), F.lit(-1).cast("long")).otherwise(piece),
@@ -93,14 +97,14 @@ def sharded(
         [(r.unit, r.piece, int(s), -(-r.n // step)) for r, s in zip(sums, chosen)],
         "unit long, piece long, shard int, parts long",
     )
-    placed = units.join(F.broadcast(plan), ["unit", "piece"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(8)), "parts"))
+    placed = units.join(F.broadcast(plan), ["unit", "piece"]).withColumn("part", F.pmod(F.xxhash64("place", F.lit(8)), "parts"))
     begins, filled = [], [0] * shards
     counts = placed.groupBy("unit", "piece", "part", "shard").agg(F.count("*").alias("n"))
     for r in counts.orderBy("unit", "piece", "part").collect():
         begins.append((r.unit, r.piece, r.part, filled[r.shard]))
         filled[r.shard] += r.n
     begins = spark.createDataFrame(begins, "unit long, piece long, part long, begin long")
-    rank = F.row_number().over(Window.partitionBy("unit", "piece", "part").orderBy("grp", "id", "text_crc32"))
+    rank = F.row_number().over(Window.partitionBy("unit", "piece", "part").orderBy("grp", "id", "text_crc32", "place"))
     return placed.join(F.broadcast(begins), ["unit", "piece", "part"]).select(
         "row", "size", "text_crc32", "shard", (F.col("begin") + rank - 1).cast("long").alias("slot")
     )

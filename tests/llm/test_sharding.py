@@ -1,8 +1,11 @@
 """Shards: balance, whole groups, gapless slots, large groups split."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from tallymart.llm.sharding import sharded
 from tests.llm.cases import edge_texts, frame
 
@@ -56,5 +59,29 @@ def test_a_third_of_all_rows_in_one_group(spark):
     assert max(load) - min(load) <= 0.05 * max(load)
 
 
+@pytest.mark.parametrize("own_id", [None, 7])
+def test_a_third_of_all_rows_without_ids_of_their_own(spark, own_id):
+    texts = [(own_id if i % 3 == 0 else i, "the same text in very many rows" if i % 3 == 0 else f"text number {i} of its own") for i in range(6000)]
+    load = check(texts, collected(sharded(frame(spark, texts), 8)), 8)
+    assert max(load) - min(load) <= 0.01 * max(load)
+
+
+def test_rows_of_a_hot_group_are_ranked_in_parts(spark):
+    """No task ranks more than a small share of a group, also without ids."""
+    texts = [(None, "the same text")] * 4000
+    ranked = sharded(frame(spark, texts), 8, cells=64)
+    keys = re.findall(r"windowspecdefinition\(unit#\d+L, piece#\d+L, part#\d+L,", ranked._jdf.queryExecution().toString())
+    assert keys
+    load = check(texts, collected(ranked), 8)
+    assert max(load) - min(load) <= 0.05 * max(load)
+
+
+def test_a_very_long_text(spark):
+    texts = [(1, "long " * 300_000), (2, "short"), (3, None)]
+    rows = collected(sharded(frame(spark, texts), 2))
+    assert len({r[3] for r in rows if r[0] != 1} - {r[3] for r in rows if r[0] == 1}) == 1
+    check(texts, rows, 2)
+
+
 def test_empty_table(spark):
     assert sharded(frame(spark, [])).count() == 0
