@@ -57,9 +57,7 @@ def raw_schema(fields: Sequence[Field]) -> T.StructType:
 
 def read_module(layers: Layers, module: str, years: Sequence[int] | None = None) -> DataFrame:
     """The stored raw table of a module, some years or all."""
-    df = layers.spark.read.schema(raw_schema(MODULES[module])).parquet(
-        layers.path("bronze", module)
-    )
+    df = layers.read("bronze", module, raw_schema(MODULES[module]))
     return df.filter(F.col(spec.YEAR).isin(list(years))) if years else df
 
 
@@ -107,7 +105,9 @@ def ingest_survey(
             else:
                 audit.skipped("bronze", "bronze", module, f"no file {file.path}")
 
-    together(layers.spark, [partial(load_module, m) for m in dict.fromkeys(f.module for f in found)])
+    modules = dict.fromkeys(f.module for f in found)
+    with audit.recording():
+        together(layers.spark, [partial(load_module, m) for m in modules])
 
 
 def _store_reference(
@@ -122,14 +122,14 @@ def ingest_workbook(
     layers: Layers, audit: Audit, path: str, on_error: str = "skip"
 ) -> None:
     """Load the department and the town sheet."""
-    for table, sheet in (("departments", DEPARTMENT_SHEET), ("sheet_towns", TOWN_SHEET)):
-
-        def load(table=table, sheet=sheet) -> tuple[int, int]:
-            df = blank_to_null(normalize_names(read_sheet(layers.spark, path, sheet)))
-            source = f"{path.rsplit('/', 1)[-1]}#{sheet}"
-            return _store_reference(layers, audit, table, df, "excel", source)
-
-        audit.step("bronze", "bronze", table, load, on_error)
+    def load(table: str, sheet: str) -> tuple[int, int]:
+        df = blank_to_null(normalize_names(read_sheet(layers.spark, path, sheet)))
+        source = f"{path.rsplit('/', 1)[-1]}#{sheet}"
+        return _store_reference(layers, audit, table, df, "excel", source)
+
+    with audit.recording():
+        for table, sheet in (("departments", DEPARTMENT_SHEET), ("sheet_towns", TOWN_SHEET)):
+            audit.step("bronze", "bronze", table, partial(load, table, sheet), on_error)
 
 
 def ingest_towns(

@@ -187,8 +187,9 @@ def build_all(
     Without ``rebalance`` each task of the last shuffle writes a file per year.
     """
     b = Builder(layers, audit, years, rebalance)
-    build_silver(b)
-    build_gold(b, as_of_year)
+    with audit.recording():
+        build_silver(b)
+        build_gold(b, as_of_year)
 
 
 def dimension_audit(layers: Layers) -> DataFrame:
@@ -272,7 +273,8 @@ def serve(
         audit.log("serving", "serving", name, started["at"], rows, rows, status, message)
         started["at"] = datetime.now(timezone.utc)
 
-    return publish(served_tables(layers, published_names, table_names), write, report)
+    with audit.recording():
+        return publish(served_tables(layers, published_names, table_names), write, report)
 
 
 def serving_audit(

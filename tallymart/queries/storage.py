@@ -13,8 +13,10 @@ from tallymart.functions import scalar
 from tallymart.operators.project import blank_to_null
 from tallymart.queries.registry import Tables, query
 from tallymart.session import scratch_path
+from tallymart.sources import versions
 from tallymart.sources.delimited import SurveyFile, raw_module, read_delimited, union_years
-from tallymart.sources.tables import read_parquet, write_parquet
+from tallymart.sources.tables import delete_folder, read_parquet, write_parquet
+from tallymart.streaming.ingest import ingest_new_files
 
 
 def _orders(t: Tables) -> DataFrame:
@@ -156,3 +158,74 @@ def reload_emptied_year(t: Tables) -> DataFrame:
     emptied = _orders(t).filter("y = 1997 AND o_orderkey IS NULL")
     write_parquet(emptied, path, partition_by=["y"], only_partitions=True, replaces=[1997])
     return read_parquet(t.spark, path)
+
+
+_STATES = """
+WITH o AS (
+  SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice,
+         CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority,
+         CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)
+SELECT 'reader of the first version' AS state, o_orderkey, o_totalprice,
+       CAST(NULL AS VARCHAR) AS o_orderpriority, y FROM o WHERE y < 1998
+UNION ALL
+SELECT 'current version', o_orderkey,
+       CAST(o_totalprice + CASE WHEN y = 1997 THEN 1 ELSE 0 END AS DECIMAL(14,2)),
+       o_orderpriority, y FROM o WHERE y <> 1996
+"""
+
+
+@query(_STATES)
+def versioned_overwrite(t: Tables) -> DataFrame:
+    """The table before and after: early years, one reloaded, one emptied, late
+    years appended with one column more; a write in between fails midway."""
+    root = scratch_path(t.spark, "versioned")
+    kept = ["o_orderkey", "o_totalprice", "y"]
+    early = _orders(t).filter("y < 1998").select(*kept)
+    versions.write(early, root, partition_by="y")
+    first = versions.read(t.spark, root)
+    broken = F.when(F.col("o_orderkey") > 100, F.raise_error(F.lit("a row that cannot be written")))
+    try:
+        versions.write(early.withColumn("o_totalprice", F.coalesce(broken.cast("decimal(14,2)"), "o_totalprice")), root, partition_by="y")
+    except Exception as error:
+        if "cannot be written" not in str(error):
+            raise
+    changed = early.filter("y = 1997").withColumn(
+        "o_totalprice", (F.col("o_totalprice") + 1).cast("decimal(14,2)")
+    )
+    for _ in range(2):  # loading a year again must not add to it
+        versions.write(changed, root, partition_by="y", only_partitions=True, replaces=[1996])
+    late = _orders(t).filter("y >= 1998").select(*kept[:-1], "o_orderpriority", "y")
+    versions.write(late, root, mode="append", partition_by="y")
+    columns = ["o_orderkey", "o_totalprice", "o_orderpriority", "y"]
+    before = first.select(F.lit("reader of the first version").alias("state"), *kept[:-1], F.lit(None).cast("string").alias("o_orderpriority"), "y")
+    now = versions.read(t.spark, root).select(F.lit("current version").alias("state"), *columns)
+    return before.union(now)
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus,
+       CASE WHEN year(o_orderdate) < 1998 THEN 'batch' ELSE 'stream' END AS origin,
+       CAST(year(o_orderdate) AS INTEGER) AS survey_year
+FROM orders
+""")
+def stream_replay(t: Tables) -> DataFrame:
+    """A table that a batch load begins and streams go on with, one for each
+    late year; every stream also loses the note that its batch was done, and
+    the batch that it sends again adds nothing."""
+    root, text, records = (scratch_path(t.spark, label) for label in ("mixed", "arriving", "records"))
+    rows = _orders(t).select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("  ")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "y",
+    )
+    early = blank_to_null(rows.filter("y < 1998")).select(
+        "o_orderkey", "o_orderstatus", F.lit("batch").alias("origin"), F.col("y").alias("survey_year")
+    )
+    versions.write(early, root, partition_by="survey_year")
+    _write_text(rows.filter("y >= 1998"), text)
+    for year in [r.y for r in rows.filter("y >= 1998").select("y").distinct().orderBy("y").collect()]:
+        record = f"{records}/{year}"
+        for _ in range(2):
+            ingest_new_files(t.spark, f"{text}/y={year}", year, root, record, "run-1").awaitTermination()
+            delete_folder(t.spark, f"{record}/commits/0")
+    origin = F.when(F.col("origin") == "batch", "batch").otherwise("stream").alias("origin")
+    return versions.read(t.spark, root).select("o_orderkey", "o_orderstatus", origin, "survey_year")

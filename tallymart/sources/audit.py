@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.dedupe import keep_first
-from tallymart.sources.tables import Layers, create_schemas, create_table, write_parquet
+from tallymart.sources import versions
+from tallymart.sources.tables import Layers
 
 RUNS_SCHEMA = (
     "run_id string, step string, layer string, table_name string, "
@@ -31,9 +33,19 @@ def new_run_id() -> str:
     return str(uuid.uuid4())
 
 
+SCHEMAS = {"pipeline_runs": RUNS_SCHEMA, "yearly_load_log": LOADS_SCHEMA}
+#: appended files of a log above which they are merged into one
+MERGED_FROM = 16
+
+
 class Audit:
     """Append-only logs of one run.
 
+    Within ``recording`` rows are held on the driver, one for each step, and
+    written together at its end, however it ends: one file for each log.
+    Outside of it a row is written at once. Many files become one behind a new
+    version of the log.
+
     Row counts are taken from the stored tables, not from metrics of the write:
     a task that runs again after a lost executor would be counted twice.
     """
@@ -42,7 +54,37 @@ class Audit:
         self.layers = layers
         self.spark: SparkSession = layers.spark
         self.run_id = run_id or new_run_id()
-        self._turn = threading.Lock()
+        self._turn = threading.RLock()
+        self._held: dict[str, list[tuple]] = {table: [] for table in SCHEMAS}
+        self._open = 0
+
+    @contextmanager
+    def recording(self) -> Iterator[Audit]:
+        """Hold the rows of the steps inside; write them when the outermost one ends."""
+        with self._turn:
+            self._open += 1
+        try:
+            yield self
+        finally:
+            with self._turn:
+                self._open -= 1
+                if not self._open:
+                    self.flush()
+
+    def flush(self) -> None:
+        """Write the rows that are held."""
+        with self._turn:
+            for table, rows in self._held.items():
+                if rows:
+                    frame = self.spark.createDataFrame(rows, SCHEMAS[table]).coalesce(1)
+                    self.layers.write(frame, "audit", table, mode="append")
+                    rows.clear()
+                    self._merge(table)
+
+    def _merge(self, table: str) -> None:
+        now = versions.current(self.spark, self.layers.path("audit", table))
+        if len(now.folders) > MERGED_FROM:
+            self.layers.write(self.layers.read("audit", table).coalesce(1), "audit", table)
 
     def log(
         self,
@@ -61,37 +103,39 @@ class Audit:
             self.run_id, step, layer, table, rows_in, rows_out, status, message,
             started_at, ended_at, (ended_at - started_at).total_seconds(),
         )
-        self._append([row], RUNS_SCHEMA, "pipeline_runs")
+        self._hold(row, "pipeline_runs")
 
     def loaded(self, table: str, year: int, row_count: int) -> None:
         """Note that a year is loaded; the latest note per table and year counts."""
         row = (year, table, row_count, _now(), self.run_id)
-        self._append([row], LOADS_SCHEMA, "yearly_load_log")
+        self._hold(row, "yearly_load_log")
 
-    def _append(self, rows: list[tuple], schema: str, table: str) -> None:
-        frame = self.spark.createDataFrame(rows, schema).coalesce(1)
-        with self._turn:  # two appends at once would share a staging folder
-            write_parquet(frame, self.layers.path("audit", table), mode="append")
+    def _hold(self, row: tuple, table: str) -> None:
+        with self._turn:
+            self._held[table].append(row)
+            if not self._open:
+                self.flush()
 
-    def _read(self, table: str, schema: str) -> DataFrame:
+    def _read(self, table: str) -> DataFrame:
+        self.flush()
         if not self.layers.exists("audit", table):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.layers.path("audit", table))
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.layers.read("audit", table)
 
     def create_tables(self, prefix: str) -> None:
         """Make both logs known to SQL, empty ones too, with their types."""
-        create_schemas(self.spark, prefix)
-        for table, schema in (("pipeline_runs", RUNS_SCHEMA), ("yearly_load_log", LOADS_SCHEMA)):
-            path = self.layers.path("audit", table)
-            create_table(self.spark, f"{prefix}_audit.{table}", schema, path)
+        for table, schema in SCHEMAS.items():
+            if not self.layers.exists("audit", table):
+                self.layers.write(self.spark.createDataFrame([], schema), "audit", table)
+        self.layers.register(prefix)
 
     def runs(self) -> DataFrame:
         """The run log."""
-        return self._read("pipeline_runs", RUNS_SCHEMA)
+        return self._read("pipeline_runs")
 
     def yearly_loads(self) -> DataFrame:
         """One row per table and year, as last loaded."""
-        log = self._read("yearly_load_log", LOADS_SCHEMA)
+        log = self._read("yearly_load_log")
         return keep_first(
             log, ["table_name", "survey_year"], [F.desc("loaded_at")]
         ).orderBy("table_name", "survey_year")

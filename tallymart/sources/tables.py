@@ -1,14 +1,19 @@
-"""Stored tables: Parquet in a folder per layer, optionally in the catalog."""
+"""Stored tables: Parquet in a folder per layer, optionally in the catalog.
+
+The tables of ``Layers`` are versioned: see ``tallymart.sources.versions``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.session import scratch_path
-from tallymart.sources.delimited import path_exists
+from tallymart.sources import versions
 
 LAYERS = ("bronze", "silver", "gold", "ref", "audit")
 #: folder in which a file stream lists what it has written
@@ -98,6 +103,7 @@ class Layers:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.prefixes: set[str] = set()
 
     def path(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
@@ -105,42 +111,63 @@ class Layers:
         return f"{self.root}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        return path_exists(self.spark, self.path(layer, table))
+        return bool(versions.numbers(self.spark, self.path(layer, table)))
 
-    def read(self, layer: str, table: str, merge_schema: bool = False) -> DataFrame:
-        return read_parquet(self.spark, self.path(layer, table), merge_schema)
+    def read(self, layer: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+        """The current version, with the columns of all its files or of ``schema``."""
+        return versions.read(self.spark, self.path(layer, table), schema=schema)
 
     def read_optional(self, layer: str, table: str) -> DataFrame | None:
         return self.read(layer, table) if self.exists(layer, table) else None
 
-    def write(self, df: DataFrame, layer: str, table: str, **options) -> DataFrame:
-        """Store a frame and return it as stored.
-
-        The schema is known, so no file has to be opened for it.
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        mode: str = "overwrite",
+        partition_by: Sequence[str] = (),
+        **options,
+    ) -> DataFrame:
+        """Store a frame as the next version and return it as stored; see
+        ``versions.write`` for the options.
+
+        The version's schema is known, so no file has to be opened for it.
         """
+        if len(partition_by) > 1:
+            raise ValueError("one partition column at most")
         path = self.path(layer, table)
-        write_parquet(df, path, **options)
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = versions.write(df, path, mode, *partition_by, **options)
+        for prefix in self.prefixes:
+            self._show(prefix, layer, table, stored)
+        return versions.read(self.spark, path, stored)
+
+    def expire(self, keep: int = 2, abandoned_after: float | None = None) -> int:
+        """Forget the old versions of all tables; returns how many went."""
+        return sum(
+            versions.expire(self.spark, self.path(layer, table), keep, abandoned_after)
+            for layer in LAYERS for table in self._stored(layer) if self.exists(layer, table)
+        )
 
     def register(self, prefix: str) -> DataFrame:
-        """Make the stored tables known to SQL as ``prefix_layer.table``.
+        """Make the current versions known to SQL as ``prefix_layer.table``.
 
         A table shows the columns of all its files. Returns the listing.
-        Dropping a registered table keeps its files.
+        Dropping a registered table keeps its files. What these ``Layers`` write
+        later shows at once, what others write after registering again.
         """
         create_schemas(self.spark, prefix)
+        self.prefixes.add(prefix)
         for layer in LAYERS:
             for table in self._stored(layer):
-                name = f"{prefix}_{layer}.{table}"
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-                self.spark.catalog.createTable(
-                    name, self.path(layer, table), "parquet", mergeSchema="true"
-                )
-                columns = self.spark.table(name).columns
-                if any(c.isPartition for c in self.spark.catalog.listColumns(name)) and columns:
-                    self.spark.catalog.recoverPartitions(name)
+                now = versions.current(self.spark, self.path(layer, table))
+                if now:
+                    self._show(prefix, layer, table, now)
         return list_tables(self.spark, prefix)
 
+    def _show(self, prefix: str, layer: str, table: str, now: versions.Version) -> None:
+        _register_version(self.spark, prefix, layer, table, self.path(layer, table), now)
+
     def _stored(self, layer: str) -> list[str]:
         return file_names(self.spark, f"{self.root}/{layer}")
 
@@ -149,13 +176,58 @@ class Layers:
         their entries in the catalog. The next load starts from none."""
         for table in self._stored(layer):
             if prefix:
-                drop_tables(self.spark, [f"{prefix}_{layer}.{table}"])
+                files = _files_tables(self.spark, prefix, layer, table).values()
+                drop_tables(self.spark, [f"{prefix}_{layer}.{table}", *files])
             delete_folder(self.spark, self.path(layer, table))
 
 
+def _files_tables(spark: SparkSession, prefix: str, layer: str, table: str) -> dict[int, str]:
+    """The catalog tables over single versions of a table, by version."""
+    schema, start = f"{prefix}_files", f"{layer}__{table}__"
+    found = [t.name for t in spark.catalog.listTables(schema)] if spark.catalog.databaseExists(schema) else []
+    return {int(n[len(start):]): f"{schema}.{n}" for n in found if n.startswith(start) and n[len(start):].isdigit()}
+
+
+def _register_version(spark: SparkSession, prefix: str, layer: str, table: str, path: str, now: versions.Version) -> None:
+    """A view of the table's columns over a catalog table of one version, of
+    which each folder is a partition with its own place, so that filters on the
+    partition column leave folders out. The view turns to it at once."""
+    name, files = f"{prefix}_{layer}.{table}", f"{prefix}_files.{layer}__{table}__{now.number}"
+    drop_tables(spark, [files])
+    keys = [now.partition] if now.partition else []
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
+    parted = ", ".join(f"`{k}`" for k in [*keys, versions.COLUMN])
+    spark.sql(
+        f"CREATE TABLE {files} ({fields}, `{versions.COLUMN}` STRING) USING parquet "
+        f"PARTITIONED BY ({parted}) LOCATION '{path}/{versions.LISTS}/none'"
+    )
+    places = " ".join(f"PARTITION ({_spec(f)}) LOCATION '{path}/{f}'" for f in now.folders)
+    if places:
+        spark.sql(f"ALTER TABLE {files} ADD {places}")
+    if spark.catalog.tableExists(name) and not _is_view(spark, name):
+        drop_tables(spark, [name])
+    columns = ", ".join(f"`{n}`" for n in now.schema.names)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {files}")
+    known = _files_tables(spark, prefix, layer, table)
+    drop_tables(spark, [known[n] for n in sorted(known)[:-2]])
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def _spec(folder: str) -> str:
+    """``year=2018/__version=a`` as a partition of SQL."""
+    parts = [p.split("=", 1) for p in folder.split("/")]
+    values = {k: unquote(v).replace("'", "\\'") for k, v in parts}
+    return ", ".join(
+        f"`{k}` = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, v in values.items()
+    )
+
+
 def create_schemas(spark: SparkSession, prefix: str, location: str | None = None) -> None:
-    """One schema per layer."""
-    for layer in LAYERS:
+    """One schema per layer, and one for the files behind registered tables."""
+    for layer in (*LAYERS, "files"):
         place = f" LOCATION '{location.rstrip('/')}/{layer}'" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}_{layer}{place}")
 
@@ -186,9 +258,10 @@ def save_table(
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
-    """Forget tables; files outside the warehouse stay (see ``Layers.reset``)."""
+    """Forget tables and views; files outside the warehouse stay (see ``Layers.reset``)."""
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        kind = "VIEW" if spark.catalog.tableExists(name) and _is_view(spark, name) else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 
 def list_tables(spark: SparkSession, prefix: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_raw_rows_and_control_table(built):
         "member": sum(map(len, data["member"].values())),
         "nothing": None,
     }
-    raw = layers.read("bronze", "dwelling", merge_schema=True)
+    raw = layers.read("bronze", "dwelling")
     assert raw.filter("REGION IS NOT NULL AND survey_year = 2018").count() == 0
     assert raw.filter("P1070 = ''").count() == 0
     assert {r.source_file for r in raw.select("source_file").distinct().collect()} == {
