@@ -15,7 +15,7 @@ from tallymart.operators.aggregate import distinct_values, sums_by, with_growth,
 from tallymart.operators.joins import lookup_left
 from tallymart.plans import codebook as codes
 from tallymart.plans import spec
-from tallymart.plans.silver import _at_dwelling, one_per_dwelling
+from tallymart.plans.silver import one_per_dwelling
 
 
 def dim_time(persons: DataFrame, as_of_year: int) -> DataFrame:
@@ -70,27 +70,20 @@ def dim_education(educations: DataFrame) -> DataFrame:
     )
 
 
-def fact_survey(
-    persons: DataFrame,
-    dwelling_dim: DataFrame,
-    locations: DataFrame,
-    hot_dwellings: int = 0,
-) -> DataFrame:
+def fact_survey(persons: DataFrame, locations: DataFrame) -> DataFrame:
     """One row per person and year: five keys, eight counts, three amounts.
 
     The education key is NULL for persons without an education record. Such a
     record always has its support flag set, so the flag on the person tells,
     and the key follows from the person's own key without another join. The
-    location key is NULL for an unknown region. The state of the dwelling comes
-    from its dimension, which already has one row per dwelling and year.
+    location key is NULL for an unknown region. The state of the dwelling is
+    the person's already.
     """
-    place = dwelling_dim.select(*spec.DWELLING_KEY, "at_risk", "lacks_services")
     base = persons.select(
         *spec.PERSON_KEY, "studying", "scholarship", "subsidy", "credit", "any_support",
-        "scholarship_amount", "subsidy_amount", "credit_amount", "region", "weight",
+        "scholarship_amount", "subsidy_amount", "credit_amount", "region", "at_risk", "lacks_services", "weight",
     )
-    placed = _at_dwelling(base, place, hot_dwellings)
-    located = lookup_left(placed, locations.select("region", "location_sk"), ["region"])
+    located = lookup_left(base, locations.select("region", "location_sk"), ["region"])
     own_key = scalar.surrogate_key(spec.PERSON_KEY)
     return located.select(
         *spec.PERSON_KEY,
@@ -114,8 +107,27 @@ def fact_survey(
     )
 
 
+#: what indicators add up; all of it adds up again
+MEASURES = (
+    "persons", "students", "scholars", "subsidised", "credited", "supported", "persons_at_risk", "persons_unserved",
+    "scholarship_amount", "subsidy_amount", "credit_amount",
+)
+
+
+def indicator_sums(fact: DataFrame) -> DataFrame:
+    """The fact's measures per year and location, also of unknown ones.
+
+    Stored by year: a reload of one year reads and replaces its sums only, and
+    the indicators are made of the sums of all years, a few rows each.
+    """
+    return sums_by(fact, [spec.YEAR, "location_sk"], {m: m for m in MEASURES})
+
+
 def kpi_scholarships_yearly(fact: DataFrame) -> DataFrame:
-    """Support per year: counts, amounts, coverage and growth."""
+    """Support per year: counts, amounts, coverage and growth.
+
+    ``fact``: the fact, or its ``indicator_sums``.
+    """
     sums = sums_by(fact, [spec.YEAR], {
         "persons": "persons",
         "students": "students",
@@ -127,6 +139,10 @@ def kpi_scholarships_yearly(fact: DataFrame) -> DataFrame:
         "subsidy_total": "subsidy_amount",
         "credit_total": "credit_amount",
     })
+    # sums of sums have the type of sums
+    sums = sums.withColumns({
+        f"{kind}_total": F.col(f"{kind}_total").cast("decimal(24,2)") for kind in ("scholarship", "subsidy", "credit")
+    })
     shares = with_shares(sums, {
         "scholarship_pct": ("scholars", "students"),
         "subsidy_pct": ("subsidised", "students"),
@@ -138,7 +154,8 @@ def kpi_scholarships_yearly(fact: DataFrame) -> DataFrame:
 def kpi_living_conditions(fact: DataFrame, locations: DataFrame) -> DataFrame:
     """Persons at risk and without basic services per year and region.
 
-    The fact is summed by location key first; the names join the sums.
+    ``fact``, or its ``indicator_sums``, is summed by location key first; the
+    names join the sums.
     """
     sums = sums_by(
         fact.filter("location_sk IS NOT NULL"),

@@ -31,7 +31,10 @@ class Builder:
     """Builds tables from stored tables and logs each.
 
     With ``years`` only those years are read, and only their partitions are
-    replaced; dimensions and indicators across years are made anew.
+    replaced; dimensions across years are made anew, indicators from the stored
+    sums of all years. ``buckets`` is the number in which persons are stored by
+    key, so that their tables join without a shuffle; a table keeps its number
+    while single years are replaced.
     """
 
     def __init__(
@@ -41,7 +44,9 @@ class Builder:
         years: Sequence[int] | None = None,
         rebalance: bool = True,
         on_error: str = "raise",
+        buckets: int | None = None,
     ):
+        self.buckets = buckets or int(layers.spark.conf.get("spark.sql.shuffle.partitions"))
         self.layers = layers
         self.audit = audit
         self.years = list(years) if years else None
@@ -63,6 +68,7 @@ class Builder:
         yearly: bool = True,
         keys: Sequence[str] = (),
         fields: Sequence[Field] = (),
+        bucket_by: Sequence[str] = (),
     ) -> None:
         """Store ``make()``. Rows without a full key stay and are remarked on,
         so are amounts of ``source()`` that became 0.00 as none could be read."""
@@ -75,6 +81,7 @@ class Builder:
                     "only_partitions": self.years is not None,
                     "rebalance": self.rebalance,
                     "replaces": self.years or (),
+                    "buckets": (self.buckets, tuple(bucket_by)) if bucket_by else None,
                 }
             stored = self.layers.write(make(), layer, table, **options)
             if yearly and self.years:
@@ -111,7 +118,7 @@ def build_silver(b: Builder) -> None:
             "silver", "member",
             lambda: silver.member(raw("member"), b.layers.read("ref", "geography")),
             lambda: raw("member"),
-            keys=spec.PERSON_KEY,
+            keys=spec.PERSON_KEY, bucket_by=spec.PERSON_BUCKETS,
         )
 
     together(b.layers.spark, [
@@ -123,6 +130,7 @@ def build_silver(b: Builder) -> None:
         lambda: b.build(
             "silver", "education", lambda: silver.education(raw("education")),
             lambda: raw("education"), keys=spec.PERSON_KEY, fields=spec.EDUCATION,
+            bucket_by=spec.PERSON_BUCKETS,
         ),
     ])
     b.build(
@@ -139,7 +147,7 @@ def build_gold(b: Builder, as_of_year: int) -> None:
     together(layers.spark, [
         lambda: b.build(
             "gold", "dim_time",
-            lambda: gold.dim_time(layers.read("silver", "person"), as_of_year), yearly=False,
+            lambda: gold.dim_time(layers.partition_values("silver", "person"), as_of_year), yearly=False,
         ),
         lambda: b.build(
             "gold", "dim_location",
@@ -155,20 +163,18 @@ def build_gold(b: Builder, as_of_year: int) -> None:
     ])
     b.build(
         "gold", "fact_survey",
-        lambda: gold.fact_survey(
-            b.read("silver", "person"), b.read("gold", "dim_dwelling"),
-            layers.read("gold", "dim_location"),
-        ),
+        lambda: gold.fact_survey(b.read("silver", "person"), layers.read("gold", "dim_location")),
     )
+    b.build("gold", "indicator_sums", lambda: gold.indicator_sums(b.read("gold", "fact_survey")))
     together(layers.spark, [
         lambda: b.build(
             "gold", "kpi_scholarships_yearly",
-            lambda: gold.kpi_scholarships_yearly(layers.read("gold", "fact_survey")), yearly=False,
+            lambda: gold.kpi_scholarships_yearly(layers.read("gold", "indicator_sums")), yearly=False,
         ),
         lambda: b.build(
             "gold", "kpi_living_conditions",
             lambda: gold.kpi_living_conditions(
-                layers.read("gold", "fact_survey"), layers.read("gold", "dim_location")
+                layers.read("gold", "indicator_sums"), layers.read("gold", "dim_location")
             ),
             yearly=False,
         ),
@@ -181,12 +187,14 @@ def build_all(
     as_of_year: int,
     years: Sequence[int] | None = None,
     rebalance: bool = True,
+    buckets: int | None = None,
 ) -> None:
     """Everything after the raw tables.
 
     Without ``rebalance`` each task of the last shuffle writes a file per year.
+    ``buckets``: see ``Builder``; by default the number of shuffle partitions.
     """
-    b = Builder(layers, audit, years, rebalance)
+    b = Builder(layers, audit, years, rebalance, buckets=buckets)
     with audit.recording():
         build_silver(b)
         build_gold(b, as_of_year)

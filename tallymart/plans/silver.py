@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import scalar
-from tallymart.operators.dedupe import keep_first
+from tallymart.functions.naming import find_column
+from tallymart.operators.dedupe import keep_first, keep_least
 from tallymart.operators.joins import consolidate, lookup_left, lookup_left_hot
-from tallymart.operators.project import conform, rename_present
+from tallymart.operators.project import Field, conform, rename_present
 from tallymart.plans import codebook as codes
 from tallymart.plans import spec
 
@@ -45,24 +48,45 @@ def geography(
     )
 
 
+def first_of_raw(
+    raw: DataFrame, fields: Sequence[Field], keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """One raw row per key, before anything but the key is decoded.
+
+    Keys and ``order`` name fields, which are read as declared, so that
+    differently spelt numbers are one key. Further ties go by the raw text of
+    all variables that the fields use, NULLs first.
+    """
+    by_name = {f.name: f for f in fields}
+    used = dict.fromkeys(c for f in fields if (c := find_column(raw, f.raw)))
+    typed = {name: f"_typed_{name}" for name in [*keys, *order]}
+    rows = raw.select(
+        *[by_name[name].column(raw).alias(alias) for name, alias in typed.items()], *[F.col(f"`{c}`") for c in used]
+    )
+    kept = keep_least(rows, [typed[k] for k in keys], [typed[o] for o in order])
+    return kept.drop(*typed.values())
+
+
 def dwelling(raw: DataFrame) -> DataFrame:
-    """Dwelling survey: one row per dwelling, household and year."""
-    typed = conform(raw, spec.DWELLING).withColumns({
+    """Dwelling survey: one row per dwelling, household and year, that of its
+    first person."""
+    first = first_of_raw(raw, spec.DWELLING, spec.HOUSEHOLD_KEY, ["sequence_no", "person_no"])
+    typed = conform(first, spec.DWELLING).withColumns({
         "lacks_services": scalar.any_false(["power", "water", "sewer"]),
         "at_risk": scalar.any_true(
             ["flood_risk", "avalanche_risk", "subsidence_risk", "storm_risk"]
         ),
     })
-    return keep_first(typed.select(*spec.DWELLING_COLUMNS), spec.HOUSEHOLD_KEY)
+    return typed.select(*spec.DWELLING_COLUMNS)
 
 
-def one_per_dwelling(dwellings: DataFrame) -> DataFrame:
+def one_per_dwelling(dwellings: DataFrame, keep_lacking: bool = True) -> DataFrame:
     """One row per dwelling and year: that of its first household.
 
     Joining persons to the household rows would repeat every person once per
     household of the dwelling. ``dwellings`` holds one row per household.
     """
-    return keep_first(dwellings, spec.DWELLING_KEY, ["household_no"], order_is_total=True)
+    return keep_first(dwellings, spec.DWELLING_KEY, ["household_no"], True, keep_lacking)
 
 
 def member(
@@ -75,7 +99,7 @@ def member(
     """
     abroad = scalar.is_code("birthplace_code", codes.BORN_ABROAD)
     elsewhere = scalar.is_code("birthplace_code", codes.BORN_ELSEWHERE)
-    typed = conform(raw, spec.MEMBER).withColumns({
+    typed = conform(first_of_raw(raw, spec.MEMBER, spec.PERSON_KEY), spec.MEMBER).withColumns({
         "age_band": scalar.band("age", codes.AGE_BANDS, codes.OLDEST_BAND, null_band),
         "born_abroad": abroad,
         "born_elsewhere": elsewhere,
@@ -86,18 +110,18 @@ def member(
         F.col("town_name").alias("birth_town"),
         F.col("dept_name").alias("birth_dept"),
     )
-    members = keep_first(typed, spec.PERSON_KEY)
     return lookup_left(
-        members, town, ["birth_town_code"], null_buckets=64, spread_by=spec.PERSON_KEY
+        typed, town, ["birth_town_code"], null_buckets=64, spread_by=spec.PERSON_KEY
     ).select(*spec.MEMBER_COLUMNS)
 
 
 def education(raw: DataFrame) -> DataFrame:
     """Education records with three kinds of support, one per person and year."""
-    typed = conform(raw, spec.EDUCATION).withColumn(
+    first = first_of_raw(raw, spec.EDUCATION, spec.PERSON_KEY)
+    typed = conform(first, spec.EDUCATION).withColumn(
         "any_support", scalar.any_true(["scholarship", "subsidy", "credit"])
     )
-    return keep_first(typed.select(*spec.EDUCATION_COLUMNS), spec.PERSON_KEY)
+    return typed.select(*spec.EDUCATION_COLUMNS)
 
 
 def person(
@@ -106,12 +130,14 @@ def person(
     dwellings: DataFrame,
     hot_dwellings: int = 0,
 ) -> DataFrame:
-    """Members with their education record and the region of their dwelling.
+    """Members with their education record, and the region, risk and services
+    of their dwelling, which no later table has to look up again.
 
-    ``hot_dwellings`` serves that many of the most crowded dwellings by
-    broadcast instead of leaving them to the run-time split.
+    Members and education records that are stored in buckets by person meet
+    without a shuffle. ``hot_dwellings`` serves that many of the most crowded
+    dwellings by broadcast instead of leaving them to the run-time split.
     """
-    place = one_per_dwelling(dwellings).select(*spec.DWELLING_KEY, "region", "urban_class")
+    place = one_per_dwelling(dwellings, keep_lacking=False).select(*spec.DWELLING_KEY, *spec.PLACE_COLUMNS)
     support = educations.select(*spec.PERSON_KEY, *spec.SUPPORT_COLUMNS)
     joined = lookup_left(members, support, spec.PERSON_KEY)
     return _at_dwelling(joined, place, hot_dwellings).select(*spec.PERSON_COLUMNS)

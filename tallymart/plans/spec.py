@@ -9,6 +9,8 @@ YEAR = "survey_year"
 PERSON_KEY = ["dwelling_id", "household_no", "sequence_no", "person_no", YEAR]
 HOUSEHOLD_KEY = ["dwelling_id", "household_no", YEAR]
 DWELLING_KEY = ["dwelling_id", YEAR]
+#: clean tables are partitioned by year and bucketed by these
+PERSON_BUCKETS = PERSON_KEY[:4]
 
 # The variable names are those of the survey files.
 
@@ -116,7 +118,9 @@ SUPPORT_COLUMNS = [
 
 EDUCATION_COLUMNS = [*PERSON_KEY, *SUPPORT_COLUMNS, "household_key", "weight"]
 
-PERSON_COLUMNS = [*MEMBER_COLUMNS, *SUPPORT_COLUMNS, "region", "urban_class"]
+PLACE_COLUMNS = ["region", "urban_class", "at_risk", "lacks_services"]
+
+PERSON_COLUMNS = [*MEMBER_COLUMNS, *SUPPORT_COLUMNS, *PLACE_COLUMNS]
 
 # Names the geography sources use, after name normalising, and ours.
 DEPARTMENT_NAMES = {

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tallymart.operators import project
 from tallymart.operators.aggregate import distinct_values
-from tallymart.operators.dedupe import keep_first
+from tallymart.operators.dedupe import keep_first, keep_least
 from tallymart.operators.project import Field
 from tallymart.queries.registry import Tables, query
 
@@ -174,3 +174,27 @@ def rows_without_key(t: Tables) -> DataFrame:
     key = F.nullif(F.col("o_custkey"), F.col("o_custkey") % 3 * F.col("o_custkey"))
     orders = t.orders.select("o_orderkey", key.alias("custkey"))
     return keep_first(orders, ["custkey"], ["o_orderkey"])
+
+
+@query("""
+WITH raw AS (
+  SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_orderkey AS BIGINT) END AS order_id,
+         CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS flag,
+         CAST(l_shipdate AS VARCHAR) AS shipped, CAST(l_linenumber AS VARCHAR) AS line FROM lineitem)
+SELECT order_id, flag, CAST(shipped AS DATE) AS shipped, CAST(line AS INTEGER) AS line FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY flag NULLS FIRST, shipped, line) AS turn FROM raw)
+WHERE turn = 1 OR order_id IS NULL
+""")
+def dedupe_raw_first(t: Tables) -> DataFrame:
+    """One raw row per order, its key read as a number, all else decoded after."""
+    number = F.col("l_orderkey").cast("string")
+    text = t.lineitem.select(
+        F.when(F.col("l_linenumber") == 7, "none").when(F.col("l_linenumber") % 2 == 0, F.concat(number, F.lit(".0")))
+        .otherwise(F.concat(F.lit(" "), number)).alias("order_text"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"),
+        F.col("l_shipdate").cast("date").cast("string").alias("shipped"), F.col("l_linenumber").cast("string").alias("line"),
+    )
+    keyed = text.select(F.col("order_text").try_cast("double").cast("bigint").alias("order_id"), "flag", "shipped", "line")
+    return keep_least(keyed, ["order_id"]).select(
+        "order_id", "flag", F.col("shipped").cast("date").alias("shipped"), F.col("line").cast("int").alias("line")
+    )

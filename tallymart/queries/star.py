@@ -13,6 +13,7 @@ from tallymart.queries.fixture import AS_OF_YEAR, geography, star
 from tallymart.queries.registry import Tables, query
 from tallymart.session import scratch_path
 from tallymart.sources.audit import Audit
+from tallymart.sources.tables import Layers
 
 
 # --- clean tables, from the stored raw tables --------------------------------
@@ -79,18 +80,17 @@ def dim_education(t: Tables) -> DataFrame:
 @query(sql.over(sql="SELECT * FROM fact"))
 def fact_build(t: Tables) -> DataFrame:
     s = star(t)
-    return gold.fact_survey(
-        s.read("silver", "person"), s.read("gold", "dim_dwelling"), s.read("gold", "dim_location")
-    )
+    return gold.fact_survey(s.read("silver", "person"), s.read("gold", "dim_location"))
 
 
 @query(sql.over(sql="SELECT * FROM fact"))
 def fact_build_hot_keys(t: Tables) -> DataFrame:
     s = star(t)
-    return gold.fact_survey(
-        s.read("silver", "person"), s.read("gold", "dim_dwelling"),
-        s.read("gold", "dim_location"), hot_dwellings=100,
+    persons = silver.person(
+        s.read("silver", "member"), s.read("silver", "education"), s.read("silver", "dwelling"),
+        hot_dwellings=100,
     )
+    return gold.fact_survey(persons, s.read("gold", "dim_location"))
 
 
 # --- indicators and reports, from the stored star ---------------------------
@@ -109,6 +109,23 @@ def kpi_region_year(t: Tables) -> DataFrame:
     )
 
 
+@query(sql.over(sql="SELECT * FROM kpi_scholarships_yearly"))
+def kpi_incremental(t: Tables) -> DataFrame:
+    """Indicators kept up: sums of a fact with one year missing and one wrong,
+    then both years loaded, each by replacing its own sums."""
+    fact = star(t).read("gold", "fact_survey")
+    layers = Layers(t.spark, scratch_path(t.spark, "kept-up"))
+    known = fact.filter("survey_year <> 1994")
+    doubled = known.unionAll(known.filter("survey_year = 1996"))
+    layers.write(gold.indicator_sums(doubled), "gold", "indicator_sums", partition_by=["survey_year"])
+    for year in (1994, 1996):
+        one = gold.indicator_sums(fact.filter(F.col("survey_year") == year))
+        layers.write(
+            one, "gold", "indicator_sums", partition_by=["survey_year"], only_partitions=True, replaces=[year]
+        )
+    return gold.kpi_scholarships_yearly(layers.read("gold", "indicator_sums"))
+
+
 @query(sql.over(sql="""
 SELECT birth_dept, count(*) AS n FROM dim_person
 WHERE migrant AND birth_dept IS NOT NULL

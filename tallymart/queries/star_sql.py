@@ -151,13 +151,28 @@ education_row AS (
   l_returnflag = 'R' OR CAST(l_discount AS DECIMAL(4,2)) >= 0.05
     OR CAST(l_tax AS DECIMAL(4,2)) >= 0.04 AS any_support,
   CAST(NULL AS VARCHAR) AS household_key,
-  CAST(CAST(l_quantity AS DECIMAL(14,2)) AS DOUBLE) AS weight
+  CAST(CAST(l_quantity AS DECIMAL(14,2)) AS DOUBLE) AS weight,
+  CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN '2' END AS raw_literate,
+  CASE l_linestatus WHEN 'F' THEN '1' ELSE '2' END AS raw_studying,
+  CAST(CAST(l_quantity AS INTEGER) % 14 AS VARCHAR) AS raw_level,
+  CAST(l_linenumber AS VARCHAR) || '.0' AS raw_grade,
+  CASE WHEN l_suppkey % 7 = 0 THEN 'n/d' ELSE CAST(l_suppkey % 7 AS VARCHAR) END AS raw_years,
+  CAST(CAST(l_quantity AS INTEGER) % 17 AS VARCHAR) AS raw_reason,
+  CASE WHEN l_returnflag = 'R' THEN replace(CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR), '.', ',') END
+    AS raw_amount,
+  CASE WHEN l_returnflag = 'R' THEN CAST(l_suppkey % 9 AS VARCHAR) END AS raw_entity,
+  CASE WHEN CAST(l_discount AS DECIMAL(4,2)) >= 0.05 THEN '1' ELSE '2' END AS raw_subsidy,
+  replace(CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR), '.', ',')
+    AS raw_subsidy_amount,
+  CASE WHEN CAST(l_tax AS DECIMAL(4,2)) >= 0.04 THEN '1' ELSE '2' END AS raw_credit,
+  replace(CAST(CAST(l_quantity AS DECIMAL(14,2)) AS VARCHAR), '.', ',') AS raw_weight
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 education AS (
   SELECT {PERSON_KEY}, {_SUPPORT_COLUMNS}, household_key, weight FROM (
     SELECT *, row_number() OVER (PARTITION BY {PERSON_KEY}
-      ORDER BY {', '.join(c.strip() + ' NULLS LAST' for c in _SUPPORT_COLUMNS.split(','))},
-               weight) AS turn
+      ORDER BY raw_literate NULLS FIRST, raw_studying, raw_level, raw_grade, raw_years, raw_reason,
+        raw_amount NULLS FIRST, raw_entity NULLS FIRST, raw_subsidy, raw_subsidy_amount, raw_credit,
+        raw_weight) AS turn
     FROM education_row)
   WHERE turn = 1)"""
 
@@ -168,7 +183,7 @@ _PERSON_JOIN = " AND ".join(
 PERSON = f"""
 person AS (
   SELECT m.*, {', '.join('e.' + c.strip() for c in _SUPPORT_COLUMNS.split(','))},
-         h.region, h.urban_class
+         h.region, h.urban_class, h.at_risk, h.lacks_services
   FROM member m LEFT JOIN education e ON {_PERSON_JOIN}
   LEFT JOIN first_household h
     ON h.dwelling_id = m.dwelling_id AND h.survey_year = m.survey_year)"""

@@ -22,6 +22,9 @@ SETTINGS = {
     # the JVM runs methods above this size uncompiled; wide cleaning
     # projections are faster outside one fused stage than inside such a method
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # tables bucketed by the person key without the year, which is a partition,
+    # join on both without a shuffle
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }

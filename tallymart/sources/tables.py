@@ -6,7 +6,6 @@ The tables of ``Layers`` are versioned: see ``tallymart.sources.versions``.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +141,13 @@ class Layers:
             self._show(prefix, layer, table, stored)
         return versions.read(self.spark, path, stored)
 
+    def partition_values(self, layer: str, table: str) -> DataFrame:
+        """The values of the partition column that have rows; no file is read."""
+        now = versions.current(self.spark, self.path(layer, table))
+        kind = T.StructType([now.schema[now.partition]])
+        values = self.spark.createDataFrame([(v,) for v in now.partitions()], "v string")
+        return values.select(F.col("v").cast(kind[0].dataType).alias(now.partition))
+
     def expire(self, keep: int = 2, abandoned_after: float | None = None) -> int:
         """Forget the old versions of all tables; returns how many went."""
         return sum(
@@ -189,21 +195,11 @@ def _files_tables(spark: SparkSession, prefix: str, layer: str, table: str) -> d
 
 
 def _register_version(spark: SparkSession, prefix: str, layer: str, table: str, path: str, now: versions.Version) -> None:
-    """A view of the table's columns over a catalog table of one version, of
-    which each folder is a partition with its own place, so that filters on the
-    partition column leave folders out. The view turns to it at once."""
+    """A view of the table's columns over a catalog table of one version. The
+    view turns to it at once."""
     name, files = f"{prefix}_{layer}.{table}", f"{prefix}_files.{layer}__{table}__{now.number}"
     drop_tables(spark, [files])
-    keys = [now.partition] if now.partition else []
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
-    parted = ", ".join(f"`{k}`" for k in [*keys, versions.COLUMN])
-    spark.sql(
-        f"CREATE TABLE {files} ({fields}, `{versions.COLUMN}` STRING) USING parquet "
-        f"PARTITIONED BY ({parted}) LOCATION '{path}/{versions.LISTS}/none'"
-    )
-    places = " ".join(f"PARTITION ({_spec(f)}) LOCATION '{path}/{f}'" for f in now.folders)
-    if places:
-        spark.sql(f"ALTER TABLE {files} ADD {places}")
+    versions.make_version_table(spark, files, path, now)
     if spark.catalog.tableExists(name) and not _is_view(spark, name):
         drop_tables(spark, [name])
     columns = ", ".join(f"`{n}`" for n in now.schema.names)
@@ -216,15 +212,6 @@ def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _spec(folder: str) -> str:
-    """``year=2018/__version=a`` as a partition of SQL."""
-    parts = [p.split("=", 1) for p in folder.split("/")]
-    values = {k: unquote(v).replace("'", "\\'") for k, v in parts}
-    return ", ".join(
-        f"`{k}` = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, v in values.items()
-    )
-
-
 def create_schemas(spark: SparkSession, prefix: str, location: str | None = None) -> None:
     """One schema per layer, and one for the files behind registered tables."""
     for layer in (*LAYERS, "files"):

@@ -8,7 +8,7 @@ from tallymart.operators import project
 from tallymart.operators.aggregate import (
     distinct_values, frequency, frequency_profile, top_k, with_growth,
 )
-from tallymart.operators.dedupe import keep_first
+from tallymart.operators.dedupe import keep_first, keep_least
 from tallymart.operators.project import Field
 
 
@@ -132,3 +132,44 @@ def test_top_k_breaks_ties(spark, plan):
     top = top_k(df, 2, "n", ["k"])
     assert [r.k for r in top.collect()] == ["c", "a"]
     assert "TakeOrderedAndProject" in plan(top)
+
+
+def test_keep_least_is_the_minimum_of_raw_rows(spark, plan):
+    rng = random.Random(9)
+    data = [
+        (rng.choice(["a", "b", None]), rng.randint(0, 3), rng.choice([None, "1", "2"]), rng.choice("xyz"))
+        for _ in range(300)
+    ]
+    groups = {}
+    for r in data:
+        groups.setdefault(r[:2], []).append(r)
+    lacking = sorted((r for r in data if r[0] is None), key=repr)
+    least = lambda r: tuple((v is not None, v or "") for v in (r[3], r[2]))
+    want = {k: min(v, key=least) for k, v in groups.items() if k[0] is not None}
+    schema = "k string, h int, `o.p` string, v string"
+    for parts in (1, 7):
+        rng.shuffle(data)
+        df = spark.createDataFrame(data, schema).repartition(parts)
+        found = [tuple(r) for r in keep_least(df, ["k", "h"], ["v"]).collect()]
+        assert {r[:2]: r for r in found if r[0] is not None} == want and len(found) == len(want) + len(lacking)
+        assert sorted((r for r in found if r[0] is None), key=repr) == lacking
+    assert "Window" not in plan(keep_least(df, ["k"]))
+    assert keep_least(df.limit(0), ["k"]).count() == 0
+
+
+def test_keep_least_one_hot_key(spark):
+    df = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id"
+    )
+    kept = keep_least(df, ["k"], ["id"])
+    assert kept.count() == 1 + 33_333 + 33_333 and kept.filter("k = -1").head().id == 0
+    alike = df.select("k", F.lit("same").alias("v"))
+    assert keep_least(alike, ["k"]).filter("k IS NULL").count() == 33_333
+
+
+def test_columns_without_an_order_are_an_error(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, 2)], "k int, m map<string,int>, o int")
+    for keep in (keep_first, keep_least):
+        with pytest.raises(ValueError, match="without an order.*m"):
+            keep(df, ["k"])
+    assert keep_first(df, ["k"], ["o"], order_is_total=True).count() == 1

@@ -1,10 +1,11 @@
+import shutil
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallymart.operators import quality
-from tallymart.plans import analytics, bronze, run, silver, spec
+from tallymart.plans import analytics, bronze, gold, run, silver, spec
 from tallymart.sources.audit import Audit
 from tallymart.sources.tables import Layers
 from tests import survey
@@ -78,7 +79,7 @@ def test_run_log(built, rows):
     summary = quality.run_summary(audit.runs(), "run-1").head()
     assert summary.skipped == 6  # 2021 and 2017 have no files
     assert [r.message for r in audit.runs().filter("status = 'ERROR'").collect()] == []
-    assert summary.total == summary.ok + summary.skipped == 3 * 4 + 6 + 5 + 8
+    assert summary.total == summary.ok + summary.skipped == 3 * 4 + 6 + 5 + 9
     assert {
         (r.table_name, r.message) for r in audit.runs().filter("status = 'OK' AND message <> ''").collect()
     } == {
@@ -104,7 +105,7 @@ def test_table_shapes(built):
     layers = built[2]
     columns = {
         ("silver", "dwelling"): 28, ("silver", "member"): 25, ("silver", "education"): 23,
-        ("silver", "person"): 43, ("gold", "dim_time"): 4, ("gold", "dim_location"): 3,
+        ("silver", "person"): 45, ("gold", "dim_time"): 4, ("gold", "dim_location"): 3,
         ("gold", "dim_person"): 25, ("gold", "dim_dwelling"): 24, ("gold", "dim_education"): 22,
         ("gold", "fact_survey"): 22, ("gold", "kpi_scholarships_yearly"): 14,
         ("gold", "kpi_living_conditions"): 8,
@@ -217,6 +218,26 @@ def test_loading_again_changes_nothing(built, spark):
     assert audit.yearly_loads().filter("run_id = 'run-2'").count() == 3
 
 
+def test_one_year_is_kept_up_from_its_own_rows(built, spark):
+    """The fact of the other years is not read again: its files are gone."""
+    root, _, layers, _ = built
+    gone = Layers(spark, str(root / "kept"))
+    shutil.copytree(root / "lake", root / "kept")
+    before = {t: sorted(map(tuple, layers.read("gold", t).collect()), key=repr) for t in ("kpi_scholarships_yearly", "kpi_living_conditions")}
+    for path in (root / "kept" / "gold" / "fact_survey").glob("survey_year=*/*/*.parquet"):
+        if "survey_year=2019" not in str(path):
+            path.unlink()
+    run.build_all(gone, Audit(gone, "run-4"), 2020, years=[2019])
+    for table, rows in before.items():
+        assert sorted(map(tuple, gone.read("gold", table).collect()), key=repr) == rows
+    # a year that is loaded with fewer rows takes its old share away
+    fact = gone.read("gold", "fact_survey").filter("survey_year = 2019").limit(5)
+    sums = gold.indicator_sums(fact)
+    gone.write(sums, "gold", "indicator_sums", partition_by=["survey_year"], only_partitions=True, replaces=[2019])
+    kpi = {r.survey_year: r for r in gold.kpi_scholarships_yearly(gone.read("gold", "indicator_sums")).collect()}
+    assert kpi[2019].persons == 5 and kpi[2018].persons > 5
+
+
 def test_reports_run_over_the_star(built):
     layers = built[2]
     fact, person = layers.read("gold", "fact_survey"), layers.read("gold", "dim_person")

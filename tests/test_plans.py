@@ -5,6 +5,8 @@ import re
 import pytest
 
 from tallymart.plans import analytics, gold, silver
+from tallymart.plans import codebook as codes
+from tallymart.plans import spec
 from tallymart.queries import fixture, queries
 from tallymart.queries.registry import Tables
 
@@ -59,34 +61,62 @@ def test_raw_table_is_read_by_the_spec(star, plan):
     assert "run_id" not in schemas(text)[0] and "P8610S1" in schemas(text)[0]
 
 
-def test_fact_needs_no_join_for_the_education_key(star, plan):
-    fact = gold.fact_survey(
-        star.read("silver", "person"), star.read("gold", "dim_dwelling"),
-        star.read("gold", "dim_location"),
-    )
-    text = plan(fact)
-    assert len(re.findall(r"Join ", text)) == 2 and "Window" not in text
-    assert "BroadcastHashJoin" in text  # the location list, small on disk
+def test_fact_looks_up_its_location_only(star, plan):
+    """The education key follows from the person, the dwelling's state is there."""
+    text = plan(gold.fact_survey(star.read("silver", "person"), star.read("gold", "dim_location")))
+    assert len(re.findall(r"Join ", text)) == 1 and "BroadcastHashJoin" in text
+    assert exchanges(text) == 0 and "Window" not in text
+
+
+def test_persons_meet_their_education_without_a_shuffle(spark, star, plan):
+    """Both sides come from their buckets; dwellings are joined once."""
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        members, educations = star.read("silver", "member"), star.read("silver", "education")
+        text = plan(silver.lookup_left(
+            members, educations.select(*spec.PERSON_KEY, *spec.SUPPORT_COLUMNS), spec.PERSON_KEY))
+        assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+        whole = plan(silver.person(members, educations, star.read("silver", "dwelling")))
+        assert whole.count("SortMergeJoin") == 2
+        # the persons once, to their dwelling, and the dwellings, which are reduced where they meet
+        assert exchanges(whole) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
 def test_dedupe_sends_one_row_per_key_and_task(star, plan):
-    for df in (
-        silver.dwelling(star.read("bronze", "dwelling")),
-        silver.education(star.read("bronze", "education")),
-        silver.one_per_dwelling(star.read("silver", "dwelling")),
+    text = plan(silver.one_per_dwelling(star.read("silver", "dwelling")))
+    assert exchanges(text) == 1
+    assert re.search(r"Exchange[\s\S]*WindowGroupLimit .*Partial", text)
+
+
+def test_raw_rows_are_reduced_before_they_are_decoded(star, plan):
+    """No window, one scan; below the aggregate whole numbers of the key are
+    read, once, and neither code lists nor amounts."""
+    geography = star.read("ref", "geography")
+    for df, numbers, label in (
+        (silver.dwelling(star.read("bronze", "dwelling")), 4, codes.REGION["1"]),
+        (silver.member(star.read("bronze", "member"), geography), 4, codes.SEX["1"]),
+        (silver.education(star.read("bronze", "education")), 4, codes.SCHOOL_TYPE["1"]),
     ):
         text = plan(df)
-        assert exchanges(text) == 1
-        assert re.search(r"Exchange[\s\S]*WindowGroupLimit .*Partial", text)
+        assert "Window" not in text and label in text
+        below = text[text.index("functions=[partial_min("):].split("FileScan")[0]
+        assert below.count("RLIKE") == numbers
+        assert label not in below and "decimal" not in below
+        assert re.search(r"min\(struct[\s\S]*Exchange[\s\S]*partial_min\(struct", text)
 
 
-def test_place_of_a_person_reads_four_columns_of_the_dwelling(star, plan):
+def test_place_of_a_person_reads_six_columns_of_the_dwelling(star, plan):
     persons = silver.person(
         star.read("silver", "member"), star.read("silver", "education"),
         star.read("silver", "dwelling"),
     )
     reads = [r for r in schemas(plan(persons)) if "urban_class" in r]
-    assert reads == ["dwelling_id:string,household_no:int,urban_class:string,region:string"]
+    assert reads == [
+        "dwelling_id:string,household_no:int,urban_class:string,region:string,lacks_services:boolean,at_risk:boolean"
+    ]
 
 
 def test_regional_indicator_joins_sums_not_rows(star, plan):
