@@ -36,6 +36,47 @@ def key_audit(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return stack(reports).withColumn("status", _verdict(sound))
 
 
+#: 2^14 registers of a sketch, 16 KB; a relative error of 0.8 %, taken threefold
+SKETCH_BITS = 14
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def key_sketches(df: DataFrame, key: str, by: str) -> DataFrame:
+    """Per part of a table (``by``, a year): total, distinct_keys, null_keys,
+    exactly, and a mergeable sketch of its keys. Stored by part, a part that is
+    loaded again replaces its own row, and only its rows are read."""
+    keyed = df.select(F.col(by), F.col(key).alias("key"))
+    return keyed.groupBy(by).agg(
+        F.count("*").alias("total"), F.count_distinct("key").alias("distinct_keys"),
+        F.count_if(F.col("key").isNull()).alias("null_keys"),
+        F.hll_sketch_agg("key", F.lit(SKETCH_BITS)).alias("sketch"),
+    )
+
+
+def sketched_key_audit(sketches: DataFrame, exact: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``key_audit`` from stored ``key_sketches`` (with ``table_name``).
+
+    Keys of one part are counted exactly. Whether parts share keys the merged
+    sketch tells: its estimate is off by more than ``SKETCH_ERROR`` once in some
+    400 times. If it falls short of the sum by more than that, the table in
+    ``exact`` is counted whole.
+    What stays unseen are keys that parts share by less than that error.
+    ``settled_by`` names the way.
+    """
+    merged = sketches.groupBy("table_name").agg(
+        F.sum("total").alias("total"), F.sum("distinct_keys").alias("distinct_keys"), F.sum("null_keys").alias("null_keys"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"),
+    ).withColumn("doubtful", F.col("estimate") < F.col("distinct_keys") * (1 - SKETCH_ERROR))
+    doubtful = {r.table_name for r in merged.filter("doubtful").select("table_name").collect()}
+    columns = ["table_name", "total", "distinct_keys", "null_keys", "settled_by"]
+    settled = merged.filter(~F.col("doubtful")).withColumn("settled_by", F.lit("sketch")).select(*columns)
+    counted = [
+        key_audit({name: exact[name]}).withColumn("settled_by", F.lit("count")).select(*columns) for name in sorted(doubtful)
+    ]
+    sound = (F.col("total") == F.col("distinct_keys")) & (F.col("null_keys") == 0)
+    return stack([settled, *counted]).withColumn("status", _verdict(sound))
+
+
 def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows that lack a part of their key: no join will ever match them."""
     return df.filter(reduce(Column.__or__, [F.col(k).isNull() for k in keys]))

@@ -18,7 +18,7 @@ from tallymart.session import together
 from tallymart.sources.audit import Audit
 from tallymart.sources.delimited import MALFORMED, SurveyFile, raw_module, resolve
 from tallymart.sources.tables import Layers
-from tallymart.sources.workbook import read_sheet
+from tallymart.sources.workbook import read_sheets
 
 MODULES: dict[str, Sequence[Field]] = {
     "member": spec.MEMBER,
@@ -121,14 +121,19 @@ def _store_reference(
 def ingest_workbook(
     layers: Layers, audit: Audit, path: str, on_error: str = "skip"
 ) -> None:
-    """Load the department and the town sheet."""
+    """Load the department and the town sheet, parsing each workbook once."""
+    sheets = {"departments": DEPARTMENT_SHEET, "sheet_towns": TOWN_SHEET}
+    found: dict[str, DataFrame] = {}
+
     def load(table: str, sheet: str) -> tuple[int, int]:
-        df = blank_to_null(normalize_names(read_sheet(layers.spark, path, sheet)))
+        if not found:
+            found.update(read_sheets(layers.spark, path, list(sheets.values())))
+        df = blank_to_null(normalize_names(found[sheet]))
         source = f"{path.rsplit('/', 1)[-1]}#{sheet}"
         return _store_reference(layers, audit, table, df, "excel", source)
 
     with audit.recording():
-        for table, sheet in (("departments", DEPARTMENT_SHEET), ("sheet_towns", TOWN_SHEET)):
+        for table, sheet in sheets.items():
             audit.step("bronze", "bronze", table, partial(load, table, sheet), on_error)
 
 

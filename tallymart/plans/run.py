@@ -207,6 +207,31 @@ def dimension_audit(layers: Layers) -> DataFrame:
     })
 
 
+#: keys of tables that grow by the year
+YEARLY_KEYS = {t: DIMENSION_KEYS[t] for t in ("dim_person", "dim_dwelling", "dim_education")}
+
+
+def sketch_keys(layers: Layers, years: Sequence[int] | None = None, keys: Mapping[str, str] = YEARLY_KEYS) -> None:
+    """Store the key counts and sketches of some years, or of all. Only those
+    years are read, and only their rows are replaced."""
+
+    def sketched(table: str, key: str) -> DataFrame:
+        df = layers.read("gold", table)
+        chosen = df.filter(F.col(spec.YEAR).isin(list(years))) if years else df
+        return quality.key_sketches(chosen, key, spec.YEAR).withColumn("table_name", F.lit(table))
+
+    layers.write(
+        quality.stack([sketched(t, k) for t, k in keys.items()]), "audit", "key_sketches",
+        partition_by=[spec.YEAR], only_partitions=bool(years), replaces=years or (),
+    )
+
+
+def sketched_dimension_audit(layers: Layers, keys: Mapping[str, str] = YEARLY_KEYS) -> DataFrame:
+    """``dimension_audit`` of the tables that grow, from their stored sketches."""
+    tables = {table: (layers.read("gold", table), key) for table, key in keys.items()}
+    return quality.sketched_key_audit(layers.read("audit", "key_sketches"), tables)
+
+
 def fact_audit(layers: Layers) -> DataFrame:
     """Does each key of the fact find its dimension row."""
     return quality.referential_audit(

@@ -9,7 +9,10 @@ codes, blanks and garbage.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from functools import partial
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +21,12 @@ from tallymart.plans import bronze, run, silver, spec
 from tallymart.queries.registry import Tables
 from tallymart.session import scratch_path, together
 from tallymart.sources.audit import Audit
-from tallymart.sources.tables import Layers
+from tallymart.sources.tables import Layers, write_file
 
 AS_OF_YEAR = 2000
+# The names of the parts of a workbook.
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
 
 def _text(expression: str, name: str):
@@ -172,6 +178,33 @@ def geography(t: Tables) -> DataFrame:
     return silver.geography(**raw_geography(t))
 
 
+#: headers as a person spells them; the load makes the plain names of them
+_SPELLED = {
+    "codigo_deapartamento": "Código Deapartamento", "nombre_departamento": "Nombre Departamento",
+    "codigopais": "CodigoPais", "codigo_departamento": "Código Departamento",
+    "codigo_municipio": "Código Municipio", "nombre_municipio": "Nombre Municipio", "municipio_id": "Municipio_ID",
+}
+
+
+def write_workbook(t: Tables, path: str) -> None:
+    """The regions and nations, two fixed lists of a few rows, as sheets of a workbook."""
+    raw, content = raw_geography(t), io.BytesIO()
+    sheets = {bronze.DEPARTMENT_SHEET: raw["departments"], bronze.TOWN_SHEET: raw["sheet_towns"]}
+    with zipfile.ZipFile(content, "w") as book:
+        names, links = "", ""
+        for k, (name, df) in enumerate(sheets.items(), 1):
+            rows = [[_SPELLED[c] for c in df.columns], *df.collect()]
+            cells = "".join(
+                "<row>" + "".join(f'<c t="inlineStr"><is><t>{escape(v)}</t></is></c>' for v in row) + "</row>" for row in rows
+            )
+            book.writestr(f"xl/worksheets/sheet{k}.xml", f'<worksheet xmlns="{_MAIN}"><sheetData>{cells}</sheetData></worksheet>')
+            names += f'<sheet name="{name}" sheetId="{k}" r:id="s{k}"/>'
+            links += f'<Relationship Id="s{k}" Target="worksheets/sheet{k}.xml"/>'
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_LINKS}"><sheets>{names}</sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{links}</Relationships>")
+    write_file(t.spark, path, content.getvalue())
+
+
 _built: dict[tuple[str, str], Layers] = {}
 
 
@@ -228,7 +261,9 @@ def build_star(t: Tables, layers: Layers) -> Layers:
     audit = Audit(layers)
     bronze.ingest_survey(layers, audit, root, years, on_error="raise")
     bronze.ingest_survey(layers, audit, root, [TWICE_YEAR], on_error="raise")
-    for table, raw in raw_geography(t).items():
-        layers.write(raw, "bronze", table)
+    book = f"{scratch_path(t.spark, 'books')}/geography.xlsx"
+    write_workbook(t, book)
+    bronze.ingest_workbook(layers, audit, book, on_error="raise")
+    bronze.ingest_towns(layers, audit, lambda: raw_geography(t)["database_towns"], on_error="raise")
     run.build_all(layers, audit, AS_OF_YEAR)
     return layers

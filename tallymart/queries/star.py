@@ -312,6 +312,22 @@ def key_uniqueness_audit(t: Tables) -> DataFrame:
     return quality.key_audit(tables)
 
 
+_YEARLY = ["dim_person", "dim_dwelling", "dim_education"]
+
+
+@query(sql.over(sql=" UNION ALL ".join(
+    f"SELECT *, 'sketch' AS settled_by FROM ({_keys(d, d, _DIMENSIONS[d])})" for d in _YEARLY
+) + f" UNION ALL SELECT *, 'count' AS settled_by FROM ({_keys('fact_survey', 'fact', 'location_sk')})"))
+def key_audit_sketch(t: Tables) -> DataFrame:
+    """Sketches of a star whose last year is sketched after the others; a key
+    that the years share is counted."""
+    s, keys = star(t), run.YEARLY_KEYS | {"fact_survey": "location_sk"}
+    years = sorted(r.survey_year for r in s.partition_values("gold", "fact_survey").collect())
+    run.sketch_keys(s, years[:-1], keys)
+    run.sketch_keys(s, years[-1:], keys)
+    return run.sketched_dimension_audit(s, keys)
+
+
 def _refs(fk: str, dim: str, nullable: bool) -> str:
     return f"""
 SELECT '{fk}' AS fk, count(*) AS total,
@@ -397,6 +413,32 @@ def pipeline_kpi_yearly(t: Tables) -> DataFrame:
     return star(t).read("gold", "kpi_scholarships_yearly")
 
 
+@query("""
+SELECT 'departments' AS table_name, CAST(r_regionkey AS VARCHAR) AS code, r_name AS name,
+       'excel' AS origin, 'geography.xlsx#Departamentos' AS source_file, CAST(0 AS INTEGER) AS survey_year
+FROM region
+UNION ALL
+SELECT 'sheet_towns', CASE WHEN n_nationkey = 24 THEN 'x' ELSE CAST(n_nationkey AS VARCHAR) END, n_name, 'excel',
+       'geography.xlsx#Municipios (3)', 0 FROM nation
+UNION ALL
+SELECT 'database_towns', CAST(s_suppkey AS VARCHAR), s_name, 'mysql', 'municipios', 0 FROM supplier
+""")
+def reference_ingest(t: Tables) -> DataFrame:
+    """The raw geography as the run loads it: two sheets and a table."""
+    s = star(t)
+    parts = {
+        "departments": ("codigo_deapartamento", "nombre_departamento"),
+        "sheet_towns": ("municipio_id", "nombre_municipio"),
+        "database_towns": ("municipio_id", "nombremunicipio"),
+    }
+    return quality.stack([
+        s.read("bronze", table).select(
+            F.lit(table).alias("table_name"), F.col(code).alias("code"), F.col(name).alias("name"),
+            "origin", "source_file", "survey_year",
+        ) for table, (code, name) in parts.items()
+    ])
+
+
 @query("""
 SELECT table_name, survey_year, count(*) AS row_count FROM (
   SELECT 'dwelling' AS table_name, CAST(year(o_orderdate) AS INTEGER) AS survey_year

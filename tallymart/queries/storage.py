@@ -14,7 +14,9 @@ from tallymart.operators.project import blank_to_null
 from tallymart.queries.registry import Tables, query
 from tallymart.session import scratch_path
 from tallymart.sources import versions
-from tallymart.sources.delimited import SurveyFile, raw_module, read_delimited, union_years
+from tallymart.sources.delimited import (
+    SurveyFile, listing, manifest_rows, missing_files, raw_module, read_delimited, union_years,
+)
 from tallymart.sources.tables import delete_folder, read_parquet, write_parquet
 from tallymart.streaming.ingest import ingest_new_files
 
@@ -229,3 +231,21 @@ def stream_replay(t: Tables) -> DataFrame:
             delete_folder(t.spark, f"{record}/commits/0")
     origin = F.when(F.col("origin") == "batch", "batch").otherwise("stream").alias("origin")
     return versions.read(t.spark, root).select("o_orderkey", "o_orderstatus", origin, "survey_year")
+
+
+@query("""
+SELECT 'orders' AS module, CAST(y AS INTEGER) AS year, 'orders' || y || '.csv' AS name
+FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) WHERE y % 3 = 0
+UNION ALL
+SELECT 'orders', 2031, 'orders2031.csv'
+""")
+def manifest_missing(t: Tables) -> DataFrame:
+    """Of the years of the orders and one more, those without a file."""
+    root = scratch_path(t.spark, "listed")
+    years = [r.y for r in _orders(t).select("y").distinct().collect()]
+    for year in years:
+        if year % 3:
+            rows = _orders(t).filter(F.col("y") == year).select("o_orderkey")
+            rows.write.csv(f"{root}/{year}/orders{year}.csv", sep=";", header=True)
+    files = {"orders": {year: f"orders{year}.csv" for year in [*years, 2031]}}
+    return missing_files(manifest_rows(t.spark, files, [*years, 2031, 2032]), listing(t.spark, root))

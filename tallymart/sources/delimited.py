@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -62,20 +62,41 @@ class SurveyFile:
     present: bool
 
 
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(year, name) of what lies in the year folders of ``root``, from one listing."""
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/*")
+    system = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in system.globStatus(wanted) or []]
+    rows = [(p.getParent().getName(), p.getName()) for p in found]
+    return spark.createDataFrame([(y, n) for y, n in rows if not n.startswith((".", "_"))], "year string, name string")
+
+
+def manifest_rows(spark: SparkSession, manifest: Mapping[str, Mapping[int, str]], years: Sequence[int]) -> DataFrame:
+    """(module, year, name) of the wanted years; one the manifest lacks is left out."""
+    rows = [(m, y, files[y]) for m, files in manifest.items() for y in years if y in files]
+    return spark.createDataFrame(rows, "module string, year int, name string")
+
+
+def missing_files(wanted: DataFrame, there: DataFrame) -> DataFrame:
+    """The rows of the manifest whose file the listing lacks."""
+    on = (wanted["year"].cast("string") == there["year"]) & (wanted["name"] == there["name"])
+    return wanted.join(there, on, "left_anti")
+
+
 def resolve(
     spark: SparkSession,
     root: str,
     manifest: Mapping[str, Mapping[int, str]],
     years: list[int],
 ) -> list[SurveyFile]:
-    """The files of the wanted years; a year the manifest lacks is left out."""
-    paths = [
-        (module, year, f"{root.rstrip('/')}/{year}/{files[year]}")
-        for module, files in manifest.items()
-        for year in years
-        if year in files
+    """The files of the wanted years, and whether they are there, from one
+    listing of the folder; a year the manifest lacks is left out."""
+    wanted = manifest_rows(spark, manifest, years)
+    missing = {(r.module, r.year) for r in missing_files(wanted, listing(spark, root)).collect()}
+    return [
+        SurveyFile(module, year, f"{root.rstrip('/')}/{year}/{files[year]}", (module, year) not in missing)
+        for module, files in manifest.items() for year in years if year in files
     ]
-    return [SurveyFile(m, y, p, path_exists(spark, p)) for m, y, p in paths]
 
 
 def raw_module(spark: SparkSession, file: SurveyFile, run_id: str) -> DataFrame:

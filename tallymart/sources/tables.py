@@ -74,6 +74,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
+def write_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file, wherever Spark can write."""
+    system, file = _file_system(spark, path)
+    stream = system.create(file, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """A stored table; ``merge_schema`` adds up the columns of all its files."""
     return spark.read.parquet(path, mergeSchema=merge_schema)

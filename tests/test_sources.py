@@ -1,15 +1,19 @@
+import io
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.operators import quality
 from tallymart.operators.joins import upsert
 from tallymart.session import scratch_path, shared_folder
-from tallymart.sources import relational, tables
+from tallymart.sources import delimited, relational, tables, workbook
 from tallymart.sources.audit import Audit
 from tallymart.sources.delimited import (
     path_exists, raw_module, read_delimited, resolve, union_years,
 )
 from tallymart.sources.workbook import read_sheet
-from tests.workbooks import write_workbook
+from tests.workbooks import MAIN, REL, write_workbook
 
 
 def put(path, text, bom=False):
@@ -261,3 +265,67 @@ def test_no_local_folder_on_a_cluster():
     session = type("S", (), {"conf": Conf(), "sparkContext": context})()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_workbooks_go_by_their_own_headers(spark, rows, tmp_path, monkeypatch):
+    write_workbook(tmp_path / "a1.xlsx", {"s": [["A", "B"], ["1", "x"], ["2", "y", "wide"]], "other": [["Z"], ["0"]]})
+    write_workbook(tmp_path / "a2.xlsx", {"s": [["B", "A"], ["z", "3"], [None, "4"]], "other": [["Z"]]})
+    found = workbook.read_sheets(spark, str(tmp_path / "a*.xlsx"), ["s", "other"])
+    assert found["s"].columns == ["A", "B", "column_3"]
+    assert rows(found["s"]) == [("1", "x", None), ("2", "y", "wide"), ("3", "z", None), ("4", None, None)]
+    assert rows(found["other"]) == [("0",)]
+    # parsed already: the workbooks are not read again
+    for book in tmp_path.glob("a*.xlsx"):
+        book.unlink()
+    assert found["s"].count() == 4
+
+
+@pytest.mark.parametrize("header", [["A", "C"], ["A"], ["A", "B", "D"], ["A", "A"]])
+def test_a_workbook_with_other_columns_raises(spark, tmp_path, header):
+    write_workbook(tmp_path / "a1.xlsx", {"s": [["A", "B"], ["1", "x"]]})
+    write_workbook(tmp_path / "a2.xlsx", {"s": [header, ["1", "x"]]})
+    with pytest.raises(ValueError, match="a2.xlsx"):
+        read_sheet(spark, str(tmp_path / "*.xlsx"), "s")
+
+
+def test_cells_and_rows_without_places():
+    sheet = (
+        f'<worksheet xmlns="{MAIN}"><sheetData><row><c t="inlineStr"><is><t>A</t></is></c><c><v>7</v></c></row>'
+        '<row><c><v>1</v></c><c r="D2"><v>2</v></c><c><v>3</v></c></row><row r="9"><c><v>4</v></c></row><row/></sheetData></worksheet>'
+    )
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as book:
+        book.writestr("xl/worksheets/s.xml", sheet)
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{MAIN}" xmlns:r="{REL}"><sheets><sheet name="s" r:id="a"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="a" Target="/xl/worksheets/s.xml"/></Relationships>')
+    assert list(workbook.Book(content.getvalue()).rows("s")) == [
+        (1, ["A", "7"]), (2, ["1", None, None, "2", "3"]), (9, ["4"]), (10, []),
+    ]
+
+
+def test_one_listing_for_any_number_of_years(spark, tmp_path, monkeypatch):
+    for year in range(2000, 2040, 2):
+        put(tmp_path / str(year) / f"m{year}.csv", "A\n1\n")
+        put(tmp_path / str(year) / f"folder{year}.csv" / "part-0.csv", "A\n1\n")
+    manifest = {m: {y: f"{m}{y}.csv" for y in range(2000, 2040)} for m in ("m", "folder", "none")}
+    monkeypatch.setattr(delimited, "path_exists", None)
+    found = resolve(spark, str(tmp_path), manifest, list(range(1990, 2040)))
+    assert len(found) == 120 and {(f.module, f.year) for f in found if f.present} == {
+        (m, y) for m in ("m", "folder") for y in range(2000, 2040, 2)
+    }
+    assert not any(f.present for f in resolve(spark, str(tmp_path / "nowhere"), manifest, [2000]))
+
+
+def test_sketches_settle_what_years_do_not_share(spark):
+    apart = spark.range(20_000).select("id", (F.col("id") % 4 + 2018).cast("int").alias("y"))
+    shared = spark.range(20_000).select((F.col("id") % 8999).alias("id"), (F.col("id") % 4 + 2018).cast("int").alias("y"))
+    twice = apart.unionAll(apart.filter("id < 10"))
+    tables_ = {"apart": (apart, "id"), "shared": (shared, "id"), "twice": (twice, "id")}
+    sketches = quality.stack([
+        quality.key_sketches(df, key, "y").withColumn("table_name", F.lit(n)) for n, (df, key) in tables_.items()
+    ])
+    found = {r.table_name: r for r in quality.sketched_key_audit(sketches, tables_).collect()}
+    assert {n: (r.total, r.distinct_keys, r.status, r.settled_by) for n, r in found.items()} == {
+        "apart": (20_000, 20_000, "OK", "sketch"), "shared": (20_000, 8_999, "ALERT", "count"),
+        "twice": (20_010, 20_000, "ALERT", "sketch"),
+    }
