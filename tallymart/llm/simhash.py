@@ -6,7 +6,10 @@ such vectors is never more than the number of differing bits. The vector is cut
 into parts, of which one differs by at most 1 if the fingerprints differ by no
 more than allowed, so a range join of width 1 over a grid of part vectors finds
 every link: a fingerprint goes to its own cell of each part and to the cells
-one step up. What meets in a cell is then compared bit by bit.
+one step up. What meets in a cell is then compared bit by bit. A crowded cell
+is first parted: of four shares of the bits one is alike in linked
+fingerprints, so its rows go to four smaller cells by their shares, again and
+again, until a cell is a few thousand rows; no cell is ever held whole.
 
 Defined results: a text without words has fingerprint zero and is linked like
 any other, NULL text has no words. A row without an id joins the group of its
@@ -32,6 +35,9 @@ SEED = 42
 LOW_BITS = 0x5555555555555555
 #: rows of a grid cell that are compared in one go; more are taken in blocks
 BLOCK_ROWS = 1024
+#: rows of a cell above which it is parted by further bits, while more bits are
+#: open than give that many rows
+CELL_ROWS, OPEN_BITS = 4096, 12
 
 
 def fingerprints_of(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.ndarray:
@@ -138,9 +144,7 @@ def _links(max_bits: int):
         rest = None
         for batch in batches:
             now = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            part, cell = now.column("part").to_numpy(), now.column("cell").to_numpy()
-            new = (part[1:] != part[:-1]) | (cell[1:] != cell[:-1])
-            last = np.flatnonzero(new)
+            last = np.flatnonzero(_new_cells(now)[1:])
             if not len(last):
                 rest = now
                 continue
@@ -151,11 +155,10 @@ def _links(max_bits: int):
             yield from found(rest)
 
     def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        part, cell = table.column("part").to_numpy(), table.column("cell").to_numpy()
         home, node = table.column("home").to_numpy(), table.column("node").to_numpy()
         fp = table.column("fp").to_numpy().view(np.uint64)
-        first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (cell[1:] != cell[:-1])]))
-        sizes = np.diff(np.append(first, len(cell)))
+        first = np.flatnonzero(_new_cells(table))
+        sizes = np.diff(np.append(first, table.num_rows))
         left, right = [], []
         for low in sorted({s for s in sizes.tolist() if 1 < s <= 16}):
             begin = first[sizes == low][:, None]
@@ -173,6 +176,16 @@ def _links(max_bits: int):
     return run
 
 
+def _new_cells(table: pa.Table) -> np.ndarray:
+    """Rows at which another cell begins."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for name in ("part", "cell", "held", "value"):
+        column = table.column(name).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def tree(fp: np.ndarray, home: np.ndarray, node: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what a cell's links join, fewer than rows; in blocks.
 
@@ -204,12 +217,49 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _further(held: int, parts: int) -> list[int]:
+    """Masks that each hold one more of ``parts`` shares of the bits not yet held."""
+    free = [b for b in range(64) if not held >> b & 1]
+    edges = [len(free) * p // parts for p in range(parts + 1)]
+    return [held | sum(1 << b for b in free[a:z]) for a, z in zip(edges[:-1], edges[1:])]
+
+
+def _parted(crowded: DataFrame, max_bits: int) -> DataFrame:
+    """Rows of crowded cells in smaller ones: of one share more than bits may
+    differ, two linked fingerprints have one share of the open bits alike."""
+    masks = [r.held for r in crowded.select("held").distinct().collect()]  # a few for each round
+    further = F.create_map(*[
+        x for m in masks for x in (F.lit(m), F.array(*[F.lit(_signed(h)) for h in _further(m % 2**64, max_bits + 1)]))
+    ])
+    again = crowded.select("part", "cell", "home", "fp", "node", F.explode(F.element_at(further, F.col("held"))).alias("held"))
+    return again.withColumn("value", F.col("fp").bitwiseAND(F.col("held")))
+
+
+def bounded_cells(cells: DataFrame, max_bits: int) -> DataFrame:
+    """Grid rows in cells of at most ``CELL_ROWS`` rows, in which every link
+    has at least one. ``held`` and ``value``: further bits that a cell shares."""
+    keys = ["part", "cell", "held", "value"]
+    open_rows = stored(cells.withColumns({"held": F.lit(0).cast("long"), "value": F.lit(0).cast("long")}), "grid")
+    ready = None
+    while True:
+        sizes = open_rows.groupBy(*keys).agg(F.count("*").alias("size"))
+        many = (F.col("size") > CELL_ROWS) & (F.bit_count("held") < 64 - OPEN_BITS)
+        crowded = stored(sizes.where(many).drop("size"), "crowded")
+        some = not crowded.isEmpty()
+        small = open_rows.join(crowded, keys, "left_anti") if some else open_rows
+        ready = small if ready is None else ready.unionByName(small)
+        if not some:
+            return ready
+        open_rows = stored(_parted(open_rows.join(crowded, keys, "left_semi"), max_bits), "grid").select(*open_rows.columns)
+
+
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     """(a, b): nodes whose fingerprints are linked, enough of them to join all
     that are. ``distinct``: (fp, node), one row for each fingerprint."""
-    cells = grid(distinct, max_bits)
+    keys = ["part", "cell", "held", "value"]
+    cells = bounded_cells(grid(distinct, max_bits), max_bits)
     return (
-        cells.repartition("part", "cell").sortWithinPartitions("part", "cell")
+        cells.repartition(*keys).sortWithinPartitions(*keys)
         .mapInArrow(_links(max_bits), "a long, b long")
     )
 

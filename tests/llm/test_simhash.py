@@ -104,3 +104,25 @@ def test_long_chain(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(simhash.fingerprints(frame(spark, []))).count() == 0
+
+
+@pytest.mark.parametrize("rows", [10, 60])
+def test_crowded_cells_are_parted(spark, monkeypatch, rows):
+    """Groups as brute force finds them, when every cell of a few rows counts as crowded."""
+    monkeypatch.setattr(simhash, "CELL_ROWS", rows)
+    rng = random.Random(rows)
+    low = [rng.getrandbits(10) for _ in range(150)]  # all in one cell of one part
+    values = sorted({0xABCDEF0000000000 | v << 3 for v in low} | {rng.getrandbits(64) for _ in range(20)})
+    signed = [(v - 2**64 if v >= 2**63 else v,) * 2 for v in values]
+    found = simhash.links(spark.createDataFrame(signed, "fp long, node long").repartition(3)).collect()
+    pairs = {tuple(sorted((r.a % 2**64, r.b % 2**64))) for r in found}
+    linked = lambda a, b: (a ^ b).bit_count() <= 3
+    assert all(linked(a, b) for a, b in pairs)
+    assert groups(values, lambda a, b: (a, b) in pairs) == groups(values, linked)
+
+
+def test_a_large_cell_takes_no_square_of_time(spark):
+    """Forty thousand fingerprints that share one part meet in small cells."""
+    fps = spark.range(40_000).select((F.xxhash64("id").bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(0x5A5A5A5A << 32)).alias("fp")).distinct()
+    cells = simhash.bounded_cells(simhash.grid(fps.select("fp", F.col("fp").alias("node")), 3), 3)
+    assert cells.groupBy("part", "cell", "held", "value").count().agg(F.max("count")).first()[0] <= simhash.CELL_ROWS
