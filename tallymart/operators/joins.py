@@ -1,6 +1,6 @@
 """Joins of a large frame with lookups and dimensions.
 
-No size hints: Spark broadcasts a side once it knows that it is small, from
+No size hints, but for a few frequent keys: Spark broadcasts a side once it knows that it is small, from
 file sizes or from a finished shuffle, and otherwise joins by key and splits
 oversized partitions at run time.
 """
@@ -13,6 +13,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _pairs(on: Mapping[str, str] | Sequence[str]) -> dict[str, str]:
@@ -57,31 +58,44 @@ def lookup_left(
     return joined.drop(*right_keys.values(), "_bucket", "_home")
 
 
+#: frequent keys are counted with at least this support, in so many counters
+LEAST_SUPPORT = 1e-4
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """At most ``most`` keys, among them every key of more than one in ``most`` rows.
+
+    Counted by the algorithm of Misra and Gries in ``most`` counters for each
+    task, however many keys there are; the counters are what is merged. Some
+    keys may come along that are less frequent.
+    """
+    if not 1 <= most <= 1 / LEAST_SUPPORT:
+        raise ValueError(f"the number of frequent keys lies between 1 and {1 / LEAST_SUPPORT:.0f}")
+    known = df.dropna(subset=list(keys)).select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"))
+    return known.freqItems(["_key"], 1 / most).select(F.explode("_key_freqItems").alias("_key")).select("_key.*")
+
+
 def lookup_left_hot(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
     hot_keys: int = 1000,
     buckets: int = 64,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """``lookup_left`` for frames in which a few keys hold most of the rows.
 
-    The ``hot_keys`` most frequent keys come from a pre-aggregated count over
-    the key columns, and being at most that many they are broadcast. Their rows
-    are spread over ``buckets`` tasks, and their lookup rows are copied once
-    per bucket; rows without a key are spread too. Which keys count as hot
-    changes the work, never the result. The key columns of ``df`` are read once
-    more than by ``lookup_left``.
+    The ``frequent_keys``, at most ``hot_keys`` and never more than 10,000, are
+    broadcast. Their rows are spread over ``buckets`` tasks by a hash of
+    ``spread_by``, such as the row's own key, or else of all columns that can
+    be hashed, and their lookup rows are copied once per bucket; rows without a
+    key are spread too. Which keys count as hot changes the work, never the
+    result. The key columns of ``df`` are read once more than by ``lookup_left``.
     """
     keys = list(on)
-    hot = F.broadcast(
-        df.dropna(subset=keys)
-        .groupBy(*keys).count()
-        .orderBy(F.desc("count"), *keys)
-        .limit(hot_keys)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    hot = F.broadcast(frequent_keys(df, keys, hot_keys).withColumn("_hot", F.lit(True)))
+    hashed = list(spread_by) or [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(buckets)).cast("int")
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     left = df.join(hot, keys, "left").select(
         *df.columns,

@@ -82,21 +82,23 @@ def write_table(
     table: str,
     mode: str = "overwrite",
     batch_size: int = 5000,
-    writers: int | None = None,
+    writers: int = 16,
 ) -> None:
     """Publish a frame; overwriting empties the table and keeps its definition.
 
-    ``writers`` bounds the number of open connections. Batches are not one
-    transaction: after a failure publish again with ``overwrite``.
+    ``writers`` bounds the number of open connections, whatever the number of
+    partitions. Batches are not one transaction: after a failure publish again
+    with ``overwrite``.
     """
+    if writers < 1:
+        raise ValueError("at least one writer is needed")
     options = {
         "dbtable": table,
         "batchsize": str(batch_size),
         "truncate": "true",
+        "numPartitions": str(writers),
         **connection.options(),
     }
-    if writers:
-        options["numPartitions"] = str(writers)
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 

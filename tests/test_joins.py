@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.operators.joins import consolidate, lookup_left, lookup_left_hot, upsert
+from tallymart.operators.joins import consolidate, frequent_keys, lookup_left, lookup_left_hot, upsert
 
 
 def skewed(spark, n=3000, seed=3):
@@ -112,3 +112,25 @@ def test_upsert_with_null_keys_adds_nothing_twice(spark, rows):
     once = upsert(target, source, ["t", "y"])
     assert rows(once) == [(2, 1, "b"), (None, 1, "c"), (None, None, "d")]
     assert rows(upsert(once, source, ["t", "y"])) == rows(once)
+
+
+def test_frequent_keys_come_from_a_bounded_sketch(spark, plan):
+    """Every key of more than one in ``most`` rows, whatever the other keys are."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 10 == 1, F.lit(-2)).when(F.col("id") % 7 > 0, F.col("id")).alias("k"),
+        (F.col("id") * 0).alias("z"),
+    )
+    found = {(r.k, r.z) for r in frequent_keys(df, ["k", "z"], 20).collect()}
+    assert {(-1, 0), (-2, 0)} <= found and len(found) <= 20
+    text = plan(frequent_keys(df, ["k", "z"], 20))
+    assert "keys=[k" not in text and "hashpartitioning" not in text
+    for most in (0, 10_001):
+        with pytest.raises(ValueError):
+            frequent_keys(df, ["k"], most)
+
+
+def test_hot_lookup_takes_maps_along(spark):
+    df = spark.range(300).select(F.lit("a").alias("k"), "id", F.create_map(F.lit("x"), F.col("id")).alias("m"))
+    table = spark.createDataFrame([("a", 1)], "k string, v int")
+    for by in ((), ("id",)):
+        assert lookup_left_hot(df, table, ["k"], 5, 8, by).filter("v = 1 AND m['x'] = id").count() == 300

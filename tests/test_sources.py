@@ -113,6 +113,11 @@ def test_jdbc_options_without_a_database():
     assert writer.calls[1][2]["batchsize"] == "5000"
     assert writer.calls[1][2]["numPartitions"] == "4"
     assert writer.calls[2] == ("mode", ("overwrite",), {})
+    writer.calls.clear()
+    relational.write_table(frame, login, "t")
+    assert writer.calls[1][2]["numPartitions"] == "16"  # never one connection for each partition
+    with pytest.raises(ValueError):
+        relational.write_table(frame, login, "t", writers=0)
 
 
 def test_publish_goes_on_after_a_failure(spark):
