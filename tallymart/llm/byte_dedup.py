@@ -12,7 +12,8 @@ are the shared windows. Where too many pieces have one anchor, hashes of their
 windows are sent instead, each to its own reducer.
 
 Defined results: NULL text is empty, a NULL id comes last, rows that share an
-id never count against each other, other columns are passed on in ``row``.
+id never count against each other, other columns are passed on in ``row``,
+under any names. Texts may be of any length; an empty table has an empty result.
 """
 
 from __future__ import annotations

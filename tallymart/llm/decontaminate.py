@@ -8,8 +8,10 @@ the test strings to look at, and these are compared word for word. Stretches of
 many documents are searched in step, one array operation for a step of all.
 
 Defined results: NULL text has no words, so no hits; benchmark rows without an
-id or without words are left out; repeated benchmark rows count once; other
-columns are passed on in ``row``.
+id or without words are left out; repeated benchmark rows count once, a
+repeated document each time; texts may be of any length; an empty benchmark hits
+nothing, an empty table has an empty result. Other columns are passed on in
+``row``, under any names.
 """
 
 from __future__ import annotations

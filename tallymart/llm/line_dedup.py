@@ -10,7 +10,8 @@ Defined results: lines without a word take no part in runs; such a line goes if
 the line with words before it goes. A run is later if it starts in a document
 with a larger id or further on in the same document. NULL text is empty, a NULL
 id comes last, rows that share an id never count against each other, other
-columns are passed on in ``row`` under their own names.
+columns are passed on in ``row`` under their own names. Texts may be of any
+length; an empty table has an empty result.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ equal tokens. What fills no window of the shortest tier is packed once more,
 with the like of other groups.
 
 Defined results: NULL text is empty and has the end token alone; NULL or
-repeated ids are documents like others; the pieces of a document carry its id
-and the columns named in ``more``.
+repeated ids are documents like others; a text of any length is cut into pieces;
+an empty table has no sequences; the pieces of a document carry its id and no
+other column.
 """
 
 from __future__ import annotations

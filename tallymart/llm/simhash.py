@@ -13,7 +13,9 @@ again, until a cell is a few thousand rows; no cell is ever held whole.
 
 Defined results: a text without words has fingerprint zero and is linked like
 any other, NULL text has no words. A row without an id joins the group of its
-fingerprint; a group of such rows alone has no id.
+fingerprint; a group of such rows alone has no id. Texts may be of any length;
+repeated rows share their fingerprint; an empty table has an empty result. Other
+columns are passed on in ``row``, under any names.
 """
 
 from __future__ import annotations

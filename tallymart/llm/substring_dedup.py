@@ -9,6 +9,7 @@ anchors are hashed and shuffled; windows around shared ones are then compared.
 Defined results: NULL text has no words, a NULL id comes last, rows that share
 an id never count against each other (each row is compared with itself and with
 smaller ids), other columns are passed on in ``row`` under their own names.
+Texts may be of any length; an empty table has an empty result.
 """
 
 from __future__ import annotations

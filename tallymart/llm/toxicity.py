@@ -11,8 +11,10 @@ digits, letters and all characters beyond ASCII, A-Z in lower case.
 
 Defined results: NULL text has no words. Labelled rows without an id or with a
 NULL label are left out, repeated labels count by their largest value. Without
-labels of both kinds a category's probability is its share. Other columns are
-passed on in ``row``.
+labels of both kinds a category's probability is its share. Texts may be
+of any length; empty tables give an empty result, and probabilities of a half
+for texts scored by a model without labels. Other columns are passed on in
+``row``, under any names.
 """
 
 from __future__ import annotations

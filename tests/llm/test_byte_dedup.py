@@ -129,3 +129,14 @@ def test_shared_windows_above_64_bytes(monkeypatch):
     wanted = [smallest.get(s[p:p + size], i) < i for i, s in zip(ids, strings) for p in range(len(s))]
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
     assert bwt.shared_windows(np.frombuffer(b"".join(strings), np.uint8), bounds, ids, size).tolist() == wanted
+
+
+def test_long_texts(spark):
+    """Beyond the slice in which a task takes texts, with two letters in an order
+    whose sums cancel."""
+    rng = np.random.default_rng(8)
+    long = bytes(rng.integers(97, 123, 700_000).astype(np.uint8)).decode()
+    turns = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    texts = [(1, long), (2, long[300:600_000] + "!" + long[500_000:]), (3, turns), (4, turns.translate({97: "b", 98: "a"})), (5, None), (5, long[:60])]
+    got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in byte_dedup(frame(spark, texts)).collect()), key=repr)
+    assert got == expected(texts, 50)

@@ -60,3 +60,16 @@ def test_empty_tables(spark):
     assert benchmark_hits(frame(spark, []), none).count() == 0
     found = contamination(benchmark_hits(frame(spark, edge_texts()), none))
     assert found.where("n_hit > 0 or contaminated").count() == 0
+
+
+def test_long_texts(spark):
+    """A passage beyond the slice in which a task takes texts, and one across its end."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(30)]
+    noise = [f"n{rng.randint(0, 999)}" for _ in range(200_000)]
+    long = " ".join([*noise[:150_000], *passage[:20], *noise[150_000:]])
+    texts = [(1, long), (2, "x" * ((1 << 19) - 40) + " " + " ".join(passage)), (3, None), (3, "x")]
+    items = [(7, " ".join(passage)), (8, "never " * 20)]
+    found = contamination(benchmark_hits(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")))
+    got = sorted(((r.row.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in found.collect()), key=repr)
+    assert got == expected(texts, items, 13)

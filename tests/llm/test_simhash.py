@@ -126,3 +126,11 @@ def test_a_large_cell_takes_no_square_of_time(spark):
     fps = spark.range(40_000).select((F.xxhash64("id").bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(0x5A5A5A5A << 32)).alias("fp")).distinct()
     cells = simhash.bounded_cells(simhash.grid(fps.select("fp", F.col("fp").alias("node")), 3), 3)
     assert cells.groupBy("part", "cell", "held", "value").count().agg(F.max("count")).first()[0] <= simhash.CELL_ROWS
+
+
+def test_fingerprint_of_a_long_text(spark):
+    rng = random.Random(5)
+    long = " ".join(f"w{rng.randint(0, 500)}" for _ in range(130_000))
+    texts = [(1, long), (2, long + " end"), (3, None), (3, "one")]
+    got = {(r.row.doc_id, r.fingerprint % 2**64) for r in simhash.fingerprints(frame(spark, texts)).collect()}
+    assert got == {(i, plain_fingerprint(t)) for i, t in texts}

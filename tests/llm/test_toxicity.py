@@ -46,3 +46,11 @@ def test_empty_tables(spark):
     model = toxicity.train(frame(spark, []), none, ("a",))
     assert toxicity.scored(frame(spark, []), model).count() == 0
     assert toxicity.scored(frame(spark, [(1, "x")]), model).first().probabilities == [0.5]
+
+
+def test_long_and_repeated_texts(spark):
+    texts = [(i, "good words here" if i % 2 else "bad words here") for i in range(40)] + [(100, "bad " * 300_000), (100, "bad " * 300_000)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, a int")
+    found = toxicity.scored(frame(spark, texts), toxicity.train(frame(spark, texts), labels, ("a",))).collect()
+    p = {r.row.doc_id: r.probabilities[0] for r in found}
+    assert len(found) == 42 and p[100] > p[1] and p[0] > 0.5 > p[1]
