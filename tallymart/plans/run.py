@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -297,17 +297,17 @@ def serve(
     write: Callable[[DataFrame, str], None],
     published_names: bool = True,
     table_names: Mapping[str, str] | None = None,
+    at_once: int = 4,
 ) -> Published:
-    """Publish all gold tables; each outcome is logged, failures do not stop it."""
-    started = {"at": datetime.now(timezone.utc)}
+    """Publish all gold tables, a few at once; each outcome is logged, failures
+    do not stop it."""
 
-    def report(name: str, rows: int, error: Exception | None) -> None:
+    def report(name: str, rows: int, started_at: datetime, error: Exception | None) -> None:
         status, message = ("ERROR", str(error)) if error else ("OK", "")
-        audit.log("serving", "serving", name, started["at"], rows, rows, status, message)
-        started["at"] = datetime.now(timezone.utc)
+        audit.log("serving", "serving", name, started_at, rows, rows, status, message)
 
     with audit.recording():
-        return publish(served_tables(layers, published_names, table_names), write, report)
+        return publish(served_tables(layers, published_names, table_names), write, report, at_once)
 
 
 def serving_audit(

@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymart.session import together
+
 PLACEHOLDERS = ("", "placeholder")
 
 
@@ -117,19 +121,29 @@ class Published:
 def publish(
     tables: Mapping[str, DataFrame],
     write: Callable[[DataFrame, str], None],
-    report: Callable[[str, int, Exception | None], None] = lambda *_: None,
+    report: Callable[[str, int, datetime, Exception | None], None] = lambda *_: None,
+    at_once: int = 1,
 ) -> Published:
-    """Write every table; a failure is recorded and the next one goes on.
+    """Write every table, ``at_once`` of them at a time; a failure is recorded
+    and the others go on. ``report`` gets name, rows, start and error.
 
     ``tables`` should read stored tables, whose count costs next to nothing.
     """
     done = Published()
-    for name, df in tables.items():
+
+    def one(name: str, df: DataFrame) -> None:
+        started_at = datetime.now(timezone.utc)
         try:
             write(df, name)
-            done.rows[name] = df.count()
-            report(name, done.rows[name], None)
+            rows = df.count()
         except Exception as error:
             done.errors[name] = str(error)
-            report(name, 0, error)
+            report(name, 0, started_at, error)
+            return
+        done.rows[name] = rows
+        report(name, rows, started_at, None)
+
+    if tables:
+        spark = next(iter(tables.values())).sparkSession
+        together(spark, [partial(one, name, df) for name, df in tables.items()], at_once)
     return done

@@ -1,4 +1,5 @@
 import io
+import threading
 import zipfile
 
 import pytest
@@ -134,6 +135,18 @@ def test_publish_goes_on_after_a_failure(spark):
     assert done.errors == {"b": "no room"}
 
 
+def test_publish_writes_a_few_tables_at_once(spark):
+    """Four that wait for each other: one after the other they would never end."""
+    meet = threading.Barrier(4, timeout=60)
+    logged = []
+    done = relational.publish(
+        {n: spark.range(2) for n in "abcd"}, lambda df, name: meet.wait(),
+        lambda name, rows, started_at, error: logged.append((name, rows, error)), at_once=4,
+    )
+    assert done.rows == dict.fromkeys("abcd", 2) and not done.errors
+    assert sorted(logged) == [(n, 2, None) for n in "abcd"]
+
+
 def test_partition_reload_is_idempotent(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, 2018), (2, 2019)], "id int, y int")
