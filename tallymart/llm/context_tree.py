@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm import textcore
@@ -281,8 +281,8 @@ def _scored(train_tokens: int, train_words: int):
                     score += np.bincount(row, lps[np.searchsorted(known, found)], rows)
                 token, row = tokens(data, bounds)
                 coded = token.dictionary_encode()
-                count = seen[pc.index_in(coded.dictionary, listed).to_numpy(zero_copy_only=False)] if len(token) else np.zeros(0, int)
-                count = count[coded.indices.to_numpy()] if len(token) else count
+                place = pc.fill_null(pc.index_in(coded.dictionary, listed), len(seen)).to_numpy()
+                count = np.append(seen, 0)[place][coded.indices.to_numpy()]  # words never learned get no answer
                 n_tokens = np.bincount(row, minlength=rows) + 1
                 n_known = np.bincount(row, count > 0, rows).astype(np.int64) + (end > 0)
                 base = np.bincount(row, np.log10(count + 1), rows) + math.log10(end + 1) - n_tokens * offset
@@ -317,12 +317,17 @@ def scored(docs: DataFrame, learn: Column, text_col: str = "text") -> DataFrame:
     grams, words = asked.where("gram is not null"), asked.where("word is not null")
     counts = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")), "counts")
     scores = string_scores(counts, probabilities(counts.where("n > 0")))
-    word_counts = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total, different = word_counts.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    # each chunk asks for a word once, so the sums meet the chunks in one shuffle
+    same = Window.partitionBy("word")
+    first = F.row_number().over(same.orderBy("chunk")) == 1
+    counted = words.select("chunk", "word", F.sum("n").over(same).alias("n"), first.alias("first"))
+    words = stored(counted.where("n > 0 or word = ''"), "words", compression="zstd")
+    seen = words.where("first and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"))
+    total, different = seen.first()
     nothing = F.lit(None)
     answers = grams.select("chunk", "gram").join(scores, "gram").select(
         "chunk", "gram", "lp", nothing.cast("string").alias("word"), nothing.cast("long").alias("n")
-    ).unionByName(words.select("chunk", "word").join(word_counts, "word").select(
+    ).unionByName(words.select(
         "chunk", nothing.cast("long").alias("gram"), nothing.cast("double").alias("lp"), "word", "n"
     ))
     out = f"__row {kind}, __n_bytes long, __n_tokens long, __n_known long, __base_score double, __score double"
