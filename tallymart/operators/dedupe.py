@@ -61,10 +61,6 @@ def keep_first(
     return first_rows.unionByName(lacking) if keep_lacking else first_rows
 
 
-#: copies of a row without a full key that are made at once
-_COPIES = 10_000
-
-
 def keep_least(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep the least row of every key, by an aggregate instead of a sort of rows.
 
@@ -73,21 +69,19 @@ def keep_least(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     sends one row per key. Meant for raw rows that are decoded afterwards: a
     row that does not stay is then never decoded, and keys are worked out once.
 
-    Rows without a full key are grouped by 128 bits of hashes of the whole row,
-    counted, and given back as often: so they spread evenly, however many are
-    alike, and a task that runs again sends them where it did before.
+    Rows without a full key are grouped by 128 bits of hashes of the whole row
+    and by the task that reads them, counted, and given back as often: so they
+    spread evenly, however many are alike, and a task that runs again sends
+    them where it did before, in whatever order it reads.
     """
     rest = _ordered(df, {*keys, *order})
     lacking = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
     whole = [F.col(f"`{c}`") for c in df.columns]
-    own = {
-        "_own": F.when(lacking, F.xxhash64(*whole)), "_own_too": F.when(lacking, F.xxhash64(F.lit(1), *whole)),
-    }
+    parts = [F.xxhash64(*whole), F.xxhash64(F.lit(1), *whole), F.spark_partition_id()]
+    own = F.when(lacking, F.concat_ws(" ", *[x.cast("string") for x in parts]))
     least = F.min(F.struct(*[F.col(f"`{c}`") for c in [*order, *rest]])).alias("_row")
-    kept = df.withColumns(own).groupBy(*[F.col(f"`{k}`") for k in keys], *own).agg(least, F.count("*").alias("_n"))
-    times = F.when(F.col("_own").isNull(), F.lit(1)).otherwise(F.col("_n"))
-    blocks = kept.select("*", F.explode(F.sequence(F.lit(1), times, F.lit(_COPIES))).alias("_begin"))
-    left = F.least(F.lit(_COPIES), times - F.col("_begin") + 1).cast("int")
-    copies = blocks.select("*", F.explode(F.array_repeat(F.lit(True), left)).alias("_copy"))
+    kept = df.withColumn("_own", own).groupBy(*[F.col(f"`{k}`") for k in keys], "_own").agg(least, F.count("*").alias("_n"))
+    times = F.when(F.col("_own").isNull(), F.lit(1)).otherwise(F.col("_n").cast("int"))
+    copies = kept.select("*", F.explode(F.array_repeat(F.lit(True), times)).alias("_copy"))
     named = {c: F.col(f"`{c}`") for c in keys} | {c: F.col("_row").getField(c) for c in [*order, *rest]}
     return copies.select(*[named[c].alias(c) for c in df.columns])
