@@ -94,7 +94,7 @@ class ByteRuns:
         # smallest hashes crowd at the low end; mixed again they part evenly
         return Pieces(starts, ends - starts, textcore.mixed(minima[starts]), keys, rows)
 
-    def hashes(self, routed: np.ndarray):
+    def hashes(self, buckets: int):
         """Texts to bundles of piece hashes and anchors."""
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,14 +106,14 @@ class ByteRuns:
                     waiting.append((ids, found.keys, found.anchors, found.counts + self.size - 1))
                     size += len(ids)
                     if size >= repeats.GROUP_KEYS:
-                        yield from self._send(*map(np.concatenate, zip(*waiting)), None, routed)
+                        yield from self._send(*map(np.concatenate, zip(*waiting)), None, buckets)
                         waiting, size = [], 0
             if size:
-                yield from self._send(*map(np.concatenate, zip(*waiting)), None, routed)
+                yield from self._send(*map(np.concatenate, zip(*waiting)), None, buckets)
 
         return run
 
-    def compare(self, routed: np.ndarray):
+    def compare(self, buckets: int):
         """Bundles of hashes to whole pieces that go, and to requests, which
         are spans without windows, on their way to their documents.
 
@@ -126,7 +126,7 @@ class ByteRuns:
                 for row in batch.to_pylist():
                     ids, keys = repeats.unbundled(row, SPANS if row["settled"] else np.uint64)
                     if row["settled"]:
-                        yield from repeats.back(ids, keys, routed)
+                        yield from repeats.back(ids, keys, buckets)
                     else:
                         anchors = np.frombuffer(row["anchors"], np.uint32)
                         waiting.append((ids, keys, anchors))
@@ -135,17 +135,17 @@ class ByteRuns:
             ids, keys, anchors = map(np.concatenate, zip(*waiting))
             waiting.clear()
             chosen, settled = self.distinct(ids, keys)
-            yield from repeats.back(*settled, routed)
+            yield from repeats.back(*settled, buckets)
             chosen = with_partner(chosen, anchors)
             spans = np.zeros(len(chosen), SPANS)
             spans["key"] = keys[chosen]
             _, anchor, counts = np.unique(anchors[chosen], return_inverse=True, return_counts=True)
             spans["start"] = counts[anchor] > self.hot
-            yield from repeats.back(ids[chosen], spans, routed)
+            yield from repeats.back(ids[chosen], spans, buckets)
 
         return run
 
-    def spread(self, routed: np.ndarray):
+    def spread(self, buckets: int):
         """Texts with their requests to bundles of the pieces asked for; of
         pieces around a hot anchor, which ``start`` of a request tells, of
         their windows' hashes."""
@@ -169,7 +169,7 @@ class ByteRuns:
                         ))
                         hot_size += len(at)
                         if hot_size >= repeats.GROUP_KEYS:
-                            yield from self._send_windows(*map(np.concatenate, zip(*hot)), routed)
+                            yield from self._send_windows(*map(np.concatenate, zip(*hot)), buckets)
                             hot, hot_size = [], 0
                     asked = (spans["count"] == 0) & (spans["start"] == 0)
                     shared = repeats.held_by_row(found.rows, found.keys, rows[asked], spans["key"][asked])
@@ -179,46 +179,46 @@ class ByteRuns:
                     waiting.append((ids, found.keys[shared], found.anchors[shared], sizes, data[at]))
                     size += len(at)
                     if size >= BATCH_BYTES:
-                        yield from self._send(*map(np.concatenate, zip(*waiting)), routed)
+                        yield from self._send(*map(np.concatenate, zip(*waiting)), buckets)
                         waiting, size = [], 0
             if size:
-                yield from self._send(*map(np.concatenate, zip(*waiting)), routed)
+                yield from self._send(*map(np.concatenate, zip(*waiting)), buckets)
             if hot_size:
-                yield from self._send_windows(*map(np.concatenate, zip(*hot)), routed)
+                yield from self._send_windows(*map(np.concatenate, zip(*hot)), buckets)
 
         return run
 
-    def _send_windows(self, ids, keys, starts, windows, routed) -> Iterator[pa.RecordBatch]:
+    def _send_windows(self, ids, keys, starts, windows, buckets) -> Iterator[pa.RecordBatch]:
         """Windows of pieces by their own hashes; those that a smaller id of
         the batch holds are settled."""
         later = later_windows(ids, windows)
         rows = []
         if later.any():
-            rows.append(self._bundle(int(routed[windows[0] % np.uint64(len(routed))]), True, *single(ids, keys, starts, later)))
-        shares = (windows >> np.uint64(32)) * np.uint64(len(routed)) >> np.uint64(32)
+            rows.append(self._bundle(int(windows[0] % np.uint64(buckets)), True, *single(ids, keys, starts, later)))
+        shares = (windows >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         left = np.flatnonzero(~later)
         left = left[np.argsort(shares[left], kind="stable")]
         cuts = np.flatnonzero(np.concatenate([[True], shares[left][1:] != shares[left][:-1], [True]]))
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = left[a:b]
-            rows.append(self._bundle(int(routed[shares[own[0]]]), False, ids[own], keys[own]) | {
+            rows.append(self._bundle(int(shares[own[0]]), False, ids[own], keys[own]) | {
                 "anchors": windows[own].tobytes(), "sizes": starts[own].astype(np.uint32).tobytes(),
             })
         yield from repeats.in_batches(rows, _SCHEMA)
 
-    def _send(self, ids, keys, anchors, sizes, data, routed) -> Iterator[pa.RecordBatch]:
+    def _send(self, ids, keys, anchors, sizes, data, buckets) -> Iterator[pa.RecordBatch]:
         chosen, settled = self.distinct(ids, keys)
         rows = [self._bundle(0, True, *settled)] if len(settled[0]) else []
         if rows:
-            rows[0]["bucket"] = int(routed[keys[0] % np.uint64(len(routed))])
+            rows[0]["bucket"] = int(keys[0] % np.uint64(buckets))
         begins = np.cumsum(sizes) - sizes
-        shares = (anchors[chosen] >> np.uint64(32)) * np.uint64(len(routed)) >> np.uint64(32)
+        shares = (anchors[chosen] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         order = np.argsort(shares, kind="stable")
         chosen, shares = chosen[order], shares[order]
         cuts = np.flatnonzero(np.concatenate([[True], shares[1:] != shares[:-1], [True]])) if len(chosen) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             own = chosen[a:b]
-            sent = self._bundle(int(routed[shares[a]]), False, ids[own], keys[own])
+            sent = self._bundle(int(shares[a]), False, ids[own], keys[own])
             if data is None:
                 sent |= {"anchors": anchors[own].astype(np.uint32).tobytes()}
             else:
@@ -245,12 +245,12 @@ class ByteRuns:
         spans["key"], spans["count"] = keys[later], WHOLE
         return chosen, (ids[later], spans)
 
-    def gather(self, routed: np.ndarray):
+    def gather(self, buckets: int):
         """Bundles of pieces to spans on their way back to their documents."""
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for ids, spans in self.merged(batches):
-                yield from repeats.back(ids, spans, routed)
+                yield from repeats.back(ids, spans, buckets)
 
         return run
 
@@ -389,20 +389,20 @@ def byte_dedup(
     method = ByteRuns(size, anchor, hot)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
-    routed = repeats.routes(docs.sparkSession, repeats.reducers(source))
+    buckets = repeats.reducers(source)
     whole = (
-        source.mapInArrow(method.hashes(routed), PIECES)
-        .repartition(len(routed), "bucket")
-        .mapInArrow(method.compare(routed), repeats.BUNDLE)
+        source.mapInArrow(method.hashes(buckets), PIECES)
+        .repartitionById(buckets, "bucket")
+        .mapInArrow(method.compare(buckets), repeats.BUNDLE)
     )
-    whole = repeats.delivered(whole, len(routed), SPANS)
+    whole = repeats.delivered(whole, buckets, SPANS)
     spans = (
         repeats.with_keys(source, whole, "inner")
-        .mapInArrow(method.spread(routed), PIECES)
-        .repartition(len(routed), "bucket")
-        .mapInArrow(method.gather(routed), repeats.BUNDLE)
+        .mapInArrow(method.spread(buckets), PIECES)
+        .repartitionById(buckets, "bucket")
+        .mapInArrow(method.gather(buckets), repeats.BUNDLE)
     )
-    spans = repeats.delivered(spans, len(routed), SPANS)
+    spans = repeats.delivered(spans, buckets, SPANS)
     kinds = f"{ID} long, __row {runs.rest_type(source)}, __bytes long, __removed long, __spans long, __kept binary"
     return (
         source.join(whole, ID, "left").join(spans.withColumnRenamed("__keys", "__more"), ID, "left")

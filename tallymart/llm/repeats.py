@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.textcore import LAST_ID, column_bytes, mixed
@@ -54,19 +54,6 @@ def behind(text_col: str) -> Column:
     return F.lit(LAST_ID) - F.xxhash64(F.col(text_col).cast("string")).bitwiseAND(F.lit(2**60 - 1))
 
 
-def routes(spark: SparkSession, buckets: int) -> np.ndarray:
-    """For each bucket the number that hash partitioning sends to a partition
-    of its own, so that equal buckets make equal partitions."""
-    found: dict[int, int] = {}
-    begin, size = 0, 16 * buckets
-    while len(found) < buckets:
-        numbers = spark.range(begin, begin + size).select(F.col("id").cast("int").alias("v"))
-        rows = numbers.groupBy(F.pmod(F.hash("v"), F.lit(buckets)).alias("p")).agg(F.min("v").alias("v")).collect()
-        found = {r.p: r.v for r in rows} | found
-        begin += size
-    return np.array([found[p] for p in range(buckets)], np.int32)
-
-
 def reducers(docs: DataFrame) -> int:
     """Partitions for the keys of these texts: in proportion to their bytes."""
     size = docs.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0
@@ -117,14 +104,14 @@ BUNDLE_SCHEMA = pa.schema([
 ])
 
 
-def by_bucket(shares: np.ndarray, values: np.ndarray, ids: np.ndarray, keys: np.ndarray, routed: np.ndarray) -> list[dict]:
+def by_bucket(shares: np.ndarray, values: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> list[dict]:
     """Bundles of (id, key), one for each bucket; ``shares``: where values part."""
     order = np.argsort(values, kind="stable")
     edges = np.concatenate([[0], np.searchsorted(values[order], shares), [len(order)]])
     rows = []
     for bucket in np.flatnonzero(np.diff(edges)):
         part = order[edges[bucket]:edges[bucket + 1]]
-        rows.append(_bundle(int(routed[bucket]), False, ids[part], keys[part]))
+        rows.append(_bundle(int(bucket), False, ids[part], keys[part]))
     return rows
 
 
@@ -133,16 +120,16 @@ def shares_of(buckets: int) -> np.ndarray:
     return (np.arange(1, buckets, dtype=object) * 2**64 // buckets).astype(np.uint64)
 
 
-def _send(ids: np.ndarray, keys: np.ndarray, later: bool, routed: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _send(ids: np.ndarray, keys: np.ndarray, later: bool, buckets: int) -> Iterator[pa.RecordBatch]:
     sorted_keys, sorted_ids, starts, smallest, held = judged(ids, keys, later)
     unique = sorted_keys[starts]
-    rows = by_bucket(shares_of(len(routed)), unique, smallest, unique, routed)
+    rows = by_bucket(shares_of(buckets), unique, smallest, unique)
     if held.any():
-        rows.append(_bundle(int(routed[sorted_keys[0] % np.uint64(len(routed))]), True, sorted_ids[held], sorted_keys[held]))
+        rows.append(_bundle(int(sorted_keys[0] % np.uint64(buckets)), True, sorted_ids[held], sorted_keys[held]))
     yield from in_batches(rows, BUNDLE_SCHEMA)
 
 
-def spread(extract: Extract, later: bool, routed: np.ndarray):
+def spread(extract: Extract, later: bool, buckets: int):
     """For ``mapInArrow``: texts to bundles of keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +140,10 @@ def spread(extract: Extract, later: bool, routed: np.ndarray):
                     waiting.append((ids, keys))
                     size += len(keys)
                 if size >= GROUP_KEYS:
-                    yield from _send(*map(np.concatenate, zip(*waiting)), later, routed)
+                    yield from _send(*map(np.concatenate, zip(*waiting)), later, buckets)
                     waiting, size = [], 0
         if size:
-            yield from _send(*map(np.concatenate, zip(*waiting)), later, routed)
+            yield from _send(*map(np.concatenate, zip(*waiting)), later, buckets)
 
     return run
 
@@ -174,13 +161,13 @@ def by_id(ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[starts]), values], [ID, "__keys"])
 
 
-def back(ids: np.ndarray, keys: np.ndarray, routed: np.ndarray) -> Iterator[pa.RecordBatch]:
+def back(ids: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Keys on their way to their documents: bundles by a hash of the id."""
     values = mixed(ids.astype(np.uint64))
-    yield from in_batches(by_bucket(shares_of(len(routed)), values, ids, keys, routed), BUNDLE_SCHEMA)
+    yield from in_batches(by_bucket(shares_of(buckets), values, ids, keys), BUNDLE_SCHEMA)
 
 
-def gather(later: bool, routed: np.ndarray):
+def gather(later: bool, buckets: int):
     """For ``mapInArrow``: judges the bundles of a partition, sends keys back."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,13 +176,13 @@ def gather(later: bool, routed: np.ndarray):
             for row in batch.to_pylist():
                 ids, keys = unbundled(row)
                 if row["settled"]:
-                    yield from back(ids, keys, routed)
+                    yield from back(ids, keys, buckets)
                 else:
                     waiting.append((ids, keys))
         if waiting:
             ids, keys = map(np.concatenate, zip(*waiting))
             sorted_keys, sorted_ids, _, _, held = judged(ids, keys, later)
-            yield from back(sorted_ids[held], sorted_keys[held], routed)
+            yield from back(sorted_ids[held], sorted_keys[held], buckets)
 
     return run
 
@@ -212,16 +199,15 @@ def sorted_by_id(kind: type = np.uint64):
 
 
 def delivered(bundles: DataFrame, buckets: int, kind: type = np.uint64) -> DataFrame:
-    return bundles.repartition(buckets, "bucket").mapInArrow(sorted_by_id(kind), FOUND)
+    return bundles.repartitionById(buckets, "bucket").mapInArrow(sorted_by_id(kind), FOUND)
 
 
-def shared_keys(docs: DataFrame, extract: Extract, later: bool, routed: np.ndarray) -> DataFrame:
+def shared_keys(docs: DataFrame, extract: Extract, later: bool, buckets: int) -> DataFrame:
     """(id, __keys binary): the keys of a document that others hold too."""
-    buckets = len(routed)
     judged_keys = (
-        docs.mapInArrow(spread(extract, later, routed), BUNDLE)
-        .repartition(buckets, "bucket")
-        .mapInArrow(gather(later, routed), BUNDLE)
+        docs.mapInArrow(spread(extract, later, buckets), BUNDLE)
+        .repartitionById(buckets, "bucket")
+        .mapInArrow(gather(later, buckets), BUNDLE)
     )
     return delivered(judged_keys, buckets)
 
