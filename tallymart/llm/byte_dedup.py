@@ -9,7 +9,8 @@ asked for their bytes. The pieces of one reducer are cut into shards, each shard
 gets its Burrows-Wheeler transform, and the transforms are merged by refining
 their interleave until it is right for ``size`` bytes. The blocks that are left
 are the shared windows. Where too many pieces have one anchor, hashes of their
-windows are sent instead, each to its own reducer.
+windows are sent instead, each to its own reducer. Around an anchor with more
+pieces than a reducer takes, their hashes too are parted, each by itself.
 
 Defined results: NULL text is empty, a NULL id comes last, rows that share an
 id never count against each other, other columns are passed on in ``row``,
@@ -19,7 +20,7 @@ under any names. Texts may be of any length; an empty table has an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,10 @@ BATCH_BYTES = 4 << 20
 
 #: distinct pieces around one anchor beyond which their windows are compared one by one
 HOT_PIECES = 4096
+#: distinct pieces around one anchor beyond which no reducer takes all their hashes
+PARTED_PIECES = 1 << 19
+#: one of so many texts is looked at to find such anchors
+LOOKED_AT = 64
 
 PIECES = "bucket int, settled boolean, ids binary, places binary, keys binary, anchors binary, sizes binary, pieces binary"
 _SCHEMA = pa.schema([
@@ -72,6 +77,22 @@ class ByteRuns:
     size: int
     anchor: int
     hot: int = HOT_PIECES
+    #: lower halves of the anchors whose piece hashes go to reducers by themselves
+    parted: tuple[int, ...] = ()
+
+    def is_parted(self, anchors: np.ndarray) -> np.ndarray:
+        return np.isin(anchors.astype(np.uint32), np.array(self.parted, np.uint32))
+
+    def piece_names(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts to (anchor, key) of each distinct piece of a slice."""
+        for batch in batches:
+            for part in textcore.slices(batch, TEXT):
+                found = self.pieces(*textcore.column_bytes(part.column(TEXT)))
+                _, first = np.unique(found.keys, return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.anchors[first].astype(np.uint32).astype(np.int64)), pa.array(found.keys[first].view(np.int64))],
+                    ["anchor", "key"],
+                )
 
     def pieces(self, data: np.ndarray, bounds: np.ndarray) -> Pieces:
         none = np.zeros(0, np.int64)
@@ -136,11 +157,12 @@ class ByteRuns:
             waiting.clear()
             chosen, settled = self.distinct(ids, keys)
             yield from repeats.back(*settled, buckets)
-            chosen = with_partner(chosen, anchors)
+            parted = self.is_parted(anchors[chosen])
+            chosen = np.concatenate([with_partner(chosen[~parted], anchors), chosen[parted]])
             spans = np.zeros(len(chosen), SPANS)
             spans["key"] = keys[chosen]
             _, anchor, counts = np.unique(anchors[chosen], return_inverse=True, return_counts=True)
-            spans["start"] = counts[anchor] > self.hot
+            spans["start"] = (counts[anchor] > self.hot) | self.is_parted(anchors[chosen])
             yield from repeats.back(ids[chosen], spans, buckets)
 
         return run
@@ -212,7 +234,10 @@ class ByteRuns:
         if rows:
             rows[0]["bucket"] = int(keys[0] % np.uint64(buckets))
         begins = np.cumsum(sizes) - sizes
-        shares = (anchors[chosen] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        routes = anchors[chosen]
+        if data is None:
+            routes = np.where(self.is_parted(routes), keys[chosen], routes)
+        shares = (routes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         order = np.argsort(shares, kind="stable")
         chosen, shares = chosen[order], shares[order]
         cuts = np.flatnonzero(np.concatenate([[True], shares[1:] != shares[:-1], [True]])) if len(chosen) else []
@@ -375,21 +400,38 @@ def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def crowded_anchors(source: DataFrame, method: ByteRuns, parted: int, looked_at: int) -> tuple[int, ...]:
+    """Lower halves of the anchors with more than ``parted`` distinct pieces, by
+    one of ``looked_at`` texts.
+
+    This says only where hashes meet; all are compared, whatever is found. As a
+    piece takes some 16 bytes of text, there is at most one such anchor for each
+    ``16 * parted`` bytes.
+    """
+    some = source.select(TEXT).where(F.pmod(F.xxhash64(ID, TEXT), F.lit(looked_at)) == 0)
+    pieces = some.mapInArrow(method.piece_names, "anchor long, key long").distinct()
+    found = pieces.groupBy("anchor").count().where(F.col("count") > parted // looked_at).collect()
+    return tuple(sorted(r.anchor for r in found))
+
+
 def byte_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20, hot: int = HOT_PIECES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50, anchor: int = 20,
+    hot: int = HOT_PIECES, parted: int = PARTED_PIECES, looked_at: int = LOOKED_AT,
 ) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept): ``kept`` are the remaining bytes.
 
     ``size`` is even; ``anchor`` is shorter. A longer anchor is rarer by chance
     and gives more pieces. More than ``hot`` pieces around one anchor are compared
-    by the hashes of their windows.
+    by the hashes of their windows; beyond ``parted``, an estimate from one of
+    ``looked_at`` texts, their own hashes are spread as well.
     """
     if size % 2 or not 8 <= anchor <= size - 1:
         raise ValueError("size must be even, the anchor from 8 bytes to less than the size")
-    method = ByteRuns(size, anchor, hot)
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("__row")
     source = repeats.texts(docs, id_col, text_col, rest)
     buckets = repeats.reducers(source)
+    method = ByteRuns(size, anchor, hot)
+    method = replace(method, parted=crowded_anchors(source, method, parted, looked_at))
     whole = (
         source.mapInArrow(method.hashes(buckets), PIECES)
         .repartitionById(buckets, "bucket")

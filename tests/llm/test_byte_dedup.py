@@ -1,11 +1,13 @@
 """Shared byte strings against brute force; merged transforms against sorting."""
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tallymart.llm import bwt, repeats
-from tallymart.llm.byte_dedup import SPANS, ByteRuns, byte_dedup
+from tallymart.llm.byte_dedup import SPANS, ByteRuns, byte_dedup, crowded_anchors
 from tallymart.llm.repeats import ID, TEXT
 from tests.llm.cases import edge_texts, frame, place
 
@@ -73,6 +75,41 @@ def test_hot_anchor(spark):
     assert got == expected(texts, size) and any(r[2] for r in got)
 
 
+@pytest.mark.parametrize("seed, looked_at", [(1, 1), (2, 2)])
+def test_parted_anchors(spark, seed, looked_at):
+    """Hashes around crowded anchors by themselves, around all of them or some."""
+    texts = edge_texts(seed) + [(400, "ab" * 90), (401, "ba" * 70), (402, "x" * 200), (403, "x" * 120)]
+    found = byte_dedup(frame(spark, texts), parted=looked_at, looked_at=looked_at)
+    got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()), key=repr)
+    assert got == expected(texts, 50)
+
+
+def test_hashes_around_a_crowded_anchor_are_spread(spark):
+    """One phrase in all documents: without parting one reducer gets its pieces."""
+    rng = np.random.default_rng(4)
+
+    def noise(n):
+        return bytes(rng.integers(97, 123, n).astype(np.uint8)).decode()
+
+    texts = [(i, noise(6) + "in witness whereof the parties have signed it" + noise(6)) for i in range(400)]
+    source = repeats.texts(frame(spark, texts), "doc_id", "text")
+    method, buckets = ByteRuns(50, 20), 16
+    crowded = crowded_anchors(source, method, 100, 1)
+
+    def largest(parted):
+        sent = replace(method, parted=parted).hashes(buckets)([
+            pa.RecordBatch.from_pydict({ID: [i for i, _ in texts], TEXT: [t for _, t in texts]})
+        ])
+        pieces = np.zeros(buckets, int)
+        for batch in sent:
+            for row in batch.to_pylist():
+                pieces[row["bucket"]] += len(repeats.unbundled(row)[1])
+        return pieces.max() / pieces.sum()
+
+    assert 0 < len(crowded) < 10
+    assert largest(()) > 0.3 and largest(crowded) < 0.12
+
+
 def test_empty_table(spark):
     assert byte_dedup(frame(spark, [])).count() == 0
 
