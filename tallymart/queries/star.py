@@ -9,7 +9,7 @@ from tallymart.operators import quality
 from tallymart.operators.project import rename_present
 from tallymart.plans import analytics, bronze, gold, run, silver, spec
 from tallymart.queries import star_sql as sql
-from tallymart.queries.fixture import AS_OF_YEAR, geography, star
+from tallymart.queries.fixture import AS_OF_YEAR, TWICE_YEAR, geography, star
 from tallymart.queries.registry import Tables, query
 from tallymart.session import scratch_path
 from tallymart.sources.audit import Audit
@@ -489,3 +489,97 @@ def serving_counts(t: Tables) -> DataFrame:
     out = scratch_path(t.spark, "published")
     run.serve(s, Audit(s), lambda df, name: df.write.parquet(f"{out}/{name}"))
     return run.serving_audit(s, lambda name: t.spark.read.parquet(f"{out}/{name}"))
+
+
+# --- the run's log, its tables in the catalog, a layer that starts anew -------
+
+_RAW = {
+    "dwelling": "orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey",
+    "member": "orders",
+    "education": "lineitem JOIN orders ON o_orderkey = l_orderkey",
+}
+_REFERENCE = {"departments": "region", "sheet_towns": "nation", "database_towns": "supplier"}
+_GOLD = {
+    t: "fact" if t == "fact_survey" else t
+    for t in (*run.DIMENSION_KEYS, "fact_survey", "kpi_scholarships_yearly", "kpi_living_conditions")
+}
+
+
+def _history() -> str:
+    """Loads, rows read and rows stored of every step."""
+    twice = f"count(*) FILTER (year(o_orderdate) = {TWICE_YEAR})"
+    raw = [
+        f"SELECT 'bronze' AS layer, '{m}' AS table_name, count(DISTINCT year(o_orderdate)) + 1 AS loads, "
+        f"count(*) + {twice} AS rows_in, count(*) + {twice} AS rows_out FROM {rows}" for m, rows in _RAW.items()
+    ] + [f"SELECT 'bronze', '{t}', 1, count(*), count(*) FROM {rows}" for t, rows in _REFERENCE.items()]
+    clean = [f"SELECT 'silver', '{m}', 1, (SELECT count(*) FROM {rows}), count(*) FROM {m}" for m, rows in _RAW.items()]
+    whole = [("silver", "person", "person"), *[("gold", t, rows) for t, rows in _GOLD.items()]]
+    return " UNION ALL ".join([
+        *raw, *clean, *[f"SELECT '{layer}', '{t}', 1, count(*), count(*) FROM {rows}" for layer, t, rows in whole]
+    ])
+
+
+@query(sql.over(sql=f"""
+SELECT layer, table_name, loads, CAST(rows_in AS BIGINT) AS rows_in, CAST(rows_out AS BIGINT) AS rows_out,
+       loads AS ended_well, true AS timed
+FROM ({_history()})
+"""))
+def run_history(t: Tables) -> DataFrame:
+    """What the log of the star's own run says of each table of the survey."""
+    runs = Audit(star(t)).runs()
+    own = runs.orderBy("started_at").head().run_id
+    timed = (F.col("ended_at") >= F.col("started_at")) & (F.col("seconds") >= 0)
+    chosen = runs.filter((F.col("run_id") == own) & F.col("layer").isin("bronze", "silver", "gold"))
+    return chosen.filter("table_name <> 'indicator_sums'").groupBy("layer", "table_name").agg(
+        F.count("*").alias("loads"), F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"),
+        F.count_if(F.col("status") == "OK").alias("ended_well"), F.every(timed).alias("timed"),
+    )
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {rows}" for t, rows in (_RAW | _REFERENCE).items()
+) + " UNION ALL SELECT 'not_loaded', NULL")
+def raw_row_check(t: Tables) -> DataFrame:
+    """Rows of each raw table, NULL for one that was never loaded."""
+    found = bronze.row_check(star(t), [*_RAW, *_REFERENCE, "not_loaded"])
+    return t.spark.createDataFrame(list(found.items()), "table_name string, row_count bigint")
+
+
+@query(sql.over(sql=" UNION ALL ".join(
+    f"SELECT 'gold' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {rows}" for t, rows in _GOLD.items()
+) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT 'silver', '{t}', count(*) FROM {t}" for t in ("dwelling", "member", "education", "person")
+)))
+def catalog_counts(t: Tables) -> DataFrame:
+    """The registered tables, as the catalog lists them, and their rows by SQL."""
+    prefix = "listed_" + "".join(c if c.isalnum() else "_" for c in t.folder.rsplit("/", 1)[-1])
+    listing = star(t).register(prefix).filter("table_name <> 'indicator_sums'").collect()
+    layers = {f"{prefix}_{layer}": layer for layer in ("silver", "gold")}
+    return quality.stack([
+        t.spark.sql(f"SELECT '{layers[r.schema_name]}' AS layer, '{r.table_name}' AS table_name, count(*) AS row_count "
+                    f"FROM {r.schema_name}.{r.table_name}")
+        for r in listing if r.schema_name in layers
+    ])
+
+
+@query("""
+SELECT 'gold' AS layer, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS survey_year FROM orders WHERE year(o_orderdate) >= 1998
+UNION ALL
+SELECT 'silver', o_orderkey, CAST(year(o_orderdate) AS INTEGER) FROM orders WHERE year(o_orderdate) < 1998
+""")
+def reset_layer(t: Tables) -> DataFrame:
+    """Two layers with the early years; one is reset and loaded with the late
+    years alone, the other keeps its rows."""
+    layers = Layers(t.spark, scratch_path(t.spark, "reset"))
+    orders = t.orders.select("o_orderkey", F.year("o_orderdate").alias("survey_year"))
+    early = orders.filter("survey_year < 1998")
+    for layer in ("silver", "gold"):
+        layers.write(early, layer, "orders", partition_by=["survey_year"])
+    layers.reset("gold")
+    if layers.read_optional("gold", "orders") is not None:
+        raise RuntimeError("a layer that was reset still has its table")
+    layers.write(orders.filter("survey_year >= 1998"), "gold", "orders", mode="append", partition_by=["survey_year"])
+    return quality.stack([
+        layers.read(layer, "orders").select(F.lit(layer).alias("layer"), "o_orderkey", "survey_year")
+        for layer in ("silver", "gold")
+    ])
