@@ -1,11 +1,14 @@
-"""Texts whose sets of word shingles are alike: MinHash cells, exact Jaccard.
-
-A text is the set of its shingles, equal sets are one node. Of 80 minima of
-hashed shingles four each are a cell; two sets with a Jaccard similarity of 0.8
-have none of the 20 cells in common once in 38,000 pairs. What meets in a cell
-is compared by its whole sets, so each link is exact. Cells with the same
-members are compared once, and a crowded cell is cut into blocks of which each
-two are compared, so a task holds two blocks at most.
+"""Texts whose sets of word shingles are alike: SimHash links, exact Jaccard.
+
+A text is the set of its shingles, equal sets are one node. Nodes whose
+fingerprints over pairs of words are linked by the grid of
+``tallymart.llm.simhash`` (five bits at most) are candidates. Similar sets can
+differ in more bits than a grid can carry, so MinHash adds candidates: of 80
+minima of hashed shingles four each are a cell; two sets with a Jaccard
+similarity of 0.8 have none of the 20 cells in common once in 38,000 pairs.
+What meets either way is compared by its whole sets, so each link is exact.
+Cells with the same members are compared once, and a crowded cell is cut into
+blocks of which each two are compared, so a task holds two blocks at most.
 
 Defined results: NULL text has no words; texts without words are one group; one
 of fewer words than a shingle is a single shingle. A row without an id joins the
@@ -23,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm import components, textcore
+from tallymart.llm import components, simhash, textcore
 from tallymart.llm.repeats import TEXT
 from tallymart.llm.store import stored
 
+#: words of a fingerprint's shingle, and bits in which linked fingerprints may differ
+FP_SHINGLE, FP_BITS = 2, 5
 BANDS, ROWS = 20, 4
 #: nodes of a cell that are compared with each other, or with as many others, in one go
 BLOCK_NODES = 1024
@@ -76,9 +81,12 @@ def _marked(shingle: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in textcore.slices(batch, TEXT):
-                nodes, cells = signed(*shingle_sets(*textcore.column_bytes(part.column(TEXT)), shingle))
+                data, bounds = textcore.column_bytes(part.column(TEXT))
+                nodes, cells = signed(*shingle_sets(data, bounds, shingle))
+                found = simhash.fingerprints_of(data, bounds, FP_SHINGLE).view(np.int64)
                 yield pa.RecordBatch.from_pydict(
-                    {n: part.column(n) for n in part.schema.names} | {"__node": pa.array(nodes), "__cells": cells}
+                    {n: part.column(n) for n in part.schema.names}
+                    | {"__node": pa.array(nodes), "__cells": cells, "__fp": pa.array(found)}
                 )
 
     return run
@@ -164,6 +172,17 @@ def meetings(nodes: DataFrame) -> DataFrame:
     )
 
 
+def linked_pairs(nodes: DataFrame) -> DataFrame:
+    """(cell, low, high, node), two rows for each pair that fingerprints link,
+    from (node, fp). Nodes of one fingerprint are linked to the least of them."""
+    least = stored(nodes.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
+    equal = nodes.join(least.withColumnRenamed("node", "a"), "fp").where("node <> a").select("a", F.col("node").alias("b"))
+    pairs = simhash.links(least, FP_BITS).unionByName(equal)
+    once = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = once.select(F.xxhash64("a", "b").alias("cell"), F.explode(F.array("a", "b")).alias("node"))
+    return ends.select("cell", F.lit(-1).alias("low"), F.lit(-1).alias("high"), "node")
+
+
 def first_of_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """Of each group of alike texts the row with the smallest ``doc_id``.
 
@@ -172,14 +191,14 @@ def first_of_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> Da
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row")
     source = docs.select(rest, F.col("text").cast("string").alias(TEXT))
-    kinds = f"__row {source.schema['__row'].dataType.simpleString()}, {TEXT} string, __node long, __cells array<long>"
+    kinds = f"__row {source.schema['__row'].dataType.simpleString()}, {TEXT} string, __node long, __cells array<long>, __fp long"
     marked = stored(source.mapInArrow(_marked(shingle), kinds).select(
         F.col("__row").alias("row"), F.col(TEXT), F.col("__node").alias("node"), F.col("__cells").alias("cells"),
-        F.monotonically_increasing_id().alias("place"),
+        F.col("__fp").alias("fp"), F.monotonically_increasing_id().alias("place"),
     ), "marked")
-    nodes = marked.groupBy("node").agg(F.min("place").alias("place"), F.first("cells").alias("cells"))
+    nodes = marked.groupBy("node").agg(F.min("place").alias("place"), F.first("cells").alias("cells"), F.min("fp").alias("fp"))
     nodes = stored(nodes, "nodes")
-    meet = stored(meetings(nodes), "meetings")
+    meet = stored(meetings(nodes).unionByName(linked_pairs(nodes.select("node", "fp"))), "meetings")
     asked = meet.select("node").distinct().join(nodes.select("node", "place"), "node")
     sets = marked.select("place", TEXT).join(asked, "place").mapInArrow(_sets(shingle), "node long, keys binary")
     group = ("cell", "low", "high")

@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from tallymart.llm import near_copies
 from tests.llm.cases import edge_texts, frame, words_of
-from tests.llm.test_simhash import groups
+from tests.llm.test_simhash import groups, plain_fingerprint
 
 
 def shingles(text):
@@ -49,6 +49,27 @@ def test_stage(spark, monkeypatch, seed, block):
     assert len(set(root.values())) < len(root)
 
 
+def test_links_of_fingerprints(spark, monkeypatch):
+    """What fingerprints link is found without any MinHash cell, and is verified."""
+    every = near_copies.meetings
+    monkeypatch.setattr(near_copies, "meetings", lambda nodes: every(nodes).limit(0))
+    texts = [(i, t) for i, t in near_texts(5) if i is not None and t]
+    # the same words in another order have few or no shingles in common
+    swapped = "one two " * 40
+    texts += [(3000, swapped + "a b c d e"), (3001, "two one " * 3 + swapped + "f g h i j")]
+    sets, fps = [shingles(t) for _, t in texts], [plain_fingerprint(t, 2) for _, t in texts]
+    least = {s: min(i for (i, _), o in zip(texts, sets) if o == s) for s in set(sets)}
+    fp = {s: {f for f, o in zip(fps, sets) if o == s} for s in least}
+    own = [s for s in least if len(fp[s]) == 1]
+    alike = [
+        (a, b) for a in own for b in own if a is not b
+        and (next(iter(fp[a])) ^ next(iter(fp[b]))).bit_count() <= 5 and len(a & b) >= 0.8 * len(a | b)
+    ]
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(spark, texts), "").collect()}
+    assert len(alike) > 20
+    assert not [1 for a, b in alike if least[a] in got and least[b] in got]
+
+
 def test_long_repeated_and_no_texts(spark):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(110_000)]
