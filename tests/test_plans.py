@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tallymart.plans import analytics, gold, silver
+from tallymart.plans import analytics, bronze, gold, silver
 from tallymart.plans import codebook as codes
 from tallymart.plans import spec
 from tallymart.queries import fixture, queries
@@ -124,3 +124,22 @@ def test_regional_indicator_joins_sums_not_rows(star, plan):
         star.read("gold", "fact_survey"), star.read("gold", "dim_location")
     ))
     assert text.index("Join") < text.index("HashAggregate")
+
+
+def test_one_module_is_loaded_alone(spark, monkeypatch):
+    """A query of one module does not build the star; the star then goes on."""
+    monkeypatch.setattr(fixture, "_stars", {})
+    t = Tables(spark, FOLDER)
+    layers = fixture.raw(t, "dwelling")
+    assert layers.exists("bronze", "dwelling")
+    assert not any(layers.exists("bronze", m) for m in ("member", "education", "departments"))
+    assert not layers.exists("silver", "dwelling")
+    before = fixture._begun(t).audit.yearly_loads().count()
+    fixture.raw(t, "dwelling")
+    assert fixture._begun(t).audit.yearly_loads().count() == before == 7
+
+
+def test_raw_rows_are_scanned_in_small_pieces(spark, star):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    bronze.read_module(star, "education")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
