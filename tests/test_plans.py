@@ -4,11 +4,14 @@ import re
 
 import pytest
 
-from tallymart.plans import analytics, bronze, gold, silver
+from tallymart.plans import analytics, bronze, gold, run, silver
 from tallymart.plans import codebook as codes
 from tallymart.plans import spec
 from tallymart.queries import fixture, queries
 from tallymart.queries.registry import Tables
+from tallymart.session import small_scans
+from tallymart.sources.delimited import read_delimited
+from tallymart.sources.tables import Layers
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -143,3 +146,68 @@ def test_raw_rows_are_scanned_in_small_pieces(spark, star):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     bronze.read_module(star, "education")
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_a_query_builds_only_what_it_reads(spark, monkeypatch):
+    """The dwellings' dimension needs no persons; what is built later is built once."""
+    monkeypatch.setattr(fixture, "_stars", {})
+    t = Tables(spark, FOLDER)
+    risk = queries()["risk_share_by_region"](spark, FOLDER)
+    layers = fixture._begun(t).layers
+    assert risk.count() > 0
+    there = {n for layer in ("silver", "gold") for n in layers._stored(layer)}
+    assert there == {"dwelling", "dim_dwelling"}
+    assert not any(layers.exists("bronze", m) for m in ("member", "education", "departments"))
+    fixture.star(t, "kpi_living_conditions")
+    assert not layers.exists("gold", "dim_person")
+    fixture.star(t)
+    log = fixture._begun(t).audit.runs().filter("layer IN ('ref', 'silver', 'gold')").collect()
+    assert sorted(r.table_name for r in log) == sorted(run.MADE_OF)
+
+
+def test_each_table_is_made_of_those_named(star, monkeypatch):
+    """Builds read no table that ``run.MADE_OF`` leaves out."""
+    read, current = {}, []
+    plain = Layers.read
+
+    def noted(self, layer, table, *rest):
+        read.setdefault(current[-1], set()).add((layer, table))
+        return plain(self, layer, table, *rest)
+
+    def step(self, layer, table, make, *rest, **options):
+        current.append(table)
+        make()
+
+    monkeypatch.setattr(run, "together", lambda spark, steps: [s() for s in steps])
+    monkeypatch.setattr(run.Builder, "build", step)
+    monkeypatch.setattr(Layers, "read", noted)
+    b = run.Builder(star, None)
+    run.build_silver(b)
+    run.build_gold(b, fixture.AS_OF_YEAR)
+    made = {t: {n for layer, n in found if layer != "bronze"} for t, found in read.items()}
+    assert {t: made.get(t, set()) for t in run.MADE_OF} == {
+        t: set(of) if t != "dim_time" else set() for t, of in run.MADE_OF.items()  # reads only the names of folders
+    }
+
+
+def test_survey_text_is_written_once(spark, monkeypatch, tmp_path):
+    """One write for each module; only the peculiar years are written again."""
+    written, plain = [], fixture._write_text
+    monkeypatch.setattr(fixture, "_write_text", lambda rows, path, *by: (written.append(path), plain(rows, path, *by)))
+    years = fixture.write_survey(Tables(spark, FOLDER), str(tmp_path))
+    assert len(written) == 3 * (1 + 2) < 3 * len(years)
+    dwelling = {y: read_delimited(spark, f"{tmp_path}/{y}/{bronze.FILE_STEMS['dwelling']}{y}.csv").columns for y in years}
+    usual = dwelling[fixture.TWICE_YEAR]
+    assert usual[0] == "DIRECTORIO" and "REGION" in usual
+    assert "REGION" not in dwelling[fixture.NO_REGION_YEAR]
+    assert dwelling[fixture.OTHER_ORDER_YEAR] == usual[::-1]
+
+
+def test_shuffled_bytes_of_a_task_are_bounded_where_the_session_names_none(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    small_scans(other)
+    assert other.conf.get(name) == "16m"
+    other.conf.set(name, "8m")
+    small_scans(other)
+    assert other.conf.get(name) == "8m"
