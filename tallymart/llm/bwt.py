@@ -1,11 +1,13 @@
 """Burrows-Wheeler transforms of shards of strings, merged by interleaving.
 
 A shard is a set of strings, each closed by a byte that no text has. Its
-transform lists, for all rotations in sorted order, the two bytes in front.
-Merging looks at transforms only: an interleave that is right for the first h
-bytes of all rotations, partitioned stably by the bytes in front, is right for
-h + 2 bytes. Rotations that an interleave cannot part share that prefix, so the
-blocks that remain are the repeated intervals. No suffix is compared again.
+transform lists, for all rotations in sorted order, the two bytes in front and
+the place of the rotation that begins with them. Merging looks at transforms
+only: an interleave that is right for the first h bytes of all rotations,
+partitioned stably by the bytes in front, is right for h + 2 bytes of the
+rotations that begin there. Rotations that an interleave cannot part share that
+prefix, so the blocks that remain are the repeated intervals. One that stands
+alone stays alone with more bytes in front. No suffix is compared again.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ SHARD_BYTES = 128 << 10
 class Shard:
     order: np.ndarray  # rotations, sorted by as many bytes as merging goes to, at least
     front: np.ndarray  # the two bytes in front of each, in that order
+    before: np.ndarray  # places in that order of the rotations that begin with those
     heads: np.ndarray  # their first 8 bytes as numbers, in that order
 
 
@@ -69,38 +72,63 @@ def shard(text: np.ndarray, bounds: np.ndarray, depth: int = 64) -> Shard:
         order, ranks = _ranks((ranks << np.uint64(32)) | ranks[step])
         step, width = step[step], 2 * width
     back = shifted(-1)
-    front = (text[back[back]].astype(np.uint16) << np.uint16(8)) | text[back]
-    return Shard(order, front[order], heads[order])
+    two = back[back]
+    front = (text[two].astype(np.uint16) << np.uint16(8)) | text[back]
+    place = np.empty(size, np.int32)
+    place[order] = np.arange(size, dtype=np.int32)
+    return Shard(order, front[order], place[two[order]], heads[order])
 
 
-def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shard, place in the shard's order, block) of all rotations in merged order.
+def merge(shards: list[Shard], depth: int, repeated: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, place in the shard's order, block) of all rotations in merged
+    order, or of those that are ``repeated``: not alone in their block.
 
     Rotations of one block have their first ``depth`` bytes in common.
     ``depth`` is even and 8 at least.
     """
     sizes = [len(s.order) for s in shards]
-    own = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) <= 256 else np.uint16), sizes)
+    bases = np.cumsum(sizes) - sizes
     heads, fronts = np.concatenate([s.heads for s in shards]), np.concatenate([s.front for s in shards])
-    first = np.argsort(heads, kind="stable")
-    interleave = own[first]
-    heads = heads[first]
-    blocks = np.zeros(len(own), np.int32)
-    blocks[1:] = np.cumsum(heads[1:] != heads[:-1])
-    front = np.empty_like(fronts)
+    before = np.concatenate([s.before + np.int32(base) for s, base in zip(shards, bases)])
+    at = np.argsort(heads, kind="stable").astype(np.int32)
+    heads = heads[at]
+    parted = heads[1:] != heads[:-1]
+    blocks = _numbers(parted)
     for _ in range((depth - FIRST) // 2):
-        if len(blocks) and blocks[-1] == len(blocks) - 1:
+        if repeated:
+            at, blocks = _together(at, blocks, parted, 8)
+        if not len(blocks) or blocks[-1] == len(blocks) - 1:
             break  # every rotation stands alone
-        front[np.argsort(interleave, kind="stable")] = fronts
-        moved = np.argsort(front, kind="stable")
-        interleave, blocks, symbols = interleave[moved], blocks[moved], front[moved]
+        symbols = fronts[at]
+        moved = np.argsort(symbols, kind="stable")
+        at, blocks, symbols = before[at[moved]], blocks[moved], symbols[moved]
         parted = (blocks[1:] != blocks[:-1]) | (symbols[1:] != symbols[:-1])
-        blocks[0] = 0
-        blocks[1:] = np.cumsum(parted)
-    by_shard = np.argsort(interleave, kind="stable")
-    place = np.empty(len(own), np.int64)
-    place[by_shard] = np.concatenate([np.arange(n) for n in sizes])
-    return interleave, place, blocks
+        blocks = _numbers(parted)
+    if repeated:
+        at, blocks = _together(at, blocks, blocks[1:] != blocks[:-1])
+    own = np.repeat(np.arange(len(shards)), sizes)[at]
+    return own, at - bases[own], blocks
+
+
+def _numbers(parted: np.ndarray) -> np.ndarray:
+    """Blocks by number, of rotations that are parted from the one before or not."""
+    blocks = np.zeros(len(parted) + 1, np.int32)
+    np.cumsum(parted, out=blocks[1:])
+    return blocks
+
+
+def _together(at: np.ndarray, blocks: np.ndarray, parted: np.ndarray, share: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rotations and blocks without those alone in theirs, if these are more
+    than one in ``share``."""
+    if not len(at):
+        return at, blocks
+    held = np.zeros(len(at), bool)
+    held[1:] = ~parted
+    held[:-1] |= ~parted
+    if share and (len(at) - np.count_nonzero(held)) * share <= len(at):
+        return at, blocks
+    at, blocks = at[held], blocks[held]
+    return at, _numbers(blocks[1:] != blocks[:-1]) if len(at) else blocks
 
 
 def shared_windows(pieces: np.ndarray, bounds: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
@@ -116,7 +144,7 @@ def shared_windows(pieces: np.ndarray, bounds: np.ndarray, ids: np.ndarray, size
         bases.append(base)
     if not shards:
         return np.zeros(0, bool)
-    which, place, blocks = merge(shards, size)
+    which, place, blocks = merge(shards, size, repeated=True)
     starts = np.concatenate([[0], np.cumsum([len(s.order) for s in shards])])
     rotation = np.concatenate([s.order + base for s, base in zip(shards, bases)])[starts[which] + place]
     sizes = np.diff(closed_bounds)

@@ -176,3 +176,26 @@ def test_long_texts(spark):
     texts = [(1, long), (2, long[300:600_000] + "!" + long[500_000:]), (3, turns), (4, turns.translate({97: "b", 98: "a"})), (5, None), (5, long[:60])]
     got = sorted(((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in byte_dedup(frame(spark, texts)).collect()), key=repr)
     assert got == expected(texts, 50)
+
+
+@pytest.mark.parametrize("depth", [8, 12, 50])
+def test_merge_of_repeated_rotations_leaves_out_those_alone(depth):
+    rng = np.random.default_rng(depth)
+    strings = [bytes(rng.choice([97, 98], rng.integers(60, 90)).astype(np.uint8)) for _ in range(30)]
+    strings += [s[:58] + b"c" for s in strings[:9]]
+    shards = []
+    for group in (strings[:20], strings[20:21], strings[21:]):
+        text = np.frombuffer(b"".join(group), np.uint8)
+        shards.append(bwt.shard(*bwt.closed(text, np.concatenate([[0], np.cumsum([len(s) for s in group])]))))
+    which, place, blocks = bwt.merge(shards, depth)
+    sizes = np.bincount(blocks)[blocks]
+    assert 0 < (sizes == 1).sum() < len(sizes)
+    found = bwt.merge(shards, depth, repeated=True)
+
+    def groups(which, place, blocks):
+        return [sorted(zip(which[blocks == b].tolist(), place[blocks == b].tolist())) for b in dict.fromkeys(blocks.tolist())]
+
+    several = sizes > 1
+    assert groups(*found) == groups(which[several], place[several], blocks[several])
+    lone = bwt.shard(*bwt.closed(np.frombuffer(b"abcdefghijklmnop", np.uint8), np.array([0, 16])))
+    assert [len(x) for x in bwt.merge([lone], depth, repeated=True)] == [0, 0, 0]
