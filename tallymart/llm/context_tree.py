@@ -200,6 +200,13 @@ def _shorter(depth: int) -> Column:
     return F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1))
 
 
+def _meeting(level: DataFrame, depth: int) -> DataFrame:
+    """``level`` as the side of a join. Its files are far smaller than its rows, as
+    most contexts have the same few counts, so Spark would take millions of rows
+    for a table to broadcast. Of contexts of a byte there are 65,280 rows at most."""
+    return level if depth < 2 else level.hint("merge")
+
+
 def probabilities(counts: DataFrame) -> list[DataFrame]:
     """For each depth (context, node, one): how likely a one is after that
     context, if longer ones were never seen. ``counts``: (gram, n)."""
@@ -230,7 +237,7 @@ def probabilities(counts: DataFrame) -> list[DataFrame]:
         if depth:
             upper = mixed[-1].select(F.col("context").alias("__short"), F.col("node").alias("__node"), "sum", "rest")
             match = (_shorter(depth - 1) == F.col("__short")) & (F.col("node") == F.col("__node"))
-            own = own.join(upper, match)
+            own = own.join(_meeting(upper, depth - 1), match)
         else:
             own = own.withColumns({"sum": F.lit(0.0), "rest": F.lit(1.0)})
         mixed.append(stored(own.select(
@@ -244,13 +251,13 @@ def string_scores(grams: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """(gram, lp): log10 of the probability of each string's last byte after
     the others. ``grams``: (gram, n); those with n > 0 were learned."""
     lp = F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))
-    bits = _decided(grams.where("n > 0").select("gram")).join(levels[DEPTH], ["context", "node"]).select("gram", lp.alias("lp"))
+    bits = _decided(grams.where("n > 0").select("gram")).join(_meeting(levels[DEPTH], DEPTH), ["context", "node"]).select("gram", lp.alias("lp"))
     # strings not learned: each decision at the deepest context that knows it
     left = _decided(grams.where("n = 0").select("gram"))
     for depth in range(DEPTH, -1, -1):
         level = levels[depth].select(F.col("context").alias("__short"), F.col("node").alias("__node"), "one")
         match = (_shorter(depth) == F.col("__short")) & (F.col("node") == F.col("__node"))
-        asked = stored(left.join(level, match, "left").select(*left.columns, "one"), "decisions")
+        asked = stored(left.join(_meeting(level, depth), match, "left").select(*left.columns, "one"), "decisions")
         bits = bits.union(asked.where("one is not null").select("gram", lp.alias("lp")))
         left = asked.where("one is null").drop("one")
     bits = bits.union(left.select("gram", F.lit(math.log10(0.5)).alias("lp")))
@@ -325,7 +332,7 @@ def scored(docs: DataFrame, learn: Column, text_col: str = "text") -> DataFrame:
     seen = words.where("first and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"))
     total, different = seen.first()
     nothing = F.lit(None)
-    answers = grams.select("chunk", "gram").join(scores, "gram").select(
+    answers = grams.select("chunk", "gram").join(scores.hint("merge"), "gram").select(
         "chunk", "gram", "lp", nothing.cast("string").alias("word"), nothing.cast("long").alias("n")
     ).unionByName(words.select(
         "chunk", nothing.cast("long").alias("gram"), nothing.cast("double").alias("lp"), "word", "n"

@@ -168,3 +168,19 @@ def test_query_holds_out_by_checksum(spark):
 
 def test_empty_table(spark):
     assert context_tree.scored(frame(spark, []), F.lit(True)).count() == 0
+
+
+def test_levels_of_longer_contexts_are_not_broadcast(spark, monkeypatch):
+    """Their files are small, their rows many: as a broadcast they fill the driver."""
+    plans, keep = {"mixed": [], "decisions": []}, context_tree.stored
+
+    def spied(df, label, **options):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label, **options)
+
+    monkeypatch.setattr(context_tree, "stored", spied)
+    found = context_tree.scored(frame(spark, [(1, "banana bandana"), (2, "a band"), (3, "zebra")]), F.col("doc_id") < 3)
+    plans["answers"] = [found._jdf.queryExecution().executedPlan().toString()]
+    assert [len(plans[k]) for k in ("mixed", "decisions")] == [DEPTH + 1, DEPTH + 1]
+    for plan in [*plans["mixed"][3:], *plans["decisions"][:DEPTH - 1], *plans["answers"]]:
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
