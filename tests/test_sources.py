@@ -1,4 +1,5 @@
 import io
+import re
 import threading
 import zipfile
 
@@ -347,3 +348,15 @@ def test_sketches_settle_what_years_do_not_share(spark):
         "apart": (20_000, 20_000, "OK", "sketch"), "shared": (20_000, 8_999, "ALERT", "count"),
         "twice": (20_010, 20_000, "ALERT", "sketch"),
     }
+
+
+def test_keys_are_counted_before_they_are_sketched(spark, plan):
+    rows = [(1, "a"), (1, "a"), (1, None), (2, "b"), (2, "c"), (3, None), (3, None), (None, "a")]
+    sketches = quality.key_sketches(spark.createDataFrame(rows, "y int, k string"), "k", "y")
+    # beside a count of distinct keys there would be a sketch for each key
+    grouped = re.findall(r"keys=\[([^\]]*)\], functions=\[[^\n]*hll_?sketch", plan(sketches), re.IGNORECASE)
+    assert grouped and all(re.fullmatch(r"y#\d+", keys) for keys in grouped)
+    found = {r.y: (r.total, r.distinct_keys, r.null_keys) for r in sketches.collect()}
+    assert found == {1: (3, 1, 1), 2: (2, 2, 0), 3: (2, 0, 2), None: (1, 1, 0)}
+    estimates = sketches.select("y", F.hll_sketch_estimate("sketch")).collect()
+    assert dict(map(tuple, estimates)) == {1: 1, 2: 2, 3: 0, None: 1}
