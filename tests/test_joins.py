@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.operators import joins
 from tallymart.operators.joins import consolidate, frequent_keys, lookup_left, lookup_left_hot, upsert
+from tallymart.plans import silver, spec
 
 
 def skewed(spark, n=3000, seed=3):
@@ -134,3 +136,14 @@ def test_hot_lookup_takes_maps_along(spark):
     table = spark.createDataFrame([("a", 1)], "k string, v int")
     for by in ((), ("id",)):
         assert lookup_left_hot(df, table, ["k"], 5, 8, by).filter("v = 1 AND m['x'] = id").count() == 300
+
+
+def test_hot_dwellings_are_counted_without_the_education_records(spark, monkeypatch):
+    def empty(columns):
+        return spark.range(2).select(*[F.lit(None).cast("int").alias(c) for c in columns])
+
+    counted, keep = [], joins.frequent_keys
+    monkeypatch.setattr(joins, "frequent_keys", lambda df, *rest: counted.append(df.columns) or keep(df, *rest))
+    tables = empty(spec.MEMBER_COLUMNS), empty(spec.EDUCATION_COLUMNS), empty(spec.DWELLING_COLUMNS)
+    assert silver.person(*tables, hot_dwellings=5).columns == spec.PERSON_COLUMNS
+    assert counted == [spec.MEMBER_COLUMNS]
