@@ -211,3 +211,14 @@ def test_shuffled_bytes_of_a_task_are_bounded_where_the_session_names_none(spark
     other.conf.set(name, "8m")
     small_scans(other)
     assert other.conf.get(name) == "8m"
+
+
+def test_stored_buckets_join_without_a_shuffle_in_any_session(spark):
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    held = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "true")
+        small_scans(spark)
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, held)

@@ -1,12 +1,17 @@
 """Versioned tables: whole or not at all, for writers and for readers."""
 
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.queries import fixture
+from tallymart.queries.registry import Tables
+from tallymart.session import STEP_SETTINGS, storing_steps
 from tallymart.sources import tables, versions
 from tallymart.sources.audit import Audit
+from tallymart.sources.tables import Layers
 
 
 def frame(spark, data, schema="id int, y int"):
@@ -169,3 +174,43 @@ def test_log_rows_are_written_together_and_merged(spark, tmp_path, monkeypatch):
     for k in range(3):
         audit.step("s", "gold", f"u{k}", lambda: (1, 1))
     assert len(versions.current(spark, root).folders) <= 2 and audit.runs().count() == 9
+
+
+def test_stored_files_are_packed_alike(spark, tmp_path):
+    df = spark.range(20).withColumn("y", F.lit(1))
+    for name, buckets in (("plain", None), ("bucketed", (2, ["id"]))):
+        versions.write(df, str(tmp_path / name), partition_by="y", buckets=buckets)
+        files = [f.name for f in (tmp_path / name).rglob("*.parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_what_a_step_shuffled_goes_with_it(spark, tmp_path):
+    """Else every step's files stay until the driver collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left():
+        return {n for n in disk.getAllFiles().mkString("\n").splitlines() if "/shuffle_" in n}
+
+    before, key = left(), next(iter(STEP_SETTINGS))
+    held = spark.conf.get(key, None)
+    with storing_steps(spark):
+        assert spark.conf.get(key) == "true"
+        versions.write(spark.range(2000).groupBy((F.col("id") % 700).alias("k")).count(), str(tmp_path / "t"))
+        for _ in range(50):
+            if not left() - before:
+                break
+            time.sleep(0.2)
+        assert not left() - before
+    assert spark.conf.get(key, None) == held
+
+
+def test_loaded_text_goes(spark, tmp_path, monkeypatch):
+    orders = [(k, k % 5, "1-URGENT", "O", 1000.5 * k, year) for k, year in enumerate((1995, 1996, 1997, 1997))]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_totalprice double, y int"
+    ).withColumn("o_orderdate", F.make_date("y", F.lit(5), F.lit(1))).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(fixture, "scratch_path", lambda spark, label: str(tmp_path / label))
+    layers = Layers(spark, str(tmp_path / "lake"))
+    fixture.load_survey(Tables(spark, str(tmp_path)), layers, Audit(layers), ["member"])
+    assert not (tmp_path / "survey").exists()
+    assert layers.read("bronze", "member").count() == 4
